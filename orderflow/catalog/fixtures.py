@@ -201,12 +201,18 @@ class Inputs:
 
     def sql(self, text: str, **frames: DataFrame) -> DataFrame:
         names = [n for n in ("orders", "lineitem", "events", "customer", "supplier") if "{" + n + "}" in text]
-        return self.spark.sql(text, **{n: self.table(n) for n in names}, **frames)
+        return self.spark.sql(text, **{n: self.table(n) for n in names if n not in frames}, **frames)
+
+    @cached_property
+    def order_table(self) -> DataFrame:
+        """The orders table; spread over the cores where it has fewer files than those, as in the small scales."""
+        orders, cores = self.table("orders"), self.spark.sparkContext.defaultParallelism
+        return orders.repartition(cores, "o_orderkey") if len(orders.inputFiles()) < cores else orders
 
     @cached_property
     def headers(self) -> DataFrame:
         """Raw orders without their arrays, all text, and the size of each array."""
-        return self.sql(ORDERS_SQL)
+        return self.sql(ORDERS_SQL, orders=self.order_table)
 
     @cached_property
     def orders(self) -> DataFrame:

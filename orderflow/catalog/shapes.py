@@ -9,8 +9,9 @@ from orderflow.catalog import checks as K
 from orderflow.catalog.fixtures import Inputs
 from orderflow.catalog.registry import query
 from orderflow.functions import codes, dates, nested
-from orderflow.operators import dedupe, feed, quality, shape
+from orderflow.operators import dedupe, feed, quality, shape, state
 from orderflow.plans import daily
+from orderflow.sources.scratch import staged
 
 _TEXT = ["OrderId", "TransactionNo", "StoreCode", "TotalOrderValue", "Totalorderqty", "WeborderNo"]
 
@@ -190,7 +191,7 @@ def key_difference(x: Inputs) -> DataFrame:
 select h.Header_Id, h.WeborderNo, m.Order_Time feed_time, m.match_class from fresh_orders h
 left join trailing_matches m on m.hkey = h.o_orderkey""")
 def recombine(x: Inputs) -> DataFrame:
-    matched = daily.matched_orders(fresh_orders(x, nested_rows=False), x.own_feed)
+    matched = staged(daily.matched_orders(fresh_orders(x, nested_rows=False), x.own_feed), "matched-orders")
     hit, miss, till = feed.split_match(matched)
     parts = [hit, miss.drop("Order Time", feed.MATCH), till.drop("Order Time", feed.MATCH)]
     return feed.recombine(parts).select("Header_Id", "WeborderNo", shape.column("Order Time").alias("feed_time"),
@@ -208,6 +209,6 @@ def stored_orders(complete: DataFrame) -> DataFrame:
 
 
 def fresh_orders(x: Inputs, nested_rows: bool = True) -> DataFrame:
-    from orderflow.operators import state
-    complete = complete_orders(x, nested_rows)
+    """Complete orders that are not stored yet, written once because matching reads them more than once."""
+    complete = staged(complete_orders(x, nested_rows), "complete-orders")
     return state.new_orders(complete, stored_orders(complete))

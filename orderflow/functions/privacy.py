@@ -27,8 +27,8 @@ def encrypt(text: Column, key: str, iv: str | None) -> Column:
 
 
 def decrypt(text: Column, key: str, iv: str | None) -> Column:
-    """Reverse of ``encrypt``; null where the value cannot be read."""
-    sealed = F.try_to_binary(text, F.lit("base64"))
+    """Reverse of ``encrypt``; null where the value cannot be read, which includes ``''``."""
+    sealed = F.try_to_binary(F.nullif(text, F.lit("")), F.lit("base64"))
     if iv is not None:
         sealed = F.concat(F.lit(iv.encode()), sealed)
     return F.try_aes_decrypt(sealed, F.lit(key), F.lit("CBC"), F.lit("PKCS")).cast("string")

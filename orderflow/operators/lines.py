@@ -13,29 +13,37 @@ from orderflow.functions.nested import gift_card_amount, has_gift_card, payment_
 from orderflow.operators.shape import conform
 
 ITEMS, PAYMENTS = "ItemDetails.Items", "PaymentsDetails.Payments"
+ITEM_COUNT, PAYMENT_COUNT = "Item_Count", "Payment_Count"
 ITEM_START, PAYMENT_START = "Item_Start", "Payment_Start"
 _AT, _ROW = "_at", "_row"
 
 
+def with_sizes(orders: DataFrame) -> DataFrame:
+    """Adds how many items and payments an order has; none for a missing array."""
+    size = lambda array: F.coalesce(F.array_size(F.col(array)), F.lit(0))
+    return orders.withColumns({ITEM_COUNT: size(ITEMS), PAYMENT_COUNT: size(PAYMENTS)})
+
+
 def with_line_starts(orders: DataFrame) -> DataFrame:
     """How many items and payments come before each order under the same receipt.
 
-    Lines are numbered per (receipt, store) over all its days. Counting whole
-    arrays per order before they are flattened keeps the sort on order rows. With
-    one row per order key a receipt has at most one row per day here.
+    Lines are numbered per (receipt, store) over all its days. The counts of whole
+    orders are summed, so the sort is over order rows that need not carry their
+    arrays. With one row per order key a receipt has at most one row per day here.
     """
     before = (Window.partitionBy("OrderId", "StoreCode").orderBy("Enriched_Order_Date", "Header_Id")
               .rowsBetween(Window.unboundedPreceding, -1))
-    start = lambda array: F.coalesce(F.sum(F.coalesce(F.array_size(F.col(array)), F.lit(0))).over(before), F.lit(0))
-    return orders.withColumns({ITEM_START: start(ITEMS), PAYMENT_START: start(PAYMENTS)})
+    start = lambda count: F.coalesce(F.sum(count).over(before), F.lit(0))
+    sized = orders if ITEM_COUNT in orders.columns else with_sizes(orders)
+    return sized.withColumns({ITEM_START: start(ITEM_COUNT), PAYMENT_START: start(PAYMENT_COUNT)})
 
 
 def _line_number(start: str) -> Column:
     return (F.col(start) + F.col(_AT) + 1).cast("int")
 
 
-def _ensure_starts(orders: DataFrame) -> DataFrame:
-    return orders if ITEM_START in orders.columns else with_line_starts(orders)
+def _ensure(orders: DataFrame, start: str) -> DataFrame:
+    return orders if start in orders.columns else with_line_starts(orders)
 
 
 def flatten_items(orders: DataFrame, keep: list[str], outer: bool = False) -> DataFrame:
@@ -45,7 +53,7 @@ def flatten_items(orders: DataFrame, keep: list[str], outer: bool = False) -> Da
     the order's array, so flattening needs no shuffle.
     """
     unfold = F.posexplode_outer if outer else F.posexplode
-    rows = _ensure_starts(orders).select(*keep, ITEM_START, unfold(with_parents(F.col(ITEMS))).alias(_AT, _ROW))
+    rows = _ensure(orders, ITEM_START).select(*keep, ITEM_START, unfold(with_parents(F.col(ITEMS))).alias(_AT, _ROW))
     fields = [F.col(f"{_ROW}.item.{f.name}").alias(f.name) for f in ITEM_FIELDS.fields]
     return (rows.withColumn("Line_No", _line_number(ITEM_START))
             .select(*keep, *fields, F.col(f"{_ROW}.parent").alias("Parent_ID"), "Line_No",
@@ -64,7 +72,7 @@ def line_facts(orders: DataFrame, outer: bool = False) -> DataFrame:
 def flatten_payments(orders: DataFrame, keep: list[str], outer: bool = False) -> DataFrame:
     """One row per payment with its number and key; orders without payments give none unless ``outer``."""
     unfold = F.posexplode_outer if outer else F.posexplode
-    rows = _ensure_starts(orders).select(*keep, PAYMENT_START, unfold(F.col(PAYMENTS)).alias(_AT, _ROW))
+    rows = _ensure(orders, PAYMENT_START).select(*keep, PAYMENT_START, unfold(F.col(PAYMENTS)).alias(_AT, _ROW))
     return (rows.withColumn("Line_No", _line_number(PAYMENT_START))
             .select(*keep, F.col(f"{_ROW}.Amount").alias("Payment_Amount"),
                     F.col(f"{_ROW}.Date").alias("Payment_Date"), F.col(f"{_ROW}.Mode").alias("Payment_Mode"),

@@ -13,25 +13,34 @@ RAW_PHONE, DAILY, CLEAN, VALID = "CombinedNumber", "transactions_today", "Cleane
 _BLOCKED = "_blocked"
 
 
-def with_daily_count(df: DataFrame, spread: str = "Header_Id") -> DataFrame:
-    """Orders per raw number and day, null numbers counted together."""
+def _raw(df: DataFrame) -> DataFrame:
+    return df.withColumn(RAW_PHONE, F.coalesce(F.col("MobileNo"), F.col("PhoneNo")))
+
+
+def with_daily_count(df: DataFrame, counted: DataFrame | None = None, spread: str = "Header_Id") -> DataFrame:
+    """Orders per raw number and day, null numbers counted together.
+
+    ``counted`` may name the rows to count, where they can be read more cheaply.
+    """
     keys = [RAW_PHONE, "InvoiceDate"]
-    counts = key_counts(df, keys, DAILY)
+    counts = key_counts(df if counted is None else counted, keys, DAILY)
     return lookup_join(df, counts, keys, null_safe=True, counts=counts, count_name=DAILY, spread=spread)
 
 
-def validate_phones(df: DataFrame, blocklist: DataFrame | None = None, strict: bool = False) -> DataFrame:
+def validate_phones(df: DataFrame, blocklist: DataFrame | None = None, strict: bool = False,
+                    counted: DataFrame | None = None) -> DataFrame:
     """Adds the raw number, its daily count, the cleaned number and whether it is valid.
 
     The feed's number comes first, then the till's. A number used four times or
     more on a day is not valid. ``blocklist`` (one column) makes its numbers
-    invalid and removes them, which is off by default.
+    invalid and removes them, which is off by default. ``counted`` may be an
+    earlier form of ``df`` with the same numbers and days, to count in place of it.
     """
-    raw = df.withColumn(RAW_PHONE, F.coalesce(F.col("MobileNo"), F.col("PhoneNo")))
-    counted = with_daily_count(raw).withColumn(CLEAN, clean_phone(F.col(RAW_PHONE)))
+    daily = with_daily_count(_raw(df), None if counted is None else _raw(counted))
+    daily = daily.withColumn(CLEAN, clean_phone(F.col(RAW_PHONE)))
     valid = phone_is_valid(F.col(CLEAN), F.col(DAILY), strict)
     number = phone_number(F.col(CLEAN), F.col(DAILY))
-    checked = counted.withColumns({VALID: valid, CLEAN: number})
+    checked = daily.withColumns({VALID: valid, CLEAN: number})
     if blocklist is not None:
         blocked = blocklist.select(column(blocklist.columns[0]).alias(CLEAN)).dropna().distinct() \
             .withColumn(_BLOCKED, F.lit(True))

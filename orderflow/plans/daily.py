@@ -38,8 +38,9 @@ class Lookups:
 
 @dataclass
 class Orders:
-    """Orders of a run with those set aside on the way."""
+    """Orders of a run: one flat row each, their arrays by order key, and those set aside."""
     header: DataFrame
+    arrays: DataFrame
     rejects: dict[str, DataFrame] = field(default_factory=dict)
     missing_combinations: DataFrame | None = None
 
@@ -101,25 +102,33 @@ def with_times(df: DataFrame) -> DataFrame:
     return df.withColumns(clocks | {"Enriched_Order_Time": F.coalesce(feed_time, times.clock(F.col("InvoiceTime")))})
 
 
-def with_flags(df: DataFrame) -> DataFrame:
+def flat_orders(orders: DataFrame) -> DataFrame:
+    """Order rows without their arrays, with what the order output takes from them.
+
+    The arrays are the bulk of an order. Reading them here, where they lie, keeps
+    them out of every later shuffle of the header.
+    """
     items = F.col(lines.ITEMS)
+    flagged = orders.withColumns({"Non_Veg": nested.any_non_veg(items), "Deal": nested.any_with_promo(items),
+                                  "Ala_Carte": nested.any_without_promo(items)})
+    return lines.with_sizes(lines.with_payment_summary(flagged)).drop("ItemDetails", "PaymentsDetails")
+
+
+def with_flags(df: DataFrame) -> DataFrame:
     hour = times.hour(F.col("Enriched_Order_Time"))
     return df.withColumns({
         "Hour_Day_Part": hour, "Day_Part": times.day_part(hour),
         "Valid_Transaction": codes.valid_transaction(F.col("EntryStatus")),
         "Pizzahut_Brand": codes.prefix_label(shape.column("Pasta by PH"), C.BRAND_PREFIXES),
-        "Enriched_Email_Id": F.coalesce(C.FEED_EMAIL, "Email"),
-        "Non_Veg": nested.any_non_veg(items), "Deal": nested.any_with_promo(items),
-        "Ala_Carte": nested.any_without_promo(items)})
+        "Enriched_Email_Id": F.coalesce(C.FEED_EMAIL, "Email")})
 
 
-def final_header(mapped: DataFrame, lookups: Lookups, run_date: date, stage: Stage = keep) -> DataFrame:
+def final_header(mapped: DataFrame, lookups: Lookups, run_date: date) -> DataFrame:
     """Mapped orders with numbers, dates, times, flags, phones, stores and line starts."""
     plain = with_times(with_dates(with_amounts(mapped), run_date))
-    timed = with_flags(timefill.fill_times(stage(plain, "plain-orders")))
-    phoned = phones.validate_phones(timed, lookups.blocklist)
-    stored = channels.join_stores(phoned, lookups.stores)
-    return lines.with_line_starts(stored)
+    timed = with_flags(timefill.fill_times(plain))
+    phoned = phones.validate_phones(timed, lookups.blocklist, counted=mapped)
+    return lines.with_line_starts(channels.join_stores(phoned, lookups.stores))
 
 
 def build_orders(raw: DataFrame, feed: DataFrame, processed: DataFrame, lookups: Lookups, run_date: date,
@@ -131,33 +140,39 @@ def build_orders(raw: DataFrame, feed: DataFrame, processed: DataFrame, lookups:
     """
     clean, rejects = keyed_orders(raw)
     fresh = stage(state.new_orders(clean, processed), "fresh-orders")
-    mapped = stage(channelled_orders(matched_orders(fresh, feed, days, trailing), lookups), "mapped-orders")
+    matched = matched_orders(flat_orders(fresh), feed, days, trailing)
+    mapped = stage(channelled_orders(matched, lookups), "mapped-orders")
     kept, unmapped = channels.split_unmapped(mapped)
     rejects["unmapped_channel"] = unmapped
-    header = stage(final_header(kept, lookups, run_date, stage), "final-header")
-    return Orders(header, rejects, channels.missing_combinations(mapped))
+    header = stage(final_header(kept, lookups, run_date), "final-header")
+    arrays = fresh.select("Header_Id", "ItemDetails", "PaymentsDetails")
+    return Orders(header, arrays, rejects, channels.missing_combinations(mapped))
 
 
 def _dated(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns({c: dates.output_date_text(F.col(c)) for c in columns})
 
 
-def baseline_facts(header: DataFrame) -> DataFrame:
-    """The order output: 87 contract columns and two placeholders."""
-    rows = shape.conform(lines.with_payment_summary(header), C.HEADER_RENAMES, C.BASELINE_COLUMNS)
+def baseline_facts(orders: Orders) -> DataFrame:
+    """The order output: the contract columns and two placeholders."""
+    rows = shape.conform(orders.header, C.HEADER_RENAMES, C.BASELINE_COLUMNS)
     rows = rows.withColumn("Franchise", codes.upper_or(F.col("Franchise"), C.DEFAULT_FRANCHISE))
     return _dated(shape.add_placeholders(rows, C.BASELINE_PLACEHOLDERS), C.BASELINE_DATE_COLUMNS)
 
 
-def line_facts(header: DataFrame) -> DataFrame:
-    named = shape.copy_column(header, "Franchise", "Store_Franchise")
-    rows = shape.add_placeholders(lines.line_facts(named), C.LINE_PLACEHOLDERS)
-    return _dated(rows, C.LINE_DATE_COLUMNS)
+def line_facts(orders: Orders) -> DataFrame:
+    """The line output. Arrays and header rows both have one row per key, so the join is even."""
+    header = shape.copy_column(orders.header, "Franchise", "Store_Franchise")
+    header = header.select(*C.LINE_HEADER_COLUMNS, lines.ITEM_START)
+    rows = lines.line_facts(orders.arrays.select("Header_Id", "ItemDetails").join(header, "Header_Id"))
+    return _dated(shape.add_placeholders(rows, C.LINE_PLACEHOLDERS), C.LINE_DATE_COLUMNS)
 
 
-def payment_facts(header: DataFrame) -> DataFrame:
-    rows = shape.add_placeholders(lines.payment_facts(header), C.PAYMENT_PLACEHOLDERS)
-    return _dated(rows, C.PAYMENT_DATE_COLUMNS)
+def payment_facts(orders: Orders) -> DataFrame:
+    """The payment output, joined like the lines."""
+    header = orders.header.select(*C.PAYMENT_HEADER_COLUMNS, lines.PAYMENT_START)
+    rows = lines.payment_facts(orders.arrays.select("Header_Id", "PaymentsDetails").join(header, "Header_Id"))
+    return _dated(shape.add_placeholders(rows, C.PAYMENT_PLACEHOLDERS), C.PAYMENT_DATE_COLUMNS)
 
 
 def personal_rows(header: DataFrame, key: str, iv: str) -> DataFrame:
@@ -214,9 +229,9 @@ def run_day(spark: SparkSession, raw: DataFrame, feed: DataFrame, lookups: Looku
         written[f"rejects_{reason}"] = (rows, f"{run}/REJECTS/{reason}")
         writers.write_rejects(*written[f"rejects_{reason}"])
     writers.write_keys(orders.missing_combinations, f"{run}/REJECTS/missing_combinations")
-    facts = {"baseline": (baseline_facts(header), "Enriched_Order_Date"),
-             "line": (line_facts(header), "Invoice_Open_Date"),
-             "payment": (payment_facts(header), "Invoice_Open_Date")}
+    facts = {"baseline": (baseline_facts(orders), "Enriched_Order_Date"),
+             "line": (line_facts(orders), "Invoice_Open_Date"),
+             "payment": (payment_facts(orders), "Invoice_Open_Date")}
     for name, (rows, day) in facts.items():
         written[name] = (rows, f"{run}/{name.upper()}")
         writers.write_facts(rows, f"{run}/{name.upper()}", day)
