@@ -6,13 +6,15 @@ from pyspark.sql import Column, functions as F
 
 _CLOCK_24 = r"^([01]?\d|2[0-3]):[0-5]?\d:[0-5]?\d$"
 _CLOCK_12 = r"^(0?[1-9]|1[0-2]):[0-5]?\d:[0-5]?\d\s+[AaPp][Mm]$"
+_WHITE = " \t\n\r\x0b\x0c"
+_CLOCK_FULL_12 = r"^(0[1-9]|1[0-2]):[0-5]\d:[0-5]\d [AaPp][Mm]$"
 _CLOCK_FULL = r"^([01]\d|2[0-3]):[0-5]\d:[0-5]\d$"
 DAY_SECONDS = 86400
 
 
 def stripped(text: Column) -> Column:
     """Text without leading and trailing white space of any kind."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.btrim(text, F.lit(_WHITE))
 
 
 def _two(number: Column) -> Column:
@@ -20,15 +22,25 @@ def _two(number: Column) -> Column:
 
 
 def clock(text: Column) -> Column:
-    """12- or 24-hour clock text to ``HH:mm:ss``; null when it is neither."""
-    t = stripped(text)
+    """12- or 24-hour clock text to ``HH:mm:ss``; null when it is neither.
+
+    Padded text, which is nearly all of it, is cut at fixed places. Only text with
+    single digits or extra white space is taken apart piece by piece.
+    """
+    padded_12 = F.concat(_two(F.substring(text, 1, 2).try_cast("int") % 12
+                              + F.when(F.lower(F.right(text, F.lit(2))) == "pm", 12).otherwise(0)),
+                         F.substring(text, 3, 6))
+    return (F.when(text.rlike(_CLOCK_FULL), text).when(text.rlike(_CLOCK_FULL_12), padded_12)
+            .otherwise(_loose_clock(stripped(text))))
+
+
+def _loose_clock(t: Column) -> Column:
     part = lambda i: F.split_part(t, F.lit(":"), F.lit(i))
-    second = F.substring_index(F.regexp_replace(part(3), r"\s+", " "), " ", 1)
-    tail = F.concat(F.lit(":"), _two(part(2)), F.lit(":"), _two(second))
-    evening = F.when(F.upper(t).endswith("PM"), 12).otherwise(0)
-    hour_12 = part(1).try_cast("int") % 12 + evening
-    return (F.when(t.rlike(_CLOCK_24), F.concat(_two(part(1)), tail))
-            .when(t.rlike(_CLOCK_12), F.concat(_two(hour_12), tail)))
+    joined = lambda hour, second: F.concat(_two(hour), F.lit(":"), _two(part(2)), F.lit(":"), _two(second))
+    afternoon = F.when(F.lower(F.right(t, F.lit(2))) == "pm", 12).otherwise(0)
+    hour_12 = part(1).try_cast("int") % 12 + afternoon
+    second_12 = stripped(F.left(part(3), F.length(part(3)) - 2))
+    return F.when(t.rlike(_CLOCK_24), joined(part(1), part(3))).when(t.rlike(_CLOCK_12), joined(hour_12, second_12))
 
 
 def day_seconds(time: Column) -> Column:
@@ -41,7 +53,8 @@ def clock_of_seconds(seconds: Column) -> Column:
     """``HH:mm:ss`` text of a number of seconds, wrapping at midnight."""
     s = F.pmod(seconds, F.lit(DAY_SECONDS)).cast("int")
     unit = lambda size: F.floor(s / size).cast("int") % 60
-    return F.concat_ws(":", _two(F.floor(s / 3600).cast("int")), _two(unit(60)), _two(s % 60))
+    colon = F.lit(":")
+    return F.concat(_two(F.floor(s / 3600).cast("int")), colon, _two(unit(60)), colon, _two(s % 60))
 
 
 def hour(time: Column) -> Column:

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from orderflow.operators.shape import column
+from orderflow.operators.skew import lookup_join
 
-_RANK = "_rank"
+_RANK, _FOUND = "_rank", "_found"
 
 
 def dedupe_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
@@ -19,6 +20,8 @@ def dedupe_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ())
     key that holds a large share of the rows does not gather in one task.
     """
     rest = [column(c).asc_nulls_last() for c in df.columns if c not in keys]
+    if not order and not rest:
+        return df.dropDuplicates(list(keys))
     window = Window.partitionBy(*[column(k) for k in keys]).orderBy(*order, *rest)
     return df.withColumn(_RANK, F.row_number().over(window)).filter(F.col(_RANK) == 1).drop(_RANK)
 
@@ -32,11 +35,27 @@ def distinct_values(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*[column(c) for c in columns]).distinct()
 
 
-def without_keys(df: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key is not in ``stored``."""
-    return df.join(stored.select(*keys).distinct(), list(keys), "left_anti")
+def _stored(stored: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return stored.select(*[column(k) for k in keys]).distinct()
 
 
-def with_keys(df: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key is in ``stored``."""
-    return df.join(stored.select(*keys).distinct(), list(keys), "left_semi")
+def without_keys(df: DataFrame, stored: DataFrame, keys: Sequence[str], spread: str | None = None) -> DataFrame:
+    """Rows whose key is not in ``stored``.
+
+    ``spread`` names a column that tells rows of one key apart, for rows that may
+    repeat a key very often; leave it out where ``df`` has one row per key.
+    """
+    if spread is None:
+        return df.join(_stored(stored, keys), list(keys), "left_anti")
+    return _flagged(df, stored, keys, spread).filter(F.col(_FOUND).isNull()).drop(_FOUND)
+
+
+def with_keys(df: DataFrame, stored: DataFrame, keys: Sequence[str], spread: str | None = None) -> DataFrame:
+    """Rows whose key is in ``stored``; ``spread`` as for ``without_keys``."""
+    if spread is None:
+        return df.join(_stored(stored, keys), list(keys), "left_semi")
+    return _flagged(df, stored, keys, spread).filter(F.col(_FOUND).isNotNull()).drop(_FOUND)
+
+
+def _flagged(df: DataFrame, stored: DataFrame, keys: Sequence[str], spread: str) -> DataFrame:
+    return lookup_join(df, _stored(stored, keys).withColumn(_FOUND, F.lit(True)), keys, spread=spread)

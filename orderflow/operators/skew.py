@@ -10,11 +10,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from orderflow.operators.shape import column
 
 BROADCAST_ROWS = 200_000   # a lookup up to this many rows is sent to every task
-HOT_ROWS = 100_000         # a key with at least this many rows may be treated as hot
-HOT_KEYS = 10_000          # at most this many keys, the largest ones, are treated as hot
-SALTS = 4096
+HOT_ROWS = 100_000         # a key with at least this many rows is cut into pieces of about this many
+HOT_KEYS = 10_000          # at most this many keys, the largest ones, are cut
+NULL_PIECES = 4096
 
-_RIGHT, _HIT, _HOT, _SALT, _VALUES, _ROWS = "_r_", "_hit", "_hot", "_salt", "_values", "_rows"
+_RIGHT, _PIECES, _PIECE, _ROWS = "_r_", "_pieces", "_piece", "_rows"
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
@@ -49,42 +49,42 @@ def key_counts(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     return df.groupBy(*[column(k) for k in keys]).agg(F.count(F.lit(1)).alias(name))
 
 
+def hot_pieces(counts: DataFrame, keys: Sequence[str], count_name: str, hot_rows: int, hot_keys: int) -> DataFrame:
+    """The most frequent keys and into how many pieces each is cut; at most ``hot_keys`` rows."""
+    count = F.col(count_name)
+    return (counts.filter(count >= hot_rows).orderBy(count.desc(), *[column(k) for k in keys]).limit(hot_keys)
+            .select(*[column(k).alias(_RIGHT + k) for k in keys], F.ceil(count / hot_rows).alias(_PIECES)))
+
+
 def lookup_join(df: DataFrame, lookup: DataFrame, keys: Sequence[str], null_safe: bool = False,
                 counts: DataFrame | None = None, count_name: str = _ROWS, spread: str | None = None,
                 hot_rows: int = HOT_ROWS, hot_keys: int = HOT_KEYS) -> DataFrame:
     """Left join of large ``df`` to large ``lookup``, which is unique on ``keys``.
 
-    The ``hot_keys`` most frequent keys of ``df``, as far as they have ``hot_rows``
-    rows, are looked up first. They and their values are at most ``hot_keys`` rows
-    and are broadcast. Their rows, like rows with a null key, carry a salt through
-    the shuffle and so spread over all tasks; all other rows join by key. The salt
-    is a hash of ``spread``, a column that differs from row to row (default: of the
-    whole row), so a task that is run again gives every row the same salt.
-    ``counts`` may pass rows per key when they are known already.
+    The ``hot_keys`` most frequent keys of ``df`` with ``hot_rows`` rows or more are
+    cut into pieces of about ``hot_rows`` rows; each piece meets a copy of the lookup
+    row. The hot keys are broadcast, at most ``hot_keys`` rows; the copies are at
+    most one per ``hot_rows`` rows of ``df`` and one per hot key. Rows with a null
+    key match nothing and are spread as well.
+
+    A row's piece is a hash of ``spread``, a column that differs from row to row
+    (default: of the whole row), so a task that is run again repeats it. ``counts``
+    may pass rows per key when they are known already.
     """
     if counts is None:
-        known = df if null_safe else df.dropna(subset=list(keys))
-        counts = key_counts(known, keys, count_name)
-    top = (counts.filter(F.col(count_name) >= hot_rows)
-           .orderBy(F.col(count_name).desc(), *[column(k) for k in keys]).limit(hot_keys)
-           .select(*[column(k) for k in keys]))
-    values = [c for c in lookup.columns if c not in keys]
-    right = _right_keys(lookup.select(*[column(k) for k in keys],
-                                      F.struct(*[column(v) for v in values]).alias(_VALUES)), keys)
-    right_names = [_RIGHT + k for k in keys]
-
-    found = (right.join(F.broadcast(top), _same_keys(keys, null_safe), "inner")
-             .select(*right_names, F.col(_VALUES).alias(_HIT)))
-    hot = _right_keys(top.join(F.broadcast(found), _same_keys(keys, null_safe), "left")
-                      .select(*[column(k) for k in keys], _HIT, F.lit(True).alias(_HOT)), keys)
-
-    marked = df.join(F.broadcast(hot), _same_keys(keys, null_safe), "left").drop(*right_names)
-    away = F.col(_HOT).isNotNull()
-    if not null_safe:
-        away = reduce(Column.__or__, [column(k).isNull() for k in keys], away)
+        counts = key_counts(df if null_safe else df.dropna(subset=list(keys)), keys, count_name)
+    hot = F.broadcast(hot_pieces(counts, keys, count_name, hot_rows, hot_keys))
+    same = _same_keys(keys, null_safe)
+    names = [_RIGHT + k for k in keys]
+
     mixed = F.xxhash64(*[column(c) for c in ([spread] if spread else df.columns)])
-    salted = marked.withColumn(_SALT, F.when(away, F.pmod(mixed, F.lit(SALTS)).cast("int") + 1).otherwise(0))
-    cold = right.withColumn(_RIGHT + _SALT, F.lit(0))
-    joined = salted.join(cold, _same_keys([*keys, _SALT], null_safe), "left")
-    best = F.when(F.col(_HOT).isNotNull(), F.col(_HIT)).otherwise(F.col(_VALUES))
-    return joined.select(*[column(c) for c in df.columns], *[best.getField(v).alias(v) for v in values])
+    piece = F.when(F.col(_PIECES).isNotNull(), F.pmod(mixed, F.col(_PIECES)))
+    if not null_safe:
+        nulls = reduce(Column.__or__, [column(k).isNull() for k in keys])
+        piece = piece.when(nulls, F.pmod(mixed, F.lit(NULL_PIECES)))
+    left = df.join(hot, same, "left").withColumn(_PIECE, piece.otherwise(F.lit(0))).drop(_PIECES, *names)
+
+    pieces = F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col(_PIECES), F.lit(1)) - 1)
+    right = lookup.join(hot, same, "left").withColumn(_PIECE, F.explode(pieces)).drop(_PIECES, *names)
+    joined = left.join(_right_keys(right, [*keys, _PIECE]), _same_keys([*keys, _PIECE], null_safe), "left")
+    return joined.drop(_PIECE, _RIGHT + _PIECE, *names)

@@ -17,12 +17,12 @@ _NEW, _AT = "_new", "_at"
 
 
 def new_orders(orders: DataFrame, processed: DataFrame, key: str = "Header_Id") -> DataFrame:
-    """Orders whose key no earlier run has stored."""
+    """Orders, one row per key, whose key no earlier run has stored."""
     return without_keys(orders, processed, [key])
 
 
 def seen_orders(orders: DataFrame, processed: DataFrame, key: str = "Header_Id") -> DataFrame:
-    """Orders whose key an earlier run has stored."""
+    """Orders, one row per key, whose key an earlier run has stored."""
     return with_keys(orders, processed, [key])
 
 
@@ -38,7 +38,7 @@ def register(processed: DataFrame, orders: DataFrame, key: str = "Header_Id") ->
 
 
 def existing_rows(state: DataFrame, rows: DataFrame, key: str) -> DataFrame:
-    """State rows for the keys of a run."""
+    """State rows, one per key, for the keys of a run."""
     return with_keys(state, rows, [key])
 
 

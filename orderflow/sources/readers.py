@@ -29,7 +29,7 @@ def read_orders(spark: SparkSession, path: str, row_tag: str = ORDER_ROW_TAG,
     """Nested XML orders, one row per order element, attributes left out, blanks as null."""
     try:
         return (spark.read.format("xml").option("rowTag", row_tag).option("excludeAttribute", True)
-                .option("nullValue", "").schema(schema).load(path))
+                .option("nullValue", "").option("ignoreSurroundingSpaces", False).schema(schema).load(path))
     except AnalysisException as error:
         if _is_missing_path(error):
             raise MissingInput(f"no orders at {path}") from error
