@@ -11,11 +11,12 @@ from orderflow.catalog.registry import table
 
 
 def plain(text: str) -> str:
-    return text.replace("{", "").replace("}", "")
+    """An input text as the checking engine spells it."""
+    return text.replace("{", "").replace("}", "").replace(" div ", " // ")
 
 
 def fields(sql: dict[str, str], prefix: str) -> str:
-    return ", ".join(f"{e} as {prefix}{name}" for name, e in sql.items())
+    return plain(", ".join(f"{e} as {prefix}{name}" for name, e in sql.items()))
 
 
 def number(text: str, negate: bool = True) -> str:

@@ -3,7 +3,8 @@
 Each input is one SQL text that Spark and the checking engine both run, so the
 two sides of a query start from the same rows. Items and payments of an order
 are built from the order's own row, so no rows are gathered to nest them. The
-given tables hold no nulls, hence nulls come from key arithmetic.
+given tables hold no nulls, hence nulls come from key arithmetic. Whole-number
+division is written ``div``, which the checking side respells.
 """
 
 from __future__ import annotations
@@ -21,10 +22,9 @@ def two(e: str) -> str:
 
 def money(cents: str, sign: str = "-") -> str:
     """Text such as ``-112,946.26`` of a whole number of cents below 100 million."""
-    units = f"cast(floor(({cents}) / 100) as bigint)"
-    thousands = (f"case when {units} >= 1000 then concat(cast(cast(floor({units} / 1000) as bigint) as string), ',', "
-                 f"lpad(cast({units} % 1000 as string), 3, '0')) else cast({units} as string) end")
-    return f"concat('{sign}', {thousands}, '.', {two(f'({cents}) % 100')})"
+    units, thousand = f"(({cents}) div 100)", f"(({cents}) div 100000)"
+    return (f"concat('{sign}', case when {thousand} > 0 then concat(cast({thousand} as string), ',', "
+            f"lpad(cast({units} % 1000 as string), 3, '0')) else cast({units} as string) end, '.', {two(f'({cents}) % 100')})")
 
 
 def cents(e: str) -> str:
@@ -42,11 +42,11 @@ def clock12(s: str) -> str:
 
 
 def _hour(s: str) -> str:
-    return f"cast(floor(({s}) / 3600) as int)"
+    return f"(({s}) div 3600)"
 
 
 def _minute(s: str) -> str:
-    return f"cast(floor(({s}) / 60) as int) % 60"
+    return f"(({s}) div 60) % 60"
 
 
 _D, _M = two("day(o_orderdate)"), two("month(o_orderdate)")
@@ -89,9 +89,9 @@ from {{orders}}"""
 
 _PRICE = "((o_orderkey * 37 + i * 1013) % 250000 + 100)"
 ITEM_SQL = {
-    "CGST": money(f"cast(floor({_PRICE} / 40) as bigint)"),
+    "CGST": money(f"{_PRICE} div 40"),
     "CouponNo": "case when (o_orderkey + i) % 10 = 0 then concat('K', cast(i as string)) end",
-    "DiscountAmount": money(f"cast(floor({_PRICE} / 20) as bigint)"),
+    "DiscountAmount": money(f"{_PRICE} div 20"),
     "FoodType": "case when (o_orderkey + 2 * i) % 3 = 0 then 'Non Veg' else 'Veg' end",
     "ItemCatagory": "case (o_custkey + i) % 4 when 0 then 'PIZZA' when 1 then 'TOPPING' when 2 then 'Food' else 'DRINK' end",
     "ItemName": "concat('Item ', cast((o_orderkey * 31 + i * 17) % 2000 as string))",
@@ -102,11 +102,11 @@ ITEM_SQL = {
     "PromoName": "case when (o_orderkey + i) % 3 = 0 then concat('Promo ', cast(i as string)) end",
     "Promono": "case when (o_orderkey + i) % 3 = 0 then cast(i as string) end",
     "Quantity": "concat('-', cast(1 + (o_orderkey + i) % 3 as string), case when i % 2 = 0 then '.00' else '' end)",
-    "SGST": money(f"cast(floor({_PRICE} / 40) as bigint)"),
+    "SGST": money(f"{_PRICE} div 40"),
     "SizeCode": "cast(i % 4 as string)",
     "StandardAmount": money(f"{_PRICE} + 500"),
     "TotalDiscount": money("i * 25"),
-    "TotalRoundedAmount": money(f"cast(floor({_PRICE} / 100) as bigint) * 100"),
+    "TotalRoundedAmount": money(f"({_PRICE} div 100) * 100"),
 }
 _PAID = "((o_orderkey * 53 + i * 7919) % 400000 + 50)"
 PAYMENT_SQL = {
@@ -226,7 +226,7 @@ class Inputs:
     @cached_property
     def feed(self) -> DataFrame:
         """All feed rows, with the day of their folder."""
-        rows = self.sql(FEED_SQL)
+        rows = self.sql(FEED_SQL, orders=self.order_table)
         return rows.withColumnsRenamed({f.name.replace(" ", "_"): f.name for f in FEED_SCHEMA.fields})
 
     @cached_property
