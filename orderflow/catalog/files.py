@@ -96,7 +96,6 @@ def blocklist_read(x: Inputs) -> DataFrame:
 
 
 _STORED = "cast(Header_Id as bigint) % 3 = 0"
-_STORED_KEYS = f"select Header_Id, Order_Date from ({_FACTS}) f where {_STORED}"
 
 
 @query("q_incremental_save", _FACTS)

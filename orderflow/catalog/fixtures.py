@@ -205,9 +205,9 @@ class Inputs:
 
     @cached_property
     def order_table(self) -> DataFrame:
-        """The orders table; spread over the cores where it has fewer files than those, as in the small scales."""
+        """The orders table; spread over the cores where its scan has fewer tasks, as in the small scales."""
         orders, cores = self.table("orders"), self.spark.sparkContext.defaultParallelism
-        return orders.repartition(cores, "o_orderkey") if len(orders.inputFiles()) < cores else orders
+        return orders.repartition(cores, "o_orderkey") if orders.rdd.getNumPartitions() < cores else orders
 
     @cached_property
     def headers(self) -> DataFrame:

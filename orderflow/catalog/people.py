@@ -12,6 +12,8 @@ from orderflow.functions import codes
 from orderflow.functions.phones import clean_phone
 from orderflow.functions.privacy import decrypt, encrypt, stable_id
 from orderflow.operators import dedupe, phones, privacy, state, timefill
+from orderflow.sources.scratch import new_folder
+from orderflow.sources.writers import write_snapshot
 
 table("filled_events", K.filled("event_times", "InvoiceDate", "StoreCode", "Enriched_Order_Time", "Header_Id"))
 
@@ -227,6 +229,18 @@ def mapping_merge(x: Inputs) -> DataFrame:
     return state.merge_mapping(*mapping_sides(x))
 
 
+@query("q_keyed_put", """
+select Header_Id, Store_No, Receipt_No from (select * from mapping_delta union all
+ select * from mapping_state where Header_Id not in (select Header_Id from mapping_delta)) m""")
+def keyed_put(x: Inputs) -> DataFrame:
+    old, new = mapping_sides(x)
+    first, second = new_folder(x.spark, "mapping"), new_folder(x.spark, "mapping")
+    write_snapshot(old, first)
+    stored = x.spark.read.schema(old.schema).parquet(first)
+    write_snapshot(state.replace_rows(stored, new, "Header_Id"), second)
+    return x.spark.read.schema(old.schema).parquet(second).select("Header_Id", "Store_No", "Receipt_No")
+
+
 @query("q_state_merge_union", "select * from mapping_delta")
 def state_merge_union(x: Inputs) -> DataFrame:
     old, new = mapping_sides(x)

@@ -7,9 +7,10 @@ from pyspark.sql import DataFrame, functions as F
 from orderflow.catalog import checks as K
 from orderflow.catalog.fixtures import Inputs, cents, clock12, clock24, money, two
 from orderflow.catalog.registry import query, table
+from orderflow.contract import BRAND_PREFIXES
 from orderflow.functions import amounts, codes, dates, times
 from orderflow.operators import shape
-from orderflow.operators.channels import shown_text
+from orderflow.operators.channels import match_text, shown_text
 
 _LINE = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
 _ODD = "when l_partkey % 23 = 0 then '' when l_partkey % 29 = 0 then 'abc' when l_partkey % 31 = 0 then null"
@@ -168,7 +169,6 @@ def order_keys(x: Inputs) -> DataFrame:
 select OrderNo, feed_date::varchar feed_day, Order_Date, case when Pasta_by_PH like 'PH%' then 'PizzaHut'
  when Pasta_by_PH like 'Pasta%' then 'PastaByPizzaHut' else Pasta_by_PH end brand from all_feed""")
 def prefix_label(x: Inputs) -> DataFrame:
-    from orderflow.contract import BRAND_PREFIXES
     return x.feed.select("OrderNo", F.col("feed_date").cast("string").alias("feed_day"), "Order_Date",
                          codes.prefix_label(shape.column("Pasta by PH"), BRAND_PREFIXES).alias("brand"))
 
@@ -210,6 +210,5 @@ def trim_case(x: Inputs) -> DataFrame:
 select o_orderkey, nullif(trim(kind), 'Unknown') shown, coalesce(trim(kind), 'Unknown') matched from (
  select o_orderkey, case when o_orderkey % 6 = 0 then 'Unknown' else OrderSource end kind from raw_orders) x""")
 def null_token(x: Inputs) -> DataFrame:
-    from orderflow.operators.channels import match_text
     kind = F.when(F.col("o_orderkey") % 6 == 0, "Unknown").otherwise(F.col("OrderSource"))
     return x.headers.select("o_orderkey", shown_text(kind).alias("shown"), match_text(kind).alias("matched"))

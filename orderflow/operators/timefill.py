@@ -8,6 +8,7 @@ from orderflow.functions.times import clock_of_seconds, day_seconds
 
 _DAY, _STORE, _LAST, _OWN, _EARLIER = "_day", "_store", "_last", "_own", "_earlier"
 _DIGEST, _BUCKET, _ROWS, _BEFORE, _LOCAL = "_digest", "_bucket", "_rows", "_before", "_local"
+RUN_DIGITS = 4  # hex digits of the digest that name a run: 65,536 runs per store day
 
 
 def last_times(df: DataFrame, time: str, day: str, store: str) -> DataFrame:
@@ -33,17 +34,16 @@ def fill_times(df: DataFrame, time: str = "Enriched_Order_Time", day: str = "Inv
                store: str = "StoreCode", key: str = "Header_Id") -> DataFrame:
     """Missing times become the store day's last time plus 0, 1, 2 ... seconds.
 
-    The rows of a store day are numbered in the order of their key's digest. The
-    first two hex digits split each store day into 256 runs: rows are numbered
-    within a run and shifted by the size of the runs before it, so a store day
-    with very many missing times is spread over many tasks. Rows that have a time
-    pass through without a shuffle; the earliest store days stay null when no time
-    comes before them.
+    The rows of a store day are numbered in the order of their key's digest. Its
+    first digits split each store day into runs: rows are numbered within a run and
+    shifted by the size of the runs before it, so a store day with very many missing
+    times is spread over many tasks. Rows that have a time pass through without a
+    shuffle; the earliest store days stay null when no time comes before them.
     """
     missing = (df.filter(F.col(time).isNull())
                .withColumns({_DAY: F.coalesce(F.col(day), F.lit("")), _STORE: F.coalesce(F.col(store), F.lit("")),
                              _DIGEST: F.md5(F.col(key))})
-               .withColumn(_BUCKET, F.substring(_DIGEST, 1, 2)))
+               .withColumn(_BUCKET, F.substring(_DIGEST, 1, RUN_DIGITS)))
     sizes = missing.groupBy(_DAY, _STORE, _BUCKET).agg(F.count(F.lit(1)).alias(_ROWS))
     runs = Window.partitionBy(_DAY, _STORE).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     starts = (sizes.withColumn(_BEFORE, F.coalesce(F.sum(_ROWS).over(runs), F.lit(0)))

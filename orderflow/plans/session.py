@@ -26,3 +26,9 @@ def configure(spark: SparkSession, shuffle_partitions: int | None = None) -> Spa
     if shuffle_partitions is not None:
         spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return spark
+
+
+def register_functions(spark: SparkSession) -> None:
+    """SQL forms of expressions that users call by name; they inline into the plan."""
+    spark.sql("""create or replace temporary function stable_id(value string) returns string
+                 return regexp_replace(md5(value), '^(.{8})(.{4})(.{4})(.{4})(.{12})$', '$1-$2-$3-$4-$5')""")

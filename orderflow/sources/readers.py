@@ -57,9 +57,12 @@ def read_feed(spark: SparkSession, root: str, days: Sequence[date], franchise: s
     All folders are read as one scan. Days without a folder have no rows.
     """
     folders = ",".join(sorted({f"{d:%Y/%m/%d}" for d in days}))
-    rows = read_or_empty(spark, f"{root.rstrip('/')}/{{{folders}}}/*.parquet", schema)
-    if not rows.inputFiles():
-        return rows.withColumn(FEED_DATE, F.lit(None).cast("date"))
+    try:
+        rows = spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{{{folders}}}/*.parquet")
+    except AnalysisException as error:
+        if _is_missing_path(error):
+            return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField(FEED_DATE, T.DateType())]))
+        raise
     folder = F.regexp_extract(F.col("_metadata.file_path"), r"(\d{4}/\d{2}/\d{2})/[^/]*$", 1)
     return (rows.withColumn(FEED_DATE, F.to_date(folder, FLOW_FORMAT))
             .filter(column("Franchise") == franchise))

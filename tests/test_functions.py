@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderflow.functions import amounts, codes, dates, nested, phones, privacy, times
+from orderflow.plans.session import register_functions
 
 KEY, IV = "0123456789abcdef0123456789abcdef", "abcdefghijklmnop"
 
@@ -150,6 +151,8 @@ def test_stable_id(spark):
     text = "OBiQL8TXNOvhB+wi8sz9Pg=="
     want = str(uuid.UUID(hex=hashlib.md5(text.encode()).hexdigest()))
     check(spark, [(text, want), (None, None)], privacy.stable_id)
+    register_functions(spark)
+    check(spark, [(text, want), (None, None)], lambda c: F.call_function("stable_id", c))
 
 
 ITEMS = "v array<struct<ItemNo:string,ItemCatagory:string,Promono:string,FoodType:string>>"
