@@ -23,8 +23,9 @@ def two(e: str) -> str:
 def money(cents: str, sign: str = "-") -> str:
     """Text such as ``-112,946.26`` of a whole number of cents below 100 million."""
     units, thousand = f"(({cents}) div 100)", f"(({cents}) div 100000)"
-    return (f"concat('{sign}', case when {thousand} > 0 then concat(cast({thousand} as string), ',', "
+    text = (f"concat('{sign}', case when {thousand} > 0 then concat(cast({thousand} as string), ',', "
             f"lpad(cast({units} % 1000 as string), 3, '0')) else cast({units} as string) end, '.', {two(f'({cents}) % 100')})")
+    return f"coalesce({text}, '')"  # the tables hold no nulls; saying so lets null filters on the text fold away
 
 
 def cents(e: str) -> str:

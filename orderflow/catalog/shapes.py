@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from orderflow import contract as C
-from orderflow.catalog import checks as K
 from orderflow.catalog.fixtures import Inputs
 from orderflow.catalog.registry import query
 from orderflow.functions import codes, dates, nested
