@@ -60,9 +60,7 @@ def rejects_roundtrip(x: Inputs) -> DataFrame:
 def keys_csv(x: Inputs) -> DataFrame:
     path = new_folder(x.spark, "keys")
     writers.write_keys(x.headers.select("OrderSource", "OrderType").distinct(), path)
-    return x.spark.read.option("header", True).option("ignoreLeadingWhiteSpace", False) \
-        .option("ignoreTrailingWhiteSpace", False).schema("OrderSource string, OrderType string").csv(path) \
-        .withColumn("OrderSource", F.when(F.col("OrderSource") == "Web", " Web ").otherwise(F.col("OrderSource")))
+    return x.spark.read.option("header", True).schema("OrderSource string, OrderType string").csv(path)
 
 
 @query("q_csv_lookup", """

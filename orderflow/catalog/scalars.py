@@ -101,7 +101,8 @@ def time_24h(x: Inputs) -> DataFrame:
 
 @query("q_hour", "select event_id, hour(ts) order_hour from events")
 def hour(x: Inputs) -> DataFrame:
-    return x.table("events").select("event_id", times.hour(F.date_format("ts", "HH:mm:ss")).alias("order_hour"))
+    hour_of_day = times.hour(F.date_format("ts", "HH:mm:ss"))
+    return x.table("events").select("event_id", hour_of_day.cast("bigint").alias("order_hour"))
 
 
 @query("q_day_part_live", f"select event_id, {K.day_part('hour(ts)', 5)} day_part from events")

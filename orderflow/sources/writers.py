@@ -36,8 +36,9 @@ def write_rejects(df: DataFrame, path: str, reason: str | None = None, mode: str
 
 
 def write_keys(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """A key list as CSV with a header."""
-    df.write.option("header", True).mode(mode).csv(path)
+    """A key list as CSV with a header, spaces around values kept."""
+    (df.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .mode(mode).csv(path))
 
 
 def write_snapshot(df: DataFrame, path: str, files: int | None = None) -> None:
