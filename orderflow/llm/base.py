@@ -22,9 +22,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def n_words(text: Column) -> Column:
     """Number of words of a text as a long; 0 for null."""
-    trimmed = F.regexp_replace(text, rf"^{SPACES}|{SPACES}$", "")
-    return (F.when(F.coalesce(trimmed, F.lit("")) == "", F.lit(0))
-            .otherwise(F.size(F.split(trimmed, SPACES)))).cast("long")
+    text = F.coalesce(text, F.lit(""))
+    blank = [F.substring(text, place, 1).isin(*" \t\n\x0b\x0c\r").cast("int") for place in (1, -1)]
+    parts = F.size(F.split(text, SPACES)) - blank[0] - blank[1]
+    return F.when(text == "", F.lit(0)).otherwise(parts).cast("long")
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

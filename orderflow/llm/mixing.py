@@ -45,7 +45,8 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
 def _class(size: Column) -> Column:
     """Documents of like size: the number of binary digits and the two after the first."""
     digits = F.length(F.bin(size))
-    return F.when(size < 4, size).otherwise(digits * 4 + F.substring(F.bin(size), 2, 2).try_cast("int")).cast("int")
+    upper = F.conv(F.substring(F.bin(size), 2, 2), 2, 10)
+    return F.coalesce(F.when(size < 4, size).otherwise(digits * 4 + upper.cast("int")).cast("int"), F.lit(0))
 
 
 def copies(docs: DataFrame, key: Column, pieces: int | None = None, text: str = "text", source: str = "source",
@@ -69,7 +70,7 @@ def copies(docs: DataFrame, key: Column, pieces: int | None = None, text: str =
     if pieces is None:
         pieces = max(1, -(-docs.count() // PIECE_ROWS))
     digest_part = F.floor(F.conv(F.substring("mix_digest", 1, 8), 16, 10).cast("double") / 2**32 * pieces)
-    sized = (sized.withColumn("mix_class", _class(F.col("mix_size"))).withColumn("mix_piece", digest_part.cast("int"))
+    sized = (sized.withColumn("mix_class", _class(F.col("mix_size"))).withColumn("mix_piece", F.coalesce(digest_part.cast("int"), F.lit(0)))
              .withColumn("mix_source", F.struct(F.col(source).alias("name"))))
     counts = sized.groupBy("mix_source", "mix_class", "mix_piece").agg(
         F.count("*").alias("rows"), F.sum("mix_size").alias("words"))
@@ -112,7 +113,7 @@ with sized as (
          md5(coalesce(doc_id::varchar, '')) as digest
   from documents),
 classed as (
-  select *, case when size < 4 then size else length(bin(size)) * 4 + substr(bin(size), 2, 2)::int end as class from sized),
+  select *, case when size < 4 then size else length(bin(size)) * 4 + substr(bin(size), 2, 1)::int * 2 + substr(bin(size), 3, 1)::int end as class from sized),
 sources as (
   select source, sum(size)::double as source_size, row_number() over (order by source nulls last) - 1 as place
   from classed group by source),
