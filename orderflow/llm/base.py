@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from orderflow.sources import scratch
 
@@ -37,6 +40,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def extended(schema: StructType, ddl: str) -> StructType:
+    """``schema`` with the columns of ``ddl`` after its own."""
+    return StructType([*schema.fields, *StructType.fromDDL(ddl).fields])
+
+
 def forget_on_exit(spark: SparkSession, path: str) -> None:
     """Has the file system drop ``path`` when the session's process ends."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -51,20 +59,27 @@ def buckets_for(total_bytes: int, each: int, least: int = 8) -> int:
 def bucketed(docs: DataFrame, buckets: int, name: str) -> DataFrame:
     """``docs`` with a column ``bucket``, stored so that a later grouping by it needs no exchange.
 
-    The bucket is a hash of all columns, so one source or one group of copies spreads evenly
-    unless its rows are equal in every column.
+    Rows spread evenly, whatever they hold: the bucket is a hash of the row's place in the input.
     """
     spark = docs.sparkSession
     files = max(4, buckets // 4)
     path = scratch.new_folder(spark, name)
     view = path.rsplit("/", 1)[1].replace("-", "_")
-    (docs.withColumn("bucket", F.pmod(F.xxhash64(*docs.columns), F.lit(buckets)).cast("int"))
+    (docs.withColumn("bucket", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(buckets)).cast("int"))
      .repartition(files, "bucket")
      .write.bucketBy(files, "bucket").sortBy("bucket").format("parquet").option("path", path).saveAsTable(view))
     forget_on_exit(spark, path)
     return spark.table(view)
 
 
+def kept(name: str, make):
+    """What ``make`` gives, made once in a worker's life: the package itself arrives anew with each task."""
+    store = sys.modules.setdefault("orderflow_kept", types.ModuleType("orderflow_kept")).__dict__
+    if name not in store:
+        store[name] = make()
+    return store[name]
+
+
 # Words of an Arrow string column as numbers -----------------------------------------------------------
 
 _SPACE = np.zeros(256, dtype=bool)
@@ -77,7 +92,7 @@ _SLICE = 1 << 18
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A one-to-one scrambling of 64-bit numbers (the splitmix64 finaliser)."""
-    x = np.asarray(x, dtype=np.uint64)
+    x = np.atleast_1d(np.asarray(x, dtype=np.uint64))
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
