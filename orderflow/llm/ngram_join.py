@@ -115,8 +115,7 @@ def _sets(docs: DataFrame, key: str, column: str, percent: int) -> DataFrame:
     """Every document's size of set, and the set itself where it may have a partner."""
     held = int(docs.agg(F.sum(F.octet_length(column)).alias("s")).first()["s"] or 0)
     buckets, segments = buckets_for(held, BUCKET_BYTES), buckets_for(held, SEGMENT_BYTES)
-    texts = bucketed(docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).cast("long").alias("id"),
-                                 F.col(column).alias("text")), buckets, "shingled")
+    texts = bucketed(docs.select("row", F.col(key).cast("long").alias("id"), F.col(column).alias("text")), buckets, "shingled")
 
     def lowest(batches):
         for batch in pieces(batches, BUCKET_BYTES):
@@ -257,8 +256,13 @@ def _search_links(prefixes: DataFrame, labels: DataFrame, sets: DataFrame, perce
     return left.unionByName(right).groupBy("group", "i", "j").applyInArrow(_searched(percent), "a long, b long")
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with the place of each row as ``row``; the same for each scan of one table."""
+    return docs.drop("row").withColumn("row", F.monotonically_increasing_id())
+
+
 def groups(docs: DataFrame, key: str = "doc_id", column: str = "text", percent: int = PERCENT) -> DataFrame:
-    """(row, key, n_shingles, component_id) for each row of ``docs``.
+    """(row, key, n_shingles, component_id, group) for each row of ``docs``, which has a distinct number ``row`` per row.
 
     Documents link when 100 * overlap >= ``percent`` * union of their sets of shingles (words folded to lower case
     in A-Z; shingles as 64-bit fingerprints). ``component_id`` is the smallest key that links reach, itself included.
@@ -272,7 +276,8 @@ def groups(docs: DataFrame, key: str = "doc_id", column: str = "text", percent:
 
     Nothing is left out: each step only drops pairs that cannot link or that are connected already. A document
     without words has an empty set and links with nothing; a null text has no words. A null key takes part and
-    is never the smallest while another is in its component. Rows may share a key. No rows give no rows.
+    is never the smallest while another is in its component. Rows may share a key; ``group`` numbers the components
+    whatever their keys. No rows give no rows.
     """
     table_ = _sets(docs, key, column, percent)
     own = table_.where("mark is not null")
@@ -287,10 +292,11 @@ def groups(docs: DataFrame, key: str = "doc_id", column: str = "text", percent:
     classes = sets.select("mark", "n", "set").join(final, "set", "left").withColumn("label", F.coalesce("label", "set")).drop("set")
     classed = own.select("row", "id", "mark", "n").join(classes, ["mark", "n"])
     smallest = classed.groupBy("label").agg(F.min("id").alias("component_id"))
-    found = classed.join(smallest, "label").select("row", "component_id")
+    found = classed.join(smallest, "label").select("row", "component_id", "label")
     return (table_.select("row", "id", "n").join(found, "row", "left")
-            .select("row", F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id")))
+            .select("row", F.col("id").alias(key), F.col("n").alias("n_shingles"),
+                    F.coalesce("component_id", "id").alias("component_id"), F.coalesce("label", -1 - F.col("row")).alias("group")))
 
 
 def op3_divide_skip(spark: SparkSession, folder: str) -> DataFrame:
-    return groups(table(spark, folder, "documents").select("doc_id", "text")).drop("row")
+    return groups(numbered(table(spark, folder, "documents").select("doc_id", "text"))).drop("row", "group")
