@@ -30,12 +30,11 @@ def identify(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Keeps, of each group of near duplicates, the document with the smallest id (the first row, if ids repeat)."""
-    found = ngram_join.groups(docs)
-    first = found.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
-    kept = staged(first.select(F.col("first.doc_id").alias("doc_id"), F.col("component_id").isNull().alias("unnamed")).distinct(), "kept")
-    named = docs.dropDuplicates(["doc_id"]).where("doc_id is not null").join(kept.where("not unnamed"), "doc_id", "left_semi")
-    return named.unionByName(docs.where("doc_id is null")).select(docs.columns)
+    """Keeps, of each group of near duplicates, the document with the smallest id, null last (the first row, if ids repeat)."""
+    rows = ngram_join.numbered(docs)
+    found = ngram_join.groups(rows)
+    first = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
+    return rows.join(first.select("first.row"), "row", "left_semi").select(docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
