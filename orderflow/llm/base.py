@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import sys
 import types
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -56,8 +56,8 @@ def buckets_for(total_bytes: int, each: int, least: int = 8) -> int:
     return max(least, -(-total_bytes // each))
 
 
-def bucketed(docs: DataFrame, buckets: int, name: str) -> DataFrame:
-    """``docs`` with a column ``bucket``, stored so that a later grouping by it needs no exchange.
+def bucketed(docs: DataFrame, buckets: int, name: str) -> tuple[DataFrame, Callable[[], None]]:
+    """``docs`` with a column ``bucket``, stored so that a later grouping by it needs no exchange; and what drops the store.
 
     Rows spread evenly, whatever they hold: the bucket is a hash of the row's place in the input.
     """
@@ -67,9 +67,16 @@ def bucketed(docs: DataFrame, buckets: int, name: str) -> DataFrame:
     view = path.rsplit("/", 1)[1].replace("-", "_")
     (docs.withColumn("bucket", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(buckets)).cast("int"))
      .repartition(files, "bucket")
-     .write.bucketBy(files, "bucket").sortBy("bucket").format("parquet").option("path", path).saveAsTable(view))
+     .write.bucketBy(files, "bucket").sortBy("bucket").format("parquet")
+     .option("compression", "zstd").option("path", path).saveAsTable(view))
     forget_on_exit(spark, path)
-    return spark.table(view)
+
+    def drop() -> None:
+        spark.sql(f"drop table if exists {view}")
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+    return spark.table(view), drop
 
 
 def kept(name: str, make):

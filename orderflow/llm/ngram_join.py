@@ -17,7 +17,7 @@ from orderflow.llm.exchange import SENT, answered, distinct_rows, found_at, know
 
 #: Words of a shingle, and the least similarity in hundredths.
 SHINGLE, PERCENT = 5, 80
-BUCKET_BYTES, SEGMENT_BYTES = 3 << 20, 32 << 20
+BUCKET_BYTES, SEGMENT_BYTES = 3 << 20, 8 << 20
 #: Sets and shingles in a block on average at most, where a group of candidates is large.
 BLOCK_SETS, BLOCK_SHINGLES = 100, 1 << 18
 #: Leaders that each list of sets compares its members with first.
@@ -115,7 +115,7 @@ def _sets(docs: DataFrame, key: str, column: str, percent: int) -> DataFrame:
     """Every document's size of set, and the set itself where it may have a partner."""
     held = int(docs.agg(F.sum(F.octet_length(column)).alias("s")).first()["s"] or 0)
     buckets, segments = buckets_for(held, BUCKET_BYTES), buckets_for(held, SEGMENT_BYTES)
-    texts = bucketed(docs.select("row", F.col(key).cast("long").alias("id"), F.col(column).alias("text")), buckets, "shingled")
+    texts, drop = bucketed(docs.select("row", F.col(key).cast("long").alias("id"), F.col(column).alias("text")), buckets, "shingled")
 
     def lowest(batches):
         for batch in pieces(batches, BUCKET_BYTES):
@@ -143,7 +143,9 @@ def _sets(docs: DataFrame, key: str, column: str, percent: int) -> DataFrame:
                          "mark": pa.array(marks, pa.binary()), "shingles": pa.array(held, pa.binary())})
 
     shared = answered(texts.select("bucket", "row", "text").mapInArrow(lowest, SENT), False)
-    return staged(texts.groupBy("bucket").cogroup(shared.groupBy("bucket")).applyInArrow(chosen, _SETS), "sets")
+    found = staged(texts.groupBy("bucket").cogroup(shared.groupBy("bucket")).applyInArrow(chosen, _SETS), "sets")
+    drop()
+    return found
 
 
 def _prefixes(sets: DataFrame, percent: int) -> DataFrame:

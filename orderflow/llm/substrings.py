@@ -12,8 +12,9 @@ from orderflow.llm.exchange import SENT, answered, distinct_rows, found_at, id_a
 
 #: Words of a window, rounds of recompression, text per bucket and per segment.
 WINDOW, ROUNDS = 13, 2
-BUCKET_BYTES, SEGMENT_BYTES = 3 << 20, 32 << 20
+BUCKET_BYTES, SEGMENT_BYTES = 3 << 20, 8 << 20
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
+_INVERSE = pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 
 
 class Symbols:
@@ -74,18 +75,38 @@ class Symbols:
         right[first] = np.maximum(self.right[first], self.right[first + 1])
         self.name, self.left, self.right, self.text = name[~closes], left[~closes], right[~closes], self.text[~closes]
 
-    def lowest(self, starts: np.ndarray, width: int) -> np.ndarray:
-        """For windows of words, the lowest scrambled name among symbols that the window alone decides."""
+    def lowest(self, starts: np.ndarray, width: int, spans: Spans) -> np.ndarray:
+        """For windows of words, a fingerprint of the lowest symbol, by scrambled name, that the window alone decides.
+
+        It holds the symbol and all words that decide it. Of equal names in a window the first is taken.
+        """
         low = np.searchsorted(self.left, starts)
         high = np.searchsorted(self.right, starts + width, side="right")
-        best = np.full(len(starts), _NONE)
-        if len(self.name):
-            key = mix(self.name)
-            for k in range(int((high - low).max(initial=0))):
-                best = np.minimum(best, np.where(low + k < high, key[np.minimum(low + k, len(key) - 1)], _NONE))
+        best, where = np.full(len(starts), _NONE), np.full(len(starts), -1)
+        key = mix(self.name)
+        for k in range(int((high - low).max(initial=0))):
+            at = np.minimum(low + k, len(key) - 1)
+            better = (low + k < high) & (key[at] < best)
+            best, where = np.where(better, key[at], best), np.where(better, at, where)
+        found = where >= 0
+        at = where[found]
+        best[found] = mix(key[at] ^ spans.of(self.left[at], self.right[at]))
         return best
 
 
+class Spans:
+    """Fingerprints of any runs of words, from those of all first words."""
+
+    def __init__(self, words: Words):
+        factor, back = (np.cumprod(np.full(len(words.hash) + 1, x, dtype=np.uint64)) for x in (0x9E3779B97F4A7C15, _INVERSE))
+        self.total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words.hash * factor[:-1], dtype=np.uint64)])
+        self.back = back
+
+    def of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The fingerprint of words left to right, wherever they stand: the factors up to the first word are divided out."""
+        return mix((self.total[right] - self.total[left]) * self.back[left])
+
+
 def window_starts(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
     """The first word of every window, and its text."""
     n = np.maximum(0, np.diff(words.begin) - width + 1)
@@ -99,11 +120,11 @@ def anchors(words: Words, starts: np.ndarray, width: int, rounds: int) -> np.nda
     It is the lowest of the symbols of the last round that the window decides by itself; where it decides none (long
     runs may leave it none), the lowest of an earlier round, and at last the window's own fingerprint.
     """
-    symbols, levels = Symbols(words), []
+    symbols, levels, spans = Symbols(words), [], Spans(words)
     for level in range(rounds):
         symbols.runs(2 * level)
         symbols.pairs(2 * level + 1)
-        levels.append(symbols.lowest(starts, width))
+        levels.append(symbols.lowest(starts, width, spans))
     result = np.full(len(starts), _NONE)
     for found in levels[::-1]:
         result = np.where(result == _NONE, found, result)
@@ -139,7 +160,7 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", column: str = "text",
     docs = docs.drop(*[f.split()[0] for f in added.split(", ")], "bucket")
     held = int(docs.agg(F.sum(F.octet_length(column)).alias("s")).first()["s"] or 0)
     buckets, segments = buckets_for(held, BUCKET_BYTES), buckets_for(held, SEGMENT_BYTES)
-    docs = bucketed(docs, buckets, "passages")
+    docs, _ = bucketed(docs, buckets, "passages")
     texts = docs.select("bucket", F.col(key).cast("long").alias("id"), F.col(column).alias("text"))
 
     def symbols(batches):
