@@ -19,7 +19,7 @@ from orderflow.llm.exchange import SENT, answered, distinct_rows, found_at, know
 SHINGLE, PERCENT = 5, 80
 BUCKET_BYTES, SEGMENT_BYTES = 3 << 20, 8 << 20
 #: Sets and shingles in a block on average at most, where a group of candidates is large.
-BLOCK_SETS, BLOCK_SHINGLES = 100, 1 << 18
+BLOCK_SETS, BLOCK_SHINGLES = 400, 1 << 18
 #: Leaders that each list of sets compares its members with first.
 LEADERS = 2
 #: Weight of a heap step against a probe, in the choice of how many lists are long.
