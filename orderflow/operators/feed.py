@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from orderflow.contract import FEED_DATE, FEED_EMAIL, FEED_WINDOW_DAYS
 from orderflow.functions.codes import web_order_number
-from orderflow.functions.dates import FLOW_FORMAT, flow_date, slashed
+from orderflow.functions.dates import FLOW_FORMAT, any_date, flow_date, slashed
 from orderflow.operators.dedupe import dedupe_by
 from orderflow.operators.shape import column
 from orderflow.operators.skew import lookup_join
@@ -39,22 +39,26 @@ def best_feed_rows(orders: DataFrame, feed: DataFrame, days: int = FEED_WINDOW_D
     """The preferred feed row per (store, order number, invoice day).
 
     A row of the same day wins, then the nearest order day, the later one, the
-    earlier time. Feed rows are repeated for the invoice days they serve and kept
+    earlier time. Order dates are read in any known spelling and carried on as
+    ``yyyy/MM/dd``; a row whose date cannot be read still matches, as another day
+    and after all others, with the date as it came. Rows without a date, a store or
+    a number match nothing. Feed rows are repeated for the invoice days they serve and kept
     only where orders of such a day exist. Those days are one row per calendar
     day, which bounds the broadcast.
     """
     wanted = orders.select(flow_date(F.col("InvoiceDate")).alias(_SERVED)).distinct()
-    feed = feed.withColumn("Order_Date", slashed(F.col("Order_Date").cast("string")))
+    given = F.col("Order_Date").cast("string")
+    day = F.coalesce(flow_date(slashed(given)), any_date(F.split(F.trim(given), "[ T]")[0]))
+    feed = feed.withColumn(_DAY, day).withColumn("Order_Date", F.coalesce(F.date_format(_DAY, FLOW_FORMAT), slashed(given)))
     if "Email" in feed.columns:
         feed = feed.withColumnRenamed("Email", FEED_EMAIL)
-    rows = (feed.withColumn(_DAY, flow_date(F.col("Order_Date")))
-            .filter(F.col(_DAY).isNotNull() & column("Store Code").isNotNull() & F.col("OrderNo").isNotNull())
+    rows = (feed.filter(F.col("Order_Date").isNotNull() & column("Store Code").isNotNull() & F.col("OrderNo").isNotNull())
             .withColumn(_SERVED, F.explode(served_days(F.col(FEED_DATE), days, trailing)))
             .join(F.broadcast(wanted), _SERVED, "left_semi")
             .withColumn(MATCH, F.when(F.col(_DAY) == F.col(_SERVED), SAME_DAY).otherwise(OTHER_DAY)))
     time = [column("Order Time").asc_nulls_last()] if "Order Time" in feed.columns else []
-    preference = [(F.col(MATCH) == SAME_DAY).desc(), F.abs(F.datediff(F.col(_DAY), F.col(_SERVED))),
-                  F.col(_DAY).desc(), *time]
+    preference = [(F.col(MATCH) == SAME_DAY).desc(), F.abs(F.datediff(F.col(_DAY), F.col(_SERVED))).asc_nulls_last(),
+                  F.col(_DAY).desc_nulls_last(), *time]
     return dedupe_by(rows, ["Store Code", "OrderNo", _SERVED], preference).drop(_DAY)
 
 

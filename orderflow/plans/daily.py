@@ -6,6 +6,7 @@ outputs and registers the order keys last, so a run that fails can be repeated.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from datetime import date
@@ -206,6 +207,13 @@ def mapping_rows(header: DataFrame, key: str, iv: str) -> DataFrame:
     return state.mapping_rows(rows, key, iv)
 
 
+def _is_of_day_or_later(path: str, state_root: str, run_date: date) -> bool:
+    """Whether ``path`` lies in a day's folder under ``state_root`` that is not before ``run_date``."""
+    root = state_root.rstrip("/") + "/"
+    found = re.match(r"(\d{4})/(\d{2})/(\d{2})(/|$)", path[len(root):]) if path.startswith(root) else None
+    return found is not None and date(*map(int, found.groups()[:3])) >= run_date
+
+
 HEADER_IDS = T.StructType([T.StructField("Header_Id", T.StringType())])
 
 
@@ -217,9 +225,14 @@ def run_day(spark: SparkSession, raw: DataFrame, feed: DataFrame, lookups: Looku
     the folder of the last snapshot per state table (``customers``, ``order_pii``,
     ``mapping``, ``processed``); new snapshots go to a folder of the run under
     ``state_root``, the order keys last. A run that fails leaves the earlier
-    snapshots as they were.
+    snapshots as they were. ``states`` must be of an earlier day: with the day's own
+    snapshot all its orders would count as stored and its facts be replaced by none,
+    so such a call raises ``ValueError`` before anything is written.
     """
     run, snapshots = readers.day_folder(output, run_date), readers.day_folder(state_root, run_date)
+    late = sorted(name for name, path in states.items() if _is_of_day_or_later(path, state_root, run_date))
+    if late:
+        raise ValueError(f"snapshots of {run_date} or later cannot be the state before it: {late}")
     processed = readers.read_or_empty(spark, states["processed"], HEADER_IDS)
     orders = build_orders(staged(raw, "raw-orders"), feed, processed, lookups, run_date, trailing=trailing,
                           stage=staged)

@@ -147,3 +147,11 @@ def test_second_run_skips_stored_orders(spark, lookups, feed, first_run):
     assert again == counts
     nothing = run(spark, lookups, feed, ORDERS, date(2024, 3, 8), states, root)
     assert nothing["baseline"] == 0 and nothing["customers"] == 3
+
+
+def test_a_days_own_snapshot_is_no_state_before_it(spark, lookups, feed, first_run):
+    root = first_run[0]
+    kept = spark.read.parquet(f"{root}/out/2024/03/06/BASELINE").count()
+    with pytest.raises(ValueError):
+        run(spark, lookups, feed, ORDERS, date(2024, 3, 6), {n: f"{root}/state/2024/03/06/{n}" for n in STATES}, root)
+    assert spark.read.parquet(f"{root}/out/2024/03/06/BASELINE").count() == kept > 0

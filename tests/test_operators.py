@@ -87,6 +87,16 @@ def test_match_window_is_on_the_folder_day(spark):
     assert matched(spark, orders, [("S", "1", "2024-03-05", "1", "2024-03-02")])["h"][0] is None
 
 
+def test_match_reads_other_spellings_of_dates(spark):
+    orders = [(f"h{n}", "S1", "2024/03/05", n) for n in "12345"]
+    rows = [("S1", "1", "2024-3-4", "a", "2024-03-05"), ("S1", "2", "05-03-2024", "b", "2024-03-05"),
+            ("S1", "3", "2024-03-05 10:00:00", "c", "2024-03-05"), ("S1", "4", "soon", "d", "2024-03-05"),
+            ("S1", "5", "soon", "e", "2024-03-05"), ("S1", "5", "2024-03-01", "f", "2024-03-05")]
+    assert matched(spark, orders, rows) == {
+        "h1": ("other_day", "2024/03/04", "a"), "h2": ("same_day", "2024/03/05", "b"), "h3": ("same_day", "2024/03/05", "c"),
+        "h4": ("other_day", "soon", "d"), "h5": ("other_day", "2024/03/01", "f")}
+
+
 def test_match_keeps_orders_without_a_feed(spark):
     orders = [("h1", "S", "2024/03/05", "1"), ("h2", "S", "2024/03/05", None)]
     got = feed.match_feed(order_frame(spark, orders), feed_frame(spark, []))
