@@ -67,14 +67,14 @@ def save_report(df: DataFrame, stored: DataFrame, date_column: str, key: str = "
 def save_new_rows(df: DataFrame, path: str, date_column: str, key: str = "Header_Id") -> DataFrame:
     """Appends what is not stored, all days in one pass, and returns the report of the save.
 
-    Only the stored partitions of the days in ``df`` are read; its days are one row
-    per calendar day and are broadcast. ``df`` is read more than once, so give it a
+    Only the stored partitions of the days in ``df`` are read. ``date_column`` may be text
+    that holds anything, so Spark chooses by size how its days are joined. ``df`` is read more than once, so give it a
     written table. The report is written before the rows, as the rows change what is
     stored.
     """
     schema = T.StructType([*df.schema.fields, T.StructField(PARTITION, T.StringType())])
     days = df.select(F.col(date_column).cast("string").alias(PARTITION)).distinct()
-    stored = (read_or_empty(df.sparkSession, path, schema).join(F.broadcast(days), PARTITION, "left_semi")
+    stored = (read_or_empty(df.sparkSession, path, schema).join(days, PARTITION, "left_semi")
               .select(date_column, key))
     report = staged(save_report(df, stored, date_column, key), "save-report")
     write_facts(unsaved_rows(df, stored, date_column, key), path, date_column, mode="append")
