@@ -249,13 +249,14 @@ def _search_links(prefixes: DataFrame, labels: DataFrame, sets: DataFrame, perce
     sizes = (parts.groupBy("group").agg(F.sum("sets").alias("all_sets"), F.sum("tokens").alias("all_tokens"), largest.alias("main"))
              .select("group", F.col("main.label").alias("main"), blocks(F.col("all_sets"), F.col("all_tokens")).alias("data"),
                      blocks(F.col("all_sets") - F.col("main.sets"), F.col("all_tokens") - F.col("main.tokens")).alias("queries")))
-    members = members.join(sizes, "group")
+    members = members.join(staged(sizes, "blocks"), "group")
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     own = lambda n: F.pmod(F.xxhash64("set"), F.col(n)).cast("int")
     columns = ["set", "label", "shingles"]
     left = members.where("label <> main").select("group", own("queries").alias("i"), spread("data").alias("j"), *columns, F.lit(0).alias("side"))
     right = members.select("group", spread("queries").alias("i"), own("data").alias("j"), *columns, F.lit(1).alias("side"))
-    return left.unionByName(right).groupBy("group", "i", "j").applyInArrow(_searched(percent), "a long, b long")
+    met = left.unionByName(right).repartition("group", "i", "j")  # else the join's partitioning by group would stay
+    return met.groupBy("group", "i", "j").applyInArrow(_searched(percent), "a long, b long")
 
 
 def numbered(docs: DataFrame) -> DataFrame:
@@ -283,7 +284,7 @@ def groups(docs: DataFrame, key: str = "doc_id", column: str = "text", percent:
     """
     table_ = _sets(docs, key, column, percent)
     own = table_.where("mark is not null")
-    sets = staged(own.groupBy("mark", "n").agg(F.first("shingles").alias("shingles"), F.count("*").alias("copies"))
+    sets = staged(own.groupBy("mark", "n").agg(F.first("shingles").alias("shingles"), F.min("id").alias("low"))
                   .withColumn("set", F.monotonically_increasing_id()), "classes")
     prefixes = staged(_prefixes(sets, percent), "prefixes")
     links = staged(_leader_links(prefixes, sets, percent), "links")
@@ -291,10 +292,11 @@ def groups(docs: DataFrame, key: str = "doc_id", column: str = "text", percent:
     first = label(components(links))
     more = staged(_search_links(prefixes, first, sets, percent), "found")
     final = label(components(links.unionByName(more)))
-    classes = sets.select("mark", "n", "set").join(final, "set", "left").withColumn("label", F.coalesce("label", "set")).drop("set")
-    classed = own.select("row", "id", "mark", "n").join(classes, ["mark", "n"])
-    smallest = classed.groupBy("label").agg(F.min("id").alias("component_id"))
-    found = classed.join(smallest, "label").select("row", "component_id", "label")
+    classes = staged(sets.select("mark", "n", "set", "low").join(final, "set", "left")
+                     .select("mark", "n", F.coalesce("label", "set").alias("label"), "low"), "labels")
+    smallest = staged(classes.groupBy("label").agg(F.min("low").alias("component_id")), "smallest")
+    classes = classes.join(smallest, "label").select("mark", "n", "label", "component_id")
+    found = own.select("row", "mark", "n").join(classes, ["mark", "n"]).select("row", "component_id", "label")
     return (table_.select("row", "id", "n").join(found, "row", "left")
             .select("row", F.col("id").alias(key), F.col("n").alias("n_shingles"),
                     F.coalesce("component_id", "id").alias("component_id"), F.coalesce("label", -1 - F.col("row")).alias("group")))
