@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -79,10 +80,18 @@ def bucketed(docs: DataFrame, buckets: int, name: str) -> tuple[DataFrame, Calla
     return spark.table(view), drop
 
 
+def give_back() -> None:
+    """Returns what freed arrays left with the worker's allocators, where the C library can; workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def kept(name: str, make):
     """What ``make`` gives, made once in a worker's life: the package itself arrives anew with each task."""
     store = sys.modules.setdefault("orderflow_kept", types.ModuleType("orderflow_kept")).__dict__
     if name not in store:
+        give_back()
         store[name] = make()
     return store[name]
 
@@ -191,6 +200,7 @@ def pieces(batches: Iterator[pa.RecordBatch], most: int = 8 << 20, column: str =
             held += int(size)
         if start < batch.num_rows:
             yield batch.slice(start)
+    give_back()
 
 
 # Blocks of packed numbers, sent by a range of their fingerprints ---------------------------------------

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from orderflow.llm.base import extended, kept, mix, pieces, table
 
 #: Pre-tokens whose ids a worker remembers at most; beyond it the older half of them is forgotten.
-REMEMBERED = 3 << 18
+REMEMBERED = 1 << 18
 #: Bytes of text that a task holds at once, or one document.
 PIECE_BYTES = 2 << 20
 
