@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from orderflow.llm.base import extended, pieces, table
+from orderflow.llm.base import extended, give_back, pieces, table
 
 #: Languages of a family by ISO 639-1 code. A language in no list is a family of its own.
 FAMILIES = {
@@ -135,8 +135,13 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", order: Column |
     found = sorted((r["lang"], r["x"]) for r in found if any(r["x"]))
     if not found:
         return None
-    return Model(np.frombuffer(b"".join(x for _, x in found), dtype=np.float32).reshape(-1, FEATURES),
-                 np.array([lang for lang, _ in found], dtype=object))
+    x = np.frombuffer(b"".join(x for _, x in found), dtype=np.float32).reshape(-1, FEATURES)
+    labels = np.array([lang for lang, _ in found], dtype=object)
+    del found
+    model = Model(x, labels)
+    del x
+    give_back()
+    return model
 
 
 def predict(docs: DataFrame, model: Model | None, column: str = "text") -> DataFrame:
