@@ -9,21 +9,25 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm.base import (Words, buckets_for, extended, mix, packed, pieces, segments_of, split_sorted, staged,
-                                table, unpacked)
+from orderflow.llm.base import (Words, bucketed, buckets_for, extended, mix, packed, pieces, segments_of, split_sorted,
+                                staged, table, unpacked)
+from orderflow.llm.exchange import found_at
 from orderflow.llm.language import remainder
 
 ORDER = 2
 #: Probes per level, and the base of the logarithm by which counts are quantised.
 PROBES, BASE = 3, 2.0
-#: Bits of the filter per token of the training texts, and the most bits: what is broadcast has this bound.
+#: Bits of the filter per token of the training texts, and the most bits of a filter that is broadcast; a larger one
+#: stays a table of segments that n-grams are sent to.
 BITS_PER_TOKEN, MOST_BITS = 6, 1 << 29
 #: Most words whose exact counts are broadcast; a larger vocabulary is joined.
 MOST_WORDS = 1 << 24
 #: Weight of the longest order in the interpolation; each shorter one takes the same share of the rest.
 WEIGHT = 0.6
-#: Training text per segment of the counting shuffle.
-SEGMENT_BYTES = 16 << 20
+#: Training text per segment of the counting shuffle, and scored text per bucket that sends its n-grams to segments.
+SEGMENT_BYTES, BUCKET_BYTES = 16 << 20, 4 << 20
+#: N-grams that a segment looks up at a time.
+PROBED = 1 << 20
 #: Fixed fingerprint of the end of a text.
 END = np.uint64(0x5851F42D4C957F2D)
 
@@ -157,6 +161,52 @@ def _merged(bits: int, segments: int):
     return segment
 
 
+def _told(keys: np.ndarray, known: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The value of each key among ascending known ones, or 0."""
+    at = found_at(keys, known)
+    return np.where(at >= 0, values[at], 0) if len(known) else np.zeros(len(keys), dtype=np.int64)
+
+
+def _probed(own: Filter, keys: list[np.ndarray]) -> list[np.ndarray]:
+    """Levels of the keys of each list, looked up in about PROBED at a time."""
+    ends = np.cumsum([len(k) for k in keys])
+    parts = np.split(np.arange(len(keys)), np.flatnonzero(np.diff(ends // PROBED)) + 1) if keys else []
+    result = []
+    for part in parts:
+        levels = own.levels(np.concatenate([keys[i] for i in part])).astype(np.uint8)
+        result.extend(np.split(levels, np.cumsum([len(keys[i]) for i in part])[:-1]))
+    return result
+
+
+def _scores(words: Words, order: int, total: int, known: int, levels, counts) -> list[pa.Array]:
+    """The columns of _SCORED; ``levels`` tells those of distinct n-grams, ``counts`` the exact counts of distinct words."""
+    base = math.log10(total + 0.5 * (known + 1))
+    runs = ngrams(words, order)
+    tokens = runs[0]
+    first = np.concatenate([[0], np.cumsum(np.diff(words.begin) + 1)[:-1]]).astype(np.int64)
+    sums = lambda values: np.add.reduceat(values, first) if len(words) else values
+    distinct, inverse = np.unique(tokens, return_inverse=True)
+    c = counts(distinct)
+    single = count_of(levels(distinct))[inverse]
+    low = (single + 0.5) / (total + 0.5 * (known + 1))
+    mixed = np.zeros(len(tokens))
+    rest = np.ones(len(tokens))
+    found = [single]
+    for k in range(1, order):
+        grams, back = np.unique(runs[k], return_inverse=True)
+        found.append(count_of(levels(grams))[back])
+    for k in range(order - 1, 0, -1):
+        under = np.roll(found[k - 1], 1)
+        usable = (runs[k] != 0) & (under > 0)
+        weight = np.where(usable, WEIGHT, 0.0)
+        mixed += rest * weight * np.minimum(1.0, found[k] / np.maximum(under, 1e-9))
+        rest *= 1 - weight
+    mixed += rest * low
+    return [pa.array(np.diff(words.begin) + 1, pa.int64()), pa.array(sums((c > 0).astype(np.int64)[inverse]), pa.int64()),
+            pa.array(np.full(len(words), total), pa.int64()), pa.array(sums((np.log10(c + 0.5) - base)[inverse])),
+            pa.array(sums(np.log10(mixed)))]
+
+
 class Model:
     """Counts of a training corpus: a table of segments, and what the driver needs of it."""
 
@@ -166,19 +216,19 @@ class Model:
         held = int(size["s"] or 0) + int(size["n"])
         self.segments = buckets_for(held, SEGMENT_BYTES, 16)
         wanted = max(1 << 16, held // 6 * BITS_PER_TOKEN)
-        self.bits = min(most_bits, 1 << (wanted - 1).bit_length())
+        self.bits = 1 << (wanted - 1).bit_length()
         self.table = staged(_counts(texts, order, self.segments).groupBy("segment")
                             .applyInArrow(_merged(self.bits, self.segments), _COUNTED), "ngrams")
         total = self.table.agg(F.sum("tokens").alias("t"), F.sum("known").alias("k")).first()
         self.tokens, self.known = int(total["t"] or 0), int(total["k"] or 0)
-        self.small = self.known <= most_words
-        part = Filter(self.bits, self.segments).part
-        data = bytearray(part * self.segments // 8)
-        for row in self.table.select("segment", "bits").toLocalIterator():
-            data[row["segment"] * part // 8:(row["segment"] + 1) * part // 8] = row["bits"]
-        self.filter = self.spark.sparkContext.broadcast(bytes(data))
-        self.words = None
+        self.small = self.bits <= most_bits and self.known <= most_words
+        self.filter = self.words = None
         if self.small:
+            part = Filter(self.bits, self.segments).part
+            data = bytearray(part * self.segments // 8)
+            for row in self.table.select("segment", "bits").toLocalIterator():
+                data[row["segment"] * part // 8:(row["segment"] + 1) * part // 8] = row["bits"]
+            self.filter = self.spark.sparkContext.broadcast(bytes(data))
             found = self.table.select("segment", "words", "counts").orderBy("segment").toLocalIterator()
             pairs = [(row["words"], row["counts"]) for row in found]
             self.words = self.spark.sparkContext.broadcast(
@@ -193,84 +243,85 @@ class Model:
         before its last token (at most 1), the lowest is smoothed as in ``base_score``. The quantised counts are
         what probes of the filter tell; a filter errs only upwards, by false hits.
 
-        Exact counts come from a broadcast table while the vocabulary has at most ``most_words`` words, else from a
-        join by word. Null counts as an empty text, which has the end as its only token. Words are told apart by
-        64-bit fingerprints. An empty corpus gives every token the same share. Columns of the names added go.
+        Filter and exact counts are broadcast while the filter has at most ``most_bits`` bits and the vocabulary at
+        most ``most_words`` words; else buckets of texts send their distinct n-grams to the segments and get the
+        levels and counts back, with the same result. Null counts as an empty text, which has the end as its only
+        token. Words are told apart by 64-bit fingerprints. An empty corpus gives every token the same share.
+        Columns of the names added go.
         """
         docs = docs.drop(*[f.split()[0] for f in _SCORED.split(", ")])
-        if self.words is not None:
-            return self._scored(docs, column)
-        numbered = staged(docs.withColumn("lm_row", F.monotonically_increasing_id()), "scored")
-        told = self._joined(numbered.select("lm_row", column), column)
-        return (self._scored(numbered, column).drop("n_known", "base_score").join(told, "lm_row")
-                .select(*[c for c in docs.columns if c != column], *[f.split()[0] for f in _SCORED.split(", ")]))
-
-    def _scored(self, docs: DataFrame, column: str) -> DataFrame:
-        """Scores in one pass; the exact columns hold only where the words are broadcast."""
+        return self._broadcast(docs, column) if self.small else self._exchanged(docs, column)
+
+    def _broadcast(self, docs: DataFrame, column: str) -> DataFrame:
+        """Scores in one pass, where each worker holds the whole model."""
         carried = [c for c in docs.columns if c != column]
         total, known, order, filtered, exact = self.tokens, self.known, self.order, self.filter, self.words
         bits, segments = self.bits, self.segments
         names = [*carried, *[f.split()[0] for f in _SCORED.split(", ")]]
-        base = math.log10(total + 0.5 * (known + 1))
 
         def rows(batches):
             own = Filter(bits, segments, filtered.value)
-            table_ = exact.value if exact is not None else None
+            words, counts = exact.value
             for batch in pieces(batches, 2 << 20, column):
-                words = Words(batch.column(column), fold=True)
-                runs = ngrams(words, order)
-                tokens = runs[0]
-                first = np.concatenate([[0], np.cumsum(np.diff(words.begin) + 1)[:-1]]).astype(np.int64)
-                sums = lambda values: np.add.reduceat(values, first) if len(words) else values
-                distinct, inverse = np.unique(tokens, return_inverse=True)
-                if table_ is not None and len(table_[0]):
-                    at = np.minimum(np.searchsorted(table_[0], distinct), len(table_[0]) - 1)
-                    c = np.where(table_[0][at] == distinct, table_[1][at], 0)
-                else:
-                    c = np.zeros(len(distinct), dtype=np.int64)
-                single = count_of(own.levels(distinct))[inverse]
-                low = (single + 0.5) / (total + 0.5 * (known + 1))
-                mixed = np.zeros(len(tokens))
-                rest = np.ones(len(tokens))
-                levels = [single]
-                for k in range(1, order):
-                    grams, back = np.unique(runs[k], return_inverse=True)
-                    levels.append(count_of(own.levels(grams))[back])
-                for k in range(order - 1, 0, -1):
-                    under = np.roll(levels[k - 1], 1)
-                    usable = (runs[k] != 0) & (under > 0)
-                    weight = np.where(usable, WEIGHT, 0.0)
-                    mixed += rest * weight * np.minimum(1.0, levels[k] / np.maximum(under, 1e-9))
-                    rest *= 1 - weight
-                mixed += rest * low
-                made = [pa.array(np.diff(words.begin) + 1, pa.int64()), pa.array(sums((c > 0).astype(np.int64)[inverse]), pa.int64()),
-                        pa.array(np.full(len(words), total), pa.int64()), pa.array(sums((np.log10(c + 0.5) - base)[inverse])),
-                        pa.array(sums(np.log10(mixed)))]
+                made = _scores(Words(batch.column(column), fold=True), order, total, known, own.levels,
+                               lambda keys: _told(keys, words, counts))
                 yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in carried], *made], names=names)
 
         return docs.mapInArrow(rows, extended(docs.select(carried).schema, _SCORED))
 
-    def _joined(self, numbered: DataFrame, column: str) -> DataFrame:
-        """Exact columns where the vocabulary is too large to broadcast: (row, word) joined with the words' counts."""
-        base = math.log10(self.tokens + 0.5 * (self.known + 1))
-
-        def split(batches):
-            for batch in pieces(batches, 1 << 20, column):
-                words = Words(batch.column(column), fold=True)
-                n = np.diff(words.begin) + 1
-                found, times = np.unique(np.stack([np.repeat(np.arange(len(n)).astype(np.uint64), n), ngrams(words, 1)[0]]), axis=1, return_counts=True)
-                yield pa.RecordBatch.from_arrays([batch.column("lm_row").take(pa.array(found[0].astype(np.int64))),
-                                                  pa.array(found[1].view(np.int64)), pa.array(times)], names=["lm_row", "word", "n"])
-
-        def listed(batches):
-            for batch in batches:
-                for words, counts in zip(batch.column(0), batch.column(1), strict=True):
-                    yield pa.RecordBatch.from_arrays([pa.array(unpacked(words, np.int64)), pa.array(unpacked(counts, np.int64))], names=["word", "c"])
-
-        counts = self.table.select("words", "counts").mapInArrow(listed, "word long, c long")
-        c = F.coalesce("c", F.lit(0))
-        return (numbered.mapInArrow(split, "lm_row long, word long, n long").join(counts, "word", "left").groupBy("lm_row")
-                .agg(F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("n_known"), F.sum(F.col("n") * (F.log10(c + 0.5) - base)).alias("base_score")))
+    def _exchanged(self, docs: DataFrame, column: str) -> DataFrame:
+        """Scores in buckets that ask the segments; an n-gram costs one entry per bucket, however frequent it is."""
+        carried = [c for c in docs.columns if c != column]
+        total, known, order, bits, segments = self.tokens, self.known, self.order, self.bits, self.segments
+        size = docs.agg(F.sum(F.octet_length(column)).alias("s"), F.count("*").alias("n")).first()
+        buckets = buckets_for(int(size["s"] or 0) + int(size["n"]), BUCKET_BYTES)
+        columns = [f"c{i}" for i in range(len(carried))]
+        given = docs.select(F.col(column).alias("text"), *[F.col(c).alias(n) for c, n in zip(carried, columns, strict=True)])
+        texts, drop = bucketed(given, buckets, "scored")
+
+        def keys_of(words: Words) -> tuple[np.ndarray, np.ndarray]:
+            runs = ngrams(words, order)
+            longer = np.concatenate([np.zeros(0, np.uint64), *runs[1:]])
+            return np.unique(runs[0]), np.unique(longer[longer != 0])
+
+        def asked(t: pa.Table) -> pa.Table:
+            words, grams = (dict(split_sorted(k, segments)) | {-1: k} for k in keys_of(Words(t.column("text"), fold=True)))
+            at, none = sorted((words.keys() | grams.keys()) - {-1}), slice(0, 0)
+            return pa.table({"segment": pa.array(at, pa.int32()), "bucket": pa.array([t.column("bucket")[0].as_py()] * len(at), pa.int32()),
+                             "words": pa.array([packed(words[-1][words.get(s, none)]) for s in at], pa.binary()),
+                             "grams": pa.array([packed(grams[-1][grams.get(s, none)]) for s in at], pa.binary())})
+
+        def told(left: pa.Table, right: pa.Table) -> pa.Table:
+            held = right.to_pylist()[0] if right.num_rows else {"words": b"", "counts": b"", "bits": b""}
+            own = Filter(bits, segments)
+            own.segments, own.data = 1, unpacked(held["bits"], np.uint8) if held["bits"] else np.zeros(own.part // 8, dtype=np.uint8)
+            known_words, counts = unpacked(held["words"], np.uint64), unpacked(held["counts"], np.int64)
+            asked_words = [unpacked(v, np.uint64) for v in left.column("words")]
+            levels, longer = _probed(own, asked_words), _probed(own, [unpacked(v, np.uint64) for v in left.column("grams")])
+            exact = [_told(keys, known_words, counts) for keys in asked_words]
+            return pa.table({"bucket": left.column("bucket"), "part": left.column("segment"), "levels": pa.array([packed(v) for v in levels], pa.binary()),
+                             "longer": pa.array([packed(v) for v in longer], pa.binary()),
+                             "exact": pa.array([packed(v.astype(np.int64)) for v in exact], pa.binary())})
+
+        def scored(left: pa.Table, right: pa.Table) -> pa.Table:
+            right = right.sort_by("part")
+            answer = {n: np.concatenate([np.zeros(0, k), *[unpacked(v, k) for v in right.column(n)]])
+                      for n, k in (("levels", np.uint8), ("longer", np.uint8), ("exact", np.int64))}
+            words = Words(left.column("text"), fold=True)
+            single, longer = keys_of(words)
+
+            every, place = np.unique(np.concatenate([single, longer]), return_index=True)
+            level = np.concatenate([answer["levels"], answer["longer"]])[place].astype(np.int64)
+            made = _scores(words, order, total, known, lambda keys: _told(keys, every, level), lambda keys: _told(keys, single, answer["exact"]))
+            return pa.table([*[left.column(n) for n in columns], *made], names=[*columns, *[f.split()[0] for f in _SCORED.split(", ")]])
+
+        requests = texts.select("bucket", "text").groupBy("bucket").applyInArrow(asked, "segment int, bucket int, words binary, grams binary")
+        answers = staged(requests.groupBy("segment").cogroup(self.table.select("segment", "words", "counts", "bits").groupBy("segment"))
+                         .applyInArrow(told, "bucket int, part int, levels binary, longer binary, exact binary"), "levels")
+        found = staged(texts.groupBy("bucket").cogroup(answers.groupBy("bucket"))
+                       .applyInArrow(scored, extended(texts.select(columns).schema, _SCORED)), "scores")
+        drop()
+        return found.toDF(*carried, *[f.split()[0] for f in _SCORED.split(", ")])
 
 
 def op4_log_frequency_bloom(spark: SparkSession, folder: str) -> DataFrame:

@@ -149,6 +149,16 @@ def test_scores(spark, docs):
             assert r.score < 0
 
 
+def test_filter_beyond_the_broadcast_bound(spark, docs):
+    given = docs.where("doc_id is not null").select("doc_id", "text")
+    whole, parts = lm.Model(given), lm.Model(given, most_bits=1 << 10)
+    assert whole.small and not parts.small and parts.bits == whole.bits > 1 << 10
+    found = [sorted(model.score(given.union(given.limit(3))).collect(), key=lambda r: (r.doc_id, r.n_tokens)) for model in (whole, parts)]
+    assert len(found[0]) == len(found[1]) > 3
+    for a, b in zip(*found, strict=True):
+        assert a[:4] == b[:4] and b.base_score == pytest.approx(a.base_score, abs=1e-9) and b.score == pytest.approx(a.score, abs=1e-9)
+
+
 def test_filter_keeps_quantised_counts():
     grams, counts = np.arange(1, 2000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15), np.arange(1, 2000)
     table = pa.table({"segment": [0], "words": [grams.tobytes()], "n": [counts.astype(np.uint32).tobytes()], "grams": [b""], "m": [b""], "over": [b""]})
