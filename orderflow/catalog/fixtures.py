@@ -53,7 +53,10 @@ def _minute(s: str) -> str:
 _D, _M = two("day(o_orderdate)"), two("month(o_orderdate)")
 _Y = "cast(year(o_orderdate) as string)"
 _P9 = "lpad(cast((o_custkey * 7919) % 1000000000 as string), 9, '0')"
-_STORE = "concat('S', lpad(cast(o_custkey % 40 as string), 3, '0'))"
+#: Orders name all stores and, for about one in nine, a number beyond the last that no store has.
+_STORE_NO = "(o_custkey % (select max(s_suppkey) + max(s_suppkey) div 8 + 2 from {supplier}))"
+_CODE = "concat('S', lpad(cast({n} as string), cast(greatest(3, length(cast({n} as string))) as int), '0'))"
+_STORE = _CODE.replace("{n}", _STORE_NO)
 _SECONDS = "((o_orderkey * 37) % 86400)"
 _CLOSED = "((o_orderkey * 37 + 900) % 86400)"
 
@@ -79,7 +82,7 @@ select o_orderkey, o_custkey, cast(o_orderkey as string) OrderId, cast(o_orderke
    when 6 then concat('5', {_P9}) else concat('6', {_P9}) end PhoneNo,
  case when o_custkey % 9 = 0 then null else concat('Customer ', cast(o_custkey as string)) end CustomerName,
  case when o_custkey % 5 = 0 then null else concat('c', cast(o_custkey as string), '@example.com') end Email,
- concat('City ', cast(o_custkey % 12 as string)) City, concat('Store ', cast(o_custkey % 40 as string)) StoreName,
+ concat('City ', cast(o_custkey % 12 as string)) City, concat('Store ', cast({_STORE_NO} as string)) StoreName,
  concat('C', cast(o_orderkey % 3 as string)) Counter, concat('INV', cast(o_orderkey as string)) InvoiceNo,
  case when o_orderkey % 15 = 0 then concat('CP', cast(o_orderkey % 4 as string)) end CouponNo,
  case when o_orderkey % 2 = 0 then 'Yes' else 'No' end OriginatedFromStore,
@@ -165,15 +168,15 @@ select concat('Owner ', cast(s_nationkey as string)) FZE, concat('CH', cast(s_su
  concat('Town ', cast(s_suppkey % 9 as string)) City, concat('State ', cast(s_suppkey % 4 as string)) State,
  concat('Zone ', cast(s_suppkey % 3 as string)) Zone, concat('Cluster ', cast(s_suppkey % 5 as string)) Cluster,
  'Format' Format, 'High street' Location, concat('Tier ', cast(s_suppkey % 2 as string)) Tier,
- concat('Region ', cast(s_suppkey % 6 as string)) Region, concat('S', lpad(cast(s_suppkey as string), 3, '0')) updated_code
-from {supplier} where s_suppkey < 35"""
+ concat('Region ', cast(s_suppkey % 6 as string)) Region, """ + _CODE.replace("{n}", "s_suppkey") + """ updated_code
+from {supplier}"""
 
 CUSTOMERS_SQL = """
 select concat('9', lpad(cast((c_custkey * 7919) % 1000000000 as string), 9, '0')) Mobile_Number,
  concat('C', cast(c_custkey as string)) Customer_Id, date '1996-01-01' + cast(c_custkey % 700 as int) first_day,
  date '1998-01-01' + cast(c_custkey % 900 as int) last_day, c_custkey % 3 = 0 Valid, c_custkey % 11 = 0 Unsubscribed,
  case when c_custkey % 11 = 0 then '1999-06-01' else '' end Unsubscribe_Date
-from {customer} where c_custkey % 2 = 0"""
+from {customer}"""
 
 EVENT_TIMES_SQL = f"""
 select event_id, concat(cast(year(ts) as string), '/', {two('month(ts)')}, '/', {two('day(ts)')}) InvoiceDate,

@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from orderflow.catalog import fixtures
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
 # The library's own queries; the training-data operators, if they are there, have tests of their own.
@@ -43,3 +44,14 @@ def test_only_encryption_lacks_a_check():
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns == ["order_date", "store", "order_count", "net_amount", "tax_amount"] and df.count() > 0
+
+
+def test_inputs_take_every_store_and_customer(spark):
+    x = fixtures.Inputs(spark, "/root/testdata/sf0.01")
+    stores = {r.updated_code for r in x.raw_stores.collect()}
+    named = {r.StoreCode for r in x.headers.select("StoreCode").distinct().collect()}
+    assert len(stores) == x.raw_stores.count() == x.table("supplier").count()
+    assert stores <= named and named - stores
+    assert x.customers.count() == x.table("customer").count()
+    many = x.sql(fixtures.STORES_SQL, supplier=spark.range(2000).selectExpr("id s_suppkey", "id % 25 s_nationkey"))
+    assert many.select("updated_code").distinct().count() == 2000
