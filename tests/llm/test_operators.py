@@ -159,6 +159,15 @@ def test_filter_beyond_the_broadcast_bound(spark, docs):
         assert a[:4] == b[:4] and b.base_score == pytest.approx(a.base_score, abs=1e-9) and b.score == pytest.approx(a.score, abs=1e-9)
 
 
+def test_words_in_every_text_go_through_the_segments(spark, data, monkeypatch):
+    monkeypatch.setattr(lm.Model, "_broadcast", None)  # the query takes the same way at every size
+    rows = lm.op4_log_frequency_bloom(spark, data)
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    assert rows.count() == docs.count() and rows.where("n_known < 1 or score >= 0").count() == 0  # the end is known in all
+    keys = np.unique(np.random.default_rng(3).integers(0, 1 << 63, 1000).astype(np.uint64))
+    assert (lm.spread(lm.squeezed(keys)) == keys).all() and not len(lm.spread(lm.squeezed(keys[:0])))
+
+
 def test_filter_keeps_quantised_counts():
     grams, counts = np.arange(1, 2000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15), np.arange(1, 2000)
     table = pa.table({"segment": [0], "words": [grams.tobytes()], "n": [counts.astype(np.uint32).tobytes()], "grams": [b""], "m": [b""], "over": [b""]})
