@@ -14,12 +14,12 @@ from orderflow.llm.base import (Words, bucketed, buckets_for, extended, mix, pac
 from orderflow.llm.exchange import found_at
 from orderflow.llm.language import remainder
 
-ORDER = 2
+ORDER = 3
 #: Probes per level, and the base of the logarithm by which counts are quantised.
 PROBES, BASE = 3, 2.0
-#: Bits of the filter per token of the training texts, and the most bits of a filter that is broadcast; a larger one
+#: Bits of the filter per token of the training texts and order above the first, and the most bits of a filter that is broadcast; a larger one
 #: stays a table of segments that n-grams are sent to.
-BITS_PER_TOKEN, MOST_BITS = 6, 1 << 29
+BITS_PER_TOKEN, MOST_BITS = 8, 1 << 29
 #: Most words whose exact counts are broadcast; a larger vocabulary is joined.
 MOST_WORDS = 1 << 24
 #: Weight of the longest order in the interpolation; each shorter one takes the same share of the rest.
@@ -224,8 +224,7 @@ class Model:
         self.order, self.spark = order, texts.sparkSession
         held = int(size["s"] or 0) + int(size["n"])
         self.segments = buckets_for(held, SEGMENT_BYTES, 16)
-        wanted = max(1 << 16, held // 6 * BITS_PER_TOKEN)
-        self.bits = 1 << (wanted - 1).bit_length()
+        self.bits = max(1 << 16, held // 6 * BITS_PER_TOKEN * max(1, order - 1))
         self.table = staged(_counts(texts, order, self.segments).groupBy("segment")
                             .applyInArrow(_merged(self.bits, self.segments), _COUNTED), "ngrams")
         total = self.table.agg(F.sum("tokens").alias("t"), F.sum("known").alias("k")).first()

@@ -159,6 +159,33 @@ def test_filter_beyond_the_broadcast_bound(spark, docs):
         assert a[:4] == b[:4] and b.base_score == pytest.approx(a.base_score, abs=1e-9) and b.score == pytest.approx(a.score, abs=1e-9)
 
 
+def test_score_interpolates_quantised_counts(spark, docs, monkeypatch):
+    monkeypatch.setattr(lm, "BITS_PER_TOKEN", 1 << 12)  # hardly any false hits
+    given = docs.where("doc_id is not null").select("doc_id", "text")
+    given = given.union(spark.range(1000, 1003).select("id", F.repeat(F.lit("a "), 400)))  # counts beyond a byte
+    tokens = lambda t: [*WORD.findall((t or "").translate(FOLD)), None]
+    train = [tokens(r.text) for r in given.collect() if crc32(str(r.doc_id).encode()) % 5 != 1]
+    counts = Counter(tuple(t[i:i + k]) for t in train for k in range(1, lm.ORDER + 1) for i in range(len(t) - k + 1))
+    n, v = sum(map(len, train)), sum(len(run) == 1 for run in counts)
+
+    def quantised(run):
+        low = 1 << counts[run].bit_length() - 1 if counts[run] else 0
+        return (low + max(low, 2 * low - 1)) / 2
+
+    def probability(t, i):
+        found, rest = 0.0, 1.0
+        for k in range(min(lm.ORDER, i + 1), 1, -1):
+            if under := quantised(tuple(t[i - k + 1:i])):
+                found += rest * lm.WEIGHT * min(1.0, quantised(tuple(t[i - k + 1:i + 1])) / under)
+                rest *= 1 - lm.WEIGHT
+        return found + rest * (quantised((t[i],)) + 0.5) / (n + 0.5 * (v + 1))
+
+    assert lm.ORDER >= 3 and max(counts.values()) > 255
+    for r in lm.Model(given.where(language.remainder("doc_id", 5) != 1), most_words=0).score(given.withColumn("again", F.col("text"))).collect():
+        own = tokens(r.again)
+        assert r.score == pytest.approx(sum(math.log10(probability(own, i)) for i in range(len(own))), abs=1e-8)
+
+
 def test_words_in_every_text_go_through_the_segments(spark, data, monkeypatch):
     monkeypatch.setattr(lm.Model, "_broadcast", None)  # the query takes the same way at every size
     rows = lm.op4_log_frequency_bloom(spark, data)
