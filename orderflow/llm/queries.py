@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from orderflow.llm import bpe, chat, embeddings, language, lm, mixing, ngram_join, quality, substrings, warc
+from orderflow.llm import bpe, chat, decontamination, divergence, embeddings, infill, language, lm, mixing, ngram_join, quality, substrings, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_arc_to_warc": warc.op1_arc_to_warc,
@@ -20,6 +20,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_recompression": substrings.op8_recompression,
     "op9_two_tier_bpe": bpe.op9_two_tier_bpe,
     "op10_systematic_mix": mixing.op10_systematic_mix,
+    "op11_source_divergence": divergence.op11_source_divergence,
+    "op12_learned_rank_infill": infill.op12_learned_rank_infill,
+    "op13_automaton_decontamination": decontamination.op13_automaton_decontamination,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -29,4 +32,7 @@ CHECKS: dict[str, str] = {
     "op5_snapshot_collapse": chat.OP5_SQL,
     "op8_recompression": substrings.OP8_SQL,
     "op10_systematic_mix": mixing.OP10_SQL,
+    "op11_source_divergence": divergence.OP11_SQL,
+    "op12_learned_rank_infill": infill.OP12_SQL,
+    "op13_automaton_decontamination": decontamination.OP13_SQL,
 }
