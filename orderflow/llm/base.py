@@ -114,7 +114,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _slice_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+def slice_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Fingerprints of words, eight bytes of each at a time; ``data`` is followed by seven spare bytes."""
     window = np.ndarray(len(data) - 7, dtype="<u8", buffer=data, strides=(1,)).copy()
     result = mix(lengths.astype(np.uint64))
@@ -167,7 +167,7 @@ class Words:
             begin = self.first[a]
             part = self.data[begin:self.last[b - 1]]
             part = np.concatenate([_FOLD[part] if fold else part, np.zeros(7, dtype=np.uint8)])
-            self.hash[a:b] = _slice_hashes(part, self.first[a:b] - begin, self.last[a:b] - self.first[a:b])
+            self.hash[a:b] = slice_hashes(part, self.first[a:b] - begin, self.last[a:b] - self.first[a:b])
 
     def __len__(self) -> int:
         return len(self.begin) - 1

@@ -54,10 +54,13 @@ class Automaton:
         self.states = ahocorasick.Automaton()
         for spelling, numbers in owners.items():
             self.states.add_word(spelling, (len(spelling) // 2, numbers))
-        self.states.make_automaton()
+        if owners:
+            self.states.make_automaton()
 
     def read(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
         """Stretches of words inside windows, as first and end, and the items that have one."""
+        if not self.items:
+            return [], set()
         get = self.letters.get
         spelt = "".join([get(w, "\0\0") for w in words])
         stretches: list[tuple[int, int]] = []

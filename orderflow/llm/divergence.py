@@ -1,7 +1,7 @@
 """Divergence of sources: how far the terms of each source of a language stray from those of the others.
 
-Texts are factored into whitespace chunks: each task counts the chunks of its documents, every chunk that occurs
-anywhere is cut into terms once, and the terms are joined back to the counts.
+Texts are factored into whitespace chunks: each task counts the chunks of its documents; a bucket of chunks cuts every
+chunk that occurs anywhere into terms once and joins the terms back to the counts; a bucket of terms adds them up.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orderflow.llm.base import LOWER, UPPER, buckets_for, pieces, staged, table
+from orderflow.llm.base import LOWER, UPPER, buckets_for, packed, pieces, slice_hashes, staged, table
 
 #: Fixed value: a term.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
@@ -27,19 +27,118 @@ TOP = 200
 #: Fixed value: shares are whole numbers of this part.
 UNIT = 1_000_000_000
 
+#: Bytes to bytes of terms: letters folded, all other ASCII a space.
+_TERM_BYTES = np.array([c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c > 127 else 32 for c in range(256)], dtype=np.uint8)
 #: Distinct chunks that a task gathers before it sends them on.
 _HELD = 1 << 19
 _PIECE_BYTES = 4 << 20
+#: Bytes of text whose chunks a bucket gets, on average.
+_BUCKET_BYTES = 12 << 20
 #: Rows of (source, term) that one task compares, on average.
 _BLOCK_ROWS = 1 << 18
 
-_COUNTED = "lang string, source string, chunk string, n long, documents long, low long, high long"
+_FOLDED = "lang string, source string, bucket int, lengths binary, parts binary, n binary, documents binary, low binary, gap binary"
+_FOLDED_ARROW = pa.schema([("lang", pa.string()), ("source", pa.string()), ("bucket", pa.int32()),
+                           *[(c, pa.binary()) for c in ("lengths", "parts", "n", "documents", "low", "gap")]])
+_KEPT = "lang string, source string, term string, count long, lang_count long, lead boolean"
+
+
+class Counts:
+    """Counts of chunks or terms (``parts``) by group: a key is group number x number of parts + part number.
+
+    Beside the occurrences ``n`` stand the documents, as far as it matters: 1, 2, or 3 for three and more, with the
+    smallest and the largest of them. Up to two these are all there are, so counts of different places add up
+    exactly without a list of documents.
+    """
+
+    def __init__(self, groups: list[tuple[str, str]], parts: pa.Array, key, n, documents, low, high):
+        self.groups, self.parts = groups, parts
+        order = np.argsort(key, kind="stable")
+        key, n, documents, low, high = (x[order] for x in (key, n, documents, low, high))
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+        self.key = key[first]
+        if not len(key):
+            self.n, self.documents, self.low, self.high = n, documents, low, high
+            return
+        size = np.diff(np.append(first, len(key)))
+        self.n = np.add.reduceat(n, first)
+        self.low, self.high = np.minimum.reduceat(low, first), np.maximum.reduceat(high, first)
+        least, most = np.repeat(self.low, size), np.repeat(self.high, size)
+        third = (documents > 2) | (low != least) & (low != most) | (high != least) & (high != most)
+        self.documents = np.where(np.logical_or.reduceat(third, first), 3, np.where(self.low == self.high, 1, 2)).astype(np.uint8)
+
+    @property
+    def group(self) -> np.ndarray:
+        return self.key // max(1, len(self.parts))
+
+    @property
+    def part(self) -> np.ndarray:
+        return self.key % max(1, len(self.parts))
+
+    @classmethod
+    def joined(cls, rows: list[tuple]) -> Counts:
+        """Counts out of rows of (groups, group numbers, parts, n, documents, low, high), those of one key added up."""
+        numbers: dict[tuple[str, str], int] = {}
+        group = [np.array([numbers.setdefault(g, len(numbers)) for g in groups], dtype=np.int64)[at] if len(at) else at for groups, at, *_ in rows]
+        parts = pa.chunked_array([r[2] for r in rows], pa.large_string()).combine_chunks().dictionary_encode()
+        codes = parts.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        key = np.concatenate(group) * max(1, len(parts.dictionary)) + codes
+        return cls(list(numbers), parts.dictionary, key, *[np.concatenate([r[i] for r in rows]) for i in range(3, 7)])
+
+    def rows(self) -> tuple:
+        return self.groups, self.group, self.parts.take(pa.array(self.part)), self.n, self.documents, self.low, self.high
+
+    def packed(self, buckets: int) -> pa.RecordBatch:
+        """A row per group and bucket of parts, with the counts packed."""
+        bucket = _buckets_of(self.parts, buckets)[self.part] if len(self.key) else np.zeros(0, np.int64)
+        order = np.lexsort((bucket, self.group))
+        owner = (self.group * buckets + bucket)[order]
+        first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else np.zeros(0, np.int64)
+        last = np.append(first[1:], len(owner))[:len(first)]
+        data, bounds = _bytes_of(self.parts.take(pa.array(self.part[order])))
+        lengths, text = np.diff(bounds).astype(np.uint32), data.tobytes()
+        n, documents, low, gap = self.n[order], self.documents[order], self.low[order], (self.high - self.low)[order]
+        cut = lambda values: pa.array([packed(values[a:b]) for a, b in zip(first, last, strict=True)], pa.binary())
+        places = list(zip(bounds[first].tolist(), bounds[last].tolist(), strict=True))
+        names = [self.groups[g] for g in (owner[first] // buckets).tolist()]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([g[0] for g in names], pa.string()), pa.array([g[1] for g in names], pa.string()), pa.array(owner[first] % buckets, pa.int32()),
+             cut(lengths), pa.array([text[a:b] for a, b in places], pa.binary()), cut(n), cut(documents), cut(low), cut(gap)], schema=_FOLDED_ARROW)
+
+    @classmethod
+    def unpacked(cls, t: pa.Table) -> Counts:
+        """The counts of packed rows, added up."""
+        numbers: dict[tuple[str, str], int] = {}
+        group = np.array([numbers.setdefault(g, len(numbers)) for g in zip(t.column("lang").to_pylist(), t.column("source").to_pylist(), strict=True)], dtype=np.int64)
+        flat = lambda c, kind: np.frombuffer(b"".join(t.column(c).to_pylist()), dtype=kind)
+        lengths = flat("lengths", np.uint32)
+        bounds = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+        texts = pa.Array.from_buffers(pa.large_string(), len(lengths), [None, pa.py_buffer(bounds), pa.py_buffer(flat("parts", np.uint8))])
+        owner = np.repeat(group, np.array(pc.binary_length(t.column("lengths")), dtype=np.int64) // 4)
+        low = flat("low", np.int64)
+        return cls.joined([(list(numbers), owner, texts, flat("n", np.int64), flat("documents", np.uint8), low, low + flat("gap", np.int64))])
+
+
+def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts (large strings without nulls) in one array, and where each begins and ends."""
+    if not len(texts):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    bounds = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2], dtype=np.uint8) if bounds[-1] else np.zeros(0, np.uint8)
+    return data[bounds[0]:bounds[-1]], bounds - bounds[0]
+
+
+def _buckets_of(texts: pa.Array, buckets: int) -> np.ndarray:
+    """The bucket of each text, by a hash of all its bytes."""
+    data, bounds = _bytes_of(texts)
+    padded = np.concatenate([data, np.zeros(7, np.uint8)])
+    return (slice_hashes(padded, bounds[:-1], np.diff(bounds)) % np.uint64(buckets)).astype(np.int64)
 
 
 # Chunks of documents -----------------------------------------------------------------------------------
 
-def _piece_counts(batch: pa.RecordBatch) -> pa.Table:
-    """Per (lang, source, chunk) of a piece: occurrences, documents, smallest and largest row."""
+def _piece_counts(batch: pa.RecordBatch) -> Counts:
+    """Counts of the chunks of a piece."""
     codes: dict[tuple[str, str], int] = {}
     pairs = zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), strict=True)
     group = np.array([codes.setdefault(p, len(codes)) for p in pairs], dtype=np.int64)
@@ -50,99 +149,111 @@ def _piece_counts(batch: pa.RecordBatch) -> pa.Table:
     size = max(1, len(words))
     useful = np.array(pc.match_substring_regex(words, _TERM_LETTER), dtype=bool)[at] if len(words) else np.zeros(0, bool)
     per_document, n = np.unique(owner[useful] * size + at[useful], return_counts=True)
-    row, word = per_document // size, per_document % size
-    key = group[row] * size + word
-    order = np.argsort(key, kind="stable")
-    key, row, n = key[order], row[order], n[order]
-    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-    last = np.append(first[1:], len(key)) - 1 if len(key) else first
-    numbers = batch.column("row").to_numpy()
-    names = list(codes)
-    owners = (key[first] // size).tolist()
-    return pa.table({
-        "lang": pa.array([names[g][0] for g in owners], pa.string()),
-        "source": pa.array([names[g][1] for g in owners], pa.string()),
-        "chunk": words.take(pa.array(key[first] % size)).cast(pa.string()),
-        "n": np.add.reduceat(n, first) if len(first) else np.zeros(0, np.int64),
-        "documents": (last - first + 1).astype(np.int64), "low": numbers[row[first]], "high": numbers[row[last]]})
-
-
-def _merged(tables: list[pa.Table]) -> pa.Table:
-    found = pa.concat_tables(tables).group_by(["lang", "source", "chunk"], use_threads=False).aggregate(
-        [("n", "sum"), ("documents", "sum"), ("low", "min"), ("high", "max")])
-    return found.rename_columns({"n_sum": "n", "documents_sum": "documents", "low_min": "low", "high_max": "high"})
-
-
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The counts of a task's documents, summed up over pieces as far as ``_HELD`` distinct chunks allow."""
-    order = [c.split()[0] for c in _COUNTED.split(", ")]
+    row = per_document // size
+    number = batch.column("row").to_numpy()[row]
+    return Counts(list(codes), words, group[row] * size + per_document % size, n, np.ones(len(n), np.uint8), number, number)
+
+
+def _counted(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """The counts of a task's documents, added up over pieces as far as ``_HELD`` distinct chunks allow."""
     held, rows = [], 0
     for piece in pieces(batches, _PIECE_BYTES):
-        held.append(_piece_counts(piece))
-        rows += held[-1].num_rows
+        held.append(_piece_counts(piece).rows())
+        rows += len(held[-1][1])
         if rows > _HELD:
-            held = [_merged(held)]
-            rows = held[0].num_rows
+            found = Counts.joined(held)
+            held, rows = [found.rows()], len(found.key)
             if rows > _HELD // 2:
-                yield from held[0].select(order).to_batches(1 << 16)
+                yield found.packed(buckets)
                 held, rows = [], 0
     if held:
-        yield from _merged(held).select(order).to_batches(1 << 16)
-
-
-def chunk_counts(docs: DataFrame) -> DataFrame:
-    """Per (lang, source, chunk): occurrences ``n``, ``documents``, and the smallest and largest document.
-
-    ``docs`` has row, lang, source, text without nulls. A document has one lang and source and is in one task, so
-    its counts add up. Each task sends a chunk once or a few times, so a chunk that is everywhere sends about a row
-    per task and source.
-    """
-    return (docs.mapInArrow(_counted, _COUNTED).groupBy("lang", "source", "chunk")
-            .agg(F.sum("n").alias("n"), F.sum("documents").alias("documents"), F.min("low").alias("low"), F.max("high").alias("high")))
+        yield Counts.joined(held).packed(buckets)
 
 
 # Terms of chunks ---------------------------------------------------------------------------------------
 
-def chunk_terms(counts: DataFrame) -> DataFrame:
-    """The terms of each distinct chunk, and how often each is in it."""
-    folded = F.translate("chunk", UPPER, LOWER)
-    return (counts.select("chunk").distinct()
-            .select("chunk", F.explode(F.regexp_extract_all(folded, F.lit(TERM), F.lit(0))).alias("term"))
-            .groupBy("chunk", "term").agg(F.count(F.lit(1)).alias("times")))
-
-
-def term_counts(counts: DataFrame, least: int) -> DataFrame:
-    """Per (lang, source, term): occurrences ``count`` and ``documents``.
-
-    Documents are exact below ``least`` and at least ``least`` otherwise, which is all that keeping a term needs: a
-    chunk in ``least`` documents settles its terms, and the documents of any other chunk are its smallest and its
-    largest, so they can be told apart without a list of documents.
+def _terms_of(chunks: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """The terms of all chunks and the chunk of each: letters folded, all other bytes turned into spaces and split at."""
+    data, bounds = _bytes_of(chunks)
+    plain = pa.Array.from_buffers(pa.large_string(), len(chunks), [None, pa.py_buffer(bounds), pa.py_buffer(_TERM_BYTES[data])])
+    lists = pc.ascii_split_whitespace(plain)
+    sizes, flat = np.array(pc.list_value_length(lists), dtype=np.int64), lists.flatten()
+    solid = np.array(pc.binary_length(flat), dtype=np.int64) > 0
+    return np.repeat(np.arange(len(chunks)), sizes)[solid], flat.filter(pa.array(solid))
+
+
+def _chunk_bucket(buckets: int):
+    def terms(t: pa.Table) -> pa.Table:
+        """A bucket's chunks, each cut into terms once, and the terms joined back to the counts."""
+        found = Counts.unpacked(t)
+        chunk, flat = _terms_of(found.parts)
+        coded = flat.dictionary_encode()
+        size = max(1, len(coded.dictionary))
+        # Terms of a chunk with how often each is in it, by chunk.
+        pair, times = np.unique(chunk * size + coded.indices.to_numpy(zero_copy_only=False), return_counts=True)
+        starts = np.searchsorted(pair, np.arange(len(found.parts) + 1) * size)
+        part = found.part
+        sizes = (starts[1:] - starts[:-1])[part]
+        rows = np.repeat(np.arange(len(part)), sizes)
+        at = np.arange(len(rows)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + starts[part[rows]]
+        joined = Counts(found.groups, coded.dictionary, found.group[rows] * size + pair[at] % size, found.n[rows] * times[at],
+                        found.documents[rows], found.low[rows], found.high[rows])
+        return pa.Table.from_batches([joined.packed(buckets)])
+
+    return terms
+
+
+def _term_bucket(least: int):
+    def kept(t: pa.Table) -> pa.Table:
+        """The counts of a bucket's terms that ``least`` documents of the language have; ``lead`` marks one row per term."""
+        found = Counts.unpacked(t)
+        numbers: dict[str, int] = {}
+        lang = np.array([numbers.setdefault(g[0], len(numbers)) for g in found.groups], dtype=np.int64)
+        size = max(1, len(found.parts))
+        key = lang[found.group] * size + found.part if len(found.key) else found.key
+        order = np.argsort(key, kind="stable")
+        first = np.flatnonzero(np.concatenate([[True], np.diff(key[order]) != 0])) if len(key) else order
+        of = np.empty(len(key), dtype=np.int64)
+        of[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(key)))) if len(key) else order
+        # Sources of a language share no document, so their documents add up.
+        documents = np.bincount(of, weights=found.documents)[of] if len(key) else found.n
+        total = np.zeros(len(first), dtype=np.int64)
+        np.add.at(total, of, found.n)
+        lead = np.zeros(len(key), dtype=bool)
+        lead[order[first]] = True
+        at = np.flatnonzero(documents >= least)
+        group = found.group[at]
+        name = lambda i: pa.array([g[i] for g in found.groups], pa.string()).take(pa.array(group, pa.int64()))
+        return pa.table({"lang": name(0), "source": name(1), "term": found.parts.take(pa.array(found.part[at], pa.int64())).cast(pa.string()),
+                         "count": found.n[at], "lang_count": total[of[at]], "lead": lead[at]})
+
+    return kept
+
+
+def kept_terms(docs: DataFrame, least: int) -> DataFrame:
+    """Per (lang, source, term) with occurrences: ``count``, and the language's; terms in ``least`` documents of the language only.
+
+    ``docs`` has row, lang, source, text without nulls; a document is in one task. Each task sends a chunk once or a few
+    times, packed by buckets of chunks; a bucket, which holds all counts of its chunks, sends its terms on by
+    buckets of terms. A chunk or term that is everywhere costs its bucket about an entry per task and source.
     """
-    own = F.array(F.struct(F.col("low").alias("document"), "count"))
-    other = F.array(F.struct(F.col("high").alias("document"), F.lit(0).cast("long").alias("count")))
-    none = F.array(F.struct(F.lit(None).cast("long").alias("document"), "count"))
-    parts = F.when(F.col("documents") >= least, none).when(F.col("documents") == 1, own).otherwise(F.concat(own, other))
-    rows = (counts.join(chunk_terms(counts), "chunk").withColumn("count", F.col("n") * F.col("times"))
-            .select("lang", "source", "term", F.when(F.col("documents") >= least, F.col("documents")).alias("sure"), F.explode(parts).alias("part"))
-            .select("lang", "source", "term", "sure", "part.*"))
-    return rows.groupBy("lang", "source", "term").agg(
-        F.sum("count").alias("count"), F.greatest(F.max("sure"), F.count_distinct("document")).alias("documents"))
-
-
-def kept_terms(terms: DataFrame, least: int) -> DataFrame:
-    """The rows of terms in ``least`` documents of the language, with the language's count; ``lead`` marks one row per term."""
-    term = Window.partitionBy("lang", "term")
-    return (terms.withColumns({"lang_count": F.sum("count").over(term), "found": F.sum("documents").over(term),
-                               "lead": F.min("source").over(term) == F.col("source")})
-            .where(F.col("found") >= least).select("lang", "source", "term", "count", "lang_count", "lead"))
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = buckets_for(total, _BUCKET_BYTES)
+    chunks = docs.mapInArrow(lambda batches: _counted(batches, buckets), _FOLDED)
+    terms = chunks.groupBy("bucket").applyInArrow(_chunk_bucket(buckets), _FOLDED)
+    return terms.groupBy("bucket").applyInArrow(_term_bucket(least), _KEPT)
 
 
 # Shares and divergences --------------------------------------------------------------------------------
 
 def _share(count: Column, total: Column, terms: Column) -> Column:
-    """The smoothed share of a count, in whole parts; the product is a decimal, so it is exact at any size."""
-    exact = F.call_function("div", F.lit(UNIT).cast("decimal(10,0)") * (count + 1), (total + terms).cast("decimal(20,0)"))
-    return (exact + 1).cast("long")
+    """The smoothed share of a count, in whole parts of ``UNIT``: 1 + floor(UNIT * (count + 1) / (total + terms)).
+
+    Divided in two steps, so that products stay within a long for totals up to 2.8e14; beyond, Spark raises an error.
+    """
+    first, second, whole = F.lit(32_000).cast("long"), F.lit(UNIT // 32_000).cast("long"), total + terms
+    upper = (count + 1) * first
+    return 1 + F.call_function("div", upper, whole) * second + F.call_function("div", upper % whole * second, whole)
 
 
 def _divergence(p: Column, q: Column) -> Column:
@@ -234,11 +345,10 @@ def audited(docs: DataFrame, least: int = LEAST_DOCUMENTS, top: int = TOP) -> Da
     gives no rows. Chunks of any length are cut whole.
     """
     if not 1 <= least <= 3:
-        raise ValueError("least must be from 1 to 3: a chunk carries its smallest and largest document only")
+        raise ValueError("least must be from 1 to 3: documents are told apart up to three only")
     blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
     plain = docs.select(blank("lang"), blank("source"), blank("text"))
-    counts = staged(chunk_counts(plain.withColumn("row", F.monotonically_increasing_id())), "chunk-counts")
-    kept = staged(kept_terms(term_counts(counts, least), least), "kept-terms")
+    kept = staged(kept_terms(plain.withColumn("row", F.monotonically_increasing_id()), least), "kept-terms")
     totals = staged(group_totals(plain, kept), "group-totals")
     first = Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), "item")
     ranked = lambda df, part: df.withColumns({"part": F.lit(part), "rank": F.row_number().over(first)})

@@ -279,7 +279,7 @@ def test_mixing_of_sources(spark):
 
 
 def test_every_operator_is_registered():
-    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES if n.startswith("op")} == set(range(1, 11)) and "pipeline" in queries.QUERIES
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES if n.startswith("op")} == set(range(1, 14)) and "pipeline" in queries.QUERIES
 
 
 def test_pipeline(spark, data):
