@@ -87,14 +87,14 @@ table("stored_orders", "select Header_Id from complete_orders where o_orderkey %
 table("fresh_orders", "select * from complete_orders where Header_Id not in (select Header_Id from stored_orders)")
 
 
-def matches(first: str, last: str, orders: str = "fresh_orders") -> str:
+def matches(first: str, last: str, orders: str = "fresh_orders", feed: str = "own_feed") -> str:
     """Each web order with its preferred feed row among the feed days in the window."""
     return f"""
 select * from (
  select h.o_orderkey hkey, h.Header_Id, h.inv, f.*, case when f.od = h.inv then 'same_day' else 'other_day' end match_class,
   row_number() over (partition by h.Header_Id order by (f.od = h.inv) desc, abs(f.od - h.inv), f.od desc,
                      f.Order_Time nulls last) pick
- from {orders} h join own_feed f on f.Store_Code = h.StoreCode and f.OrderNo = h.web_no
+ from {orders} h join {feed} f on f.Store_Code = h.StoreCode and f.OrderNo = h.web_no
   and f.feed_date between {first} and {last}) c where pick = 1"""
 
 

@@ -12,7 +12,7 @@ from orderflow.catalog import checks as K
 from orderflow.catalog.fixtures import KEY, VECTOR, Inputs
 from orderflow.catalog.registry import query
 from orderflow.catalog.shapes import stored_orders
-from orderflow.functions.privacy import decrypt
+from orderflow.functions.privacy import decrypt, encrypt
 from orderflow.operators.state import merge_customers
 from orderflow.plans import daily
 from orderflow.sources.readers import conform_stores
@@ -111,12 +111,14 @@ def order_pii(x: Inputs) -> DataFrame:
 
 
 @query("q_customer_day", """
-select phone mobile, strftime(min(order_date), '%Y-%m-%d') First_Order_Date, strftime(max(order_date), '%Y-%m-%d') Last_Order_Date,
- arg_max(valid_phone, (order_date, coalesce(filled_time, ''), Header_Id)) Valid from header_rows group by phone""")
+select mobile, strftime(min(first_day), '%Y-%m-%d') First_Order_Date, strftime(max(last_day), '%Y-%m-%d') Last_Order_Date,
+ arg_max(valid, (run, last_day, clock, hid)) Valid from (
+ select phone mobile, order_date first_day, order_date last_day, valid_phone valid, 1 run, coalesce(filled_time, '') clock, Header_Id hid from header_rows
+ union all select Mobile_Number, first_day, last_day, Valid, 0, '', '' from customer_state) r group by mobile having max(run) = 1""")
 def customer_day(x: Inputs) -> DataFrame:
     delta = daily.customer_rows(daily.personal_rows(orders(x).header, KEY, VECTOR))
-    empty = x.customers.limit(0).select(*C.CUSTOMER_STATE_SCHEMA.fieldNames())
-    merged = merge_customers(empty, delta, tie_break=["Order_Time", "Header_Id"])
+    stored = x.customers.withColumn("Mobile_Number", encrypt(F.col("Mobile_Number"), KEY, VECTOR)).select(*C.CUSTOMER_STATE_SCHEMA.fieldNames())
+    merged = merge_customers(stored, delta, tie_break=["Order_Time", "Header_Id"])
     return merged.select(decrypt(F.col("Mobile_Number"), KEY, VECTOR).alias("mobile"), "First_Order_Date",
                          "Last_Order_Date", "Valid")
 

@@ -10,7 +10,8 @@ from orderflow import contract as C
 from orderflow.catalog.fixtures import Inputs
 from orderflow.catalog.registry import query
 from orderflow.functions.dates import FLOW_FORMAT
-from orderflow.operators import quality
+from orderflow.operators import quality, state
+from orderflow.plans.daily import HEADER_IDS
 from orderflow.sources import readers, writers
 from orderflow.sources.scratch import new_folder
 
@@ -148,9 +149,12 @@ def snapshot_dump(x: Inputs) -> DataFrame:
     return x.spark.read.parquet(path)
 
 
-@query("q_missing_path_empty", "select Header_Id, Customer_Id from (select OrderId Header_Id, OrderId Customer_Id from raw_orders) r "
-       "where Header_Id in (select cast(null as varchar))")
+@query("q_missing_path_empty", """
+select OrderId Header_Id, 'no' before, case when TotalOrderValue is null then 'no' else 'yes' end after from raw_orders""")
 def missing_path_empty(x: Inputs) -> DataFrame:
-    stored = readers.read_or_empty(x.spark, new_folder(x.spark, "nothing"), C.MAPPING_STATE_SCHEMA)
-    keys = x.headers.select(F.col("OrderId").alias("Header_Id"))
-    return stored.join(keys, "Header_Id", "left_semi").select("Header_Id", "Customer_Id")
+    """Whether each order is stored, asked before anything is and once the complete ones are."""
+    path, keys = new_folder(x.spark, "stored"), x.headers.select(F.col("OrderId").alias("Header_Id"))
+    before = state.availability(keys, readers.read_or_empty(x.spark, path, HEADER_IDS))
+    x.headers.filter(F.col("TotalOrderValue").isNotNull()).select(F.col("OrderId").alias("Header_Id")).write.parquet(path)
+    after = state.availability(keys, readers.read_or_empty(x.spark, path, HEADER_IDS))
+    return before.withColumnRenamed("available", "before").join(after.withColumnRenamed("available", "after"), "Header_Id")

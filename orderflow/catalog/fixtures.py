@@ -91,6 +91,22 @@ select o_orderkey, o_custkey, cast(o_orderkey as string) OrderId, cast(o_orderke
  cast(o_orderkey % 6 as int) n_items, cast(case when o_orderkey % 23 = 0 then 0 else 1 + o_custkey % 3 end as int) n_payments
 from {{orders}}"""
 
+_NAMED = "case month(o_orderdate) " + " ".join(f"when {i} then '{m}'" for i, m in enumerate(
+    "January February March April May June July August September October November December".split(), 1)) + " end"
+_PLAIN_D, _PLAIN_M = "cast(day(o_orderdate) as string)", "cast(month(o_orderdate) as string)"
+_ENDING = "case when day(o_orderdate) in (1, 21, 31) then 'st' when day(o_orderdate) in (2, 22) then 'nd' when day(o_orderdate) in (3, 23) then 'rd' else 'th' end"
+#: Order days in free form; forms from 11 on name no day.
+SPELLED_SQL = f"""
+select o_orderkey, cast(o_orderdate as date) as day, cast(o_orderkey % 14 as int) form, case o_orderkey % 14
+ when 0 then concat({_NAMED}, ' ', {_PLAIN_D}, ', ', {_Y}) when 1 then concat({_PLAIN_D}, ' ', substr({_NAMED}, 1, 3), ' ', {_Y})
+ when 2 then concat('the ', {_PLAIN_D}, {_ENDING}, ' of ', {_NAMED}, ' ', {_Y})
+ when 3 then concat('Tue, ', {_D}, ' ', upper(substr({_NAMED}, 1, 3)), ' ', {_Y}, ' 10:11:12 PM') when 4 then concat({_Y}, '.', {_M}, '.', {_D})
+ when 5 then concat({_Y}, {_M}, {_D}) when 6 then concat(substr({_NAMED}, 1, 3), '-', {_D}, '-', {_Y})
+ when 7 then concat({_D}, '-', substr({_NAMED}, 1, 3), '-', substr({_Y}, 3, 2)) when 8 then concat({_Y}, ' ', {_NAMED}, ' ', {_PLAIN_D})
+ when 9 then concat({_Y}, '-', {_M}, '-', {_D}, 'T10:11:12Z') when 10 then concat({_PLAIN_M}, '.', {_PLAIN_D}, '.', {_Y})
+ when 11 then 'soon' when 12 then concat({_Y}, '-13-45') else concat({_PLAIN_D}, ' ', {_NAMED}) end spelled
+from {{orders}}"""
+
 _PRICE = "((o_orderkey * 37 + i * 1013) % 250000 + 100)"
 ITEM_SQL = {
     "CGST": money(f"{_PRICE} div 40"),

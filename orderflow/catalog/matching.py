@@ -13,8 +13,9 @@ from orderflow.catalog.shapes import fresh_orders
 from orderflow.functions.dates import FLOW_FORMAT
 from orderflow.operators import channels, feed, shape
 from orderflow.plans import daily
-from orderflow.sources.readers import conform_stores, read_feed_table
+from orderflow.sources.readers import conform_stores, read_combinations, read_feed_table
 from orderflow.sources.scratch import new_folder
+from orderflow.sources.writers import write_keys
 
 
 def match(x: Inputs, trailing: bool = True) -> DataFrame:
@@ -22,33 +23,33 @@ def match(x: Inputs, trailing: bool = True) -> DataFrame:
     return feed.match_feed(orders, x.own_feed, trailing=trailing)
 
 
-def _named(df: DataFrame) -> DataFrame:
+def named_match(df: DataFrame) -> DataFrame:
     return df.select("Header_Id", "Order_Date", shape.column("Order Time").alias("feed_time"),
                      shape.column("Reference No").alias("Reference_No"), feed.MATCH)
 
 
-_MATCH_SQL = """select Header_Id, replace(Order_Date, '-', '/') Order_Date, Order_Time feed_time, Reference_No, match_class
+MATCH_SQL = """select Header_Id, replace(Order_Date, '-', '/') Order_Date, Order_Time feed_time, Reference_No, match_class
 from {source} where {condition}"""
 
 
-@query("q_same_day_match", _MATCH_SQL.format(source="trailing_matches", condition="match_class = 'same_day'"))
+@query("q_same_day_match", MATCH_SQL.format(source="trailing_matches", condition="match_class = 'same_day'"))
 def same_day_match(x: Inputs) -> DataFrame:
-    return _named(match(x).filter(F.col(feed.MATCH) == feed.SAME_DAY))
+    return named_match(match(x).filter(F.col(feed.MATCH) == feed.SAME_DAY))
 
 
-@query("q_other_day_match", _MATCH_SQL.format(source="trailing_matches", condition="match_class = 'other_day'"))
+@query("q_other_day_match", MATCH_SQL.format(source="trailing_matches", condition="match_class = 'other_day'"))
 def other_day_match(x: Inputs) -> DataFrame:
-    return _named(match(x).filter(F.col(feed.MATCH) == feed.OTHER_DAY))
+    return named_match(match(x).filter(F.col(feed.MATCH) == feed.OTHER_DAY))
 
 
-@query("q_priority_match", _MATCH_SQL.format(source="trailing_matches", condition="true"))
+@query("q_priority_match", MATCH_SQL.format(source="trailing_matches", condition="true"))
 def priority_match(x: Inputs) -> DataFrame:
-    return _named(feed.split_match(match(x))[0])
+    return named_match(feed.split_match(match(x))[0])
 
 
-@query("q_match_symmetric", _MATCH_SQL.format(source="symmetric_matches", condition="true"))
+@query("q_match_symmetric", MATCH_SQL.format(source="symmetric_matches", condition="true"))
 def match_symmetric(x: Inputs) -> DataFrame:
-    return _named(feed.split_match(match(x, trailing=False))[0])
+    return named_match(feed.split_match(match(x, trailing=False))[0])
 
 
 @query("q_unmatched", """
@@ -181,6 +182,10 @@ def _combinations(x: Inputs) -> tuple[DataFrame, DataFrame]:
     orders = x.headers.withColumns({"Header_Id": F.col("OrderId"), "OrderSource": F.upper(F.trim("OrderSource"))})
     combos = x.lookup.toDF("OrderSource_map", "OrderType_map", "Combination_Id")
     names = x.dimension.toDF("Combination_Id", "Enriched_Order_Type", "Enriched_Channel", "Fulfilment_Mode")
+    path = new_folder(x.spark, "combinations")
+    write_keys(combos, f"{path}/orders")
+    write_keys(names, f"{path}/channels")
+    combos, names = read_combinations(x.spark, f"{path}/orders", f"{path}/channels")
     return channels.combination_channels(orders, combos, names)
 
 

@@ -105,12 +105,43 @@ def customer_id(x: Inputs) -> DataFrame:
     return x.headers.select("o_orderkey", stable_id(F.col("PhoneNo")).alias("customer_id"))
 
 
-@query("q_pii_protect")
-def pii_protect(x: Inputs) -> DataFrame:
+def _protected(x: Inputs) -> DataFrame:
     rows = x.headers.select("OrderId", F.col("PhoneNo").alias("Mobile_Number"), "CustomerName", "Email", "City")
     return privacy.protect(rows, ["CustomerName", "Email", "City"], KEY, VECTOR)
 
 
+def _sealed_length(text: str) -> str:
+    """Characters of a sealed text: whole blocks of 16 bytes, one more than full ones, in base64; 0 for a blank."""
+    return f"case when coalesce({text}, '') = '' then 0 else 4 * ((16 * (strlen({text}) // 16 + 1) + 2) // 3) end"
+
+
+@query("q_pii_protect", f"""
+select OrderId, {_sealed_length('CustomerName')} name_length, {_sealed_length('Email')} email_length, {_sealed_length('City')} city_length,
+ {_sealed_length('PhoneNo')} number_length, true id_is_uuid, false shows_number, false shows_text from raw_orders""")
+def pii_protect(x: Inputs) -> DataFrame:
+    """What can be said of sealed rows without unsealing them: lengths, the form of the id, and that nothing shows."""
+    sealed = _protected(x)
+    length = lambda c, name: F.length(c).cast("bigint").alias(name)
+    uuid = F.col("Customer_Id").rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")
+    shows = F.col("City").startswith("City") | F.contains("Email", F.lit("@")) | F.contains("CustomerName", F.lit("Customer"))
+    return sealed.select("OrderId", length("CustomerName", "name_length"), length("Email", "email_length"), length("City", "city_length"),
+                         length(privacy.ENCRYPTED_MOBILE, "number_length"), uuid.alias("id_is_uuid"),
+                         F.lit("Mobile_Number" in sealed.columns).alias("shows_number"), shows.alias("shows_text"))
+
+
+_SEALED = {"CustomerName": "CustomerName", "Email": "Email", "City": "City", "PhoneNo": privacy.ENCRYPTED_MOBILE, "Customer_Id": "Customer_Id"}
+
+
+@query("q_pii_equality", " union all ".join(
+    f"select '{name}' kind, {'36' if name == 'Customer_Id' else _sealed_length('t')} sealed_length, count(*) row_count "
+    f"from (select coalesce({'PhoneNo' if name == 'Customer_Id' else name}, '') t from raw_orders) r group by t" for name in _SEALED))
+def pii_equality(x: Inputs) -> DataFrame:
+    """Orders per sealed value: equal texts, and only they, are equal when sealed, and so are the ids made of them."""
+    values = F.explode(F.array(*[F.struct(F.lit(name).alias("kind"), F.col(c).alias("sealed")) for name, c in _SEALED.items()])).alias("value")
+    counted = _protected(x).select(values).groupBy("value.kind", "value.sealed").agg(F.count(F.lit(1)).alias("row_count"))
+    return counted.select("kind", F.length("sealed").cast("bigint").alias("sealed_length"), "row_count")
+
+
 @query("q_pii_roundtrip", """
 select OrderId, PhoneNo Decrypted_PhoneNo, CustomerName Decrypted_CustomerName, City Decrypted_City,
  CustomerName is null sealed_blank from raw_orders""")

@@ -169,7 +169,7 @@ select l_orderkey, l_shipdate::varchar ship_day, {_ITEM_ORDER} from (
  select *, row_number() over (partition by l_orderkey order by l_shipdate desc, {_ITEM_ORDER}) n from lineitem) x where n = 1""")
 def first_per_key(x: Inputs) -> DataFrame:
     rows = x.table("lineitem").select("l_orderkey", "l_shipdate", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
-    first = dedupe.dedupe_by(rows, ["l_orderkey"], [F.col("l_shipdate").desc()])
+    first = dedupe.dedupe_by(rows, ["l_orderkey"], [F.col("l_shipdate").desc(), *_ITEM_ORDER.split(", ")])
     return first.withColumn("ship_day", F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")).drop("l_shipdate")
 
 
@@ -210,4 +210,4 @@ def stored_orders(complete: DataFrame) -> DataFrame:
 def fresh_orders(x: Inputs, nested_rows: bool = True) -> DataFrame:
     """Complete orders that are not stored yet, written once because matching reads them more than once."""
     complete = staged(complete_orders(x, nested_rows), "complete-orders")
-    return state.new_orders(complete, stored_orders(complete))
+    return staged(state.new_orders(complete, stored_orders(complete)), "fresh-orders")

@@ -39,11 +39,19 @@ def has_gift_card(payments: Column, mode: str = GIFT_CARD_MODE) -> Column:
 
 
 def with_parents(items: Column, child: str = "TOPPING", parent: str = "PIZZA") -> Column:
-    """Each item with the number of the last pizza before it if it is a topping, else null."""
-    pizza = lambda p: (p["ItemCatagory"] == parent) & p["ItemNo"].isNotNull()
-    last = lambda at: F.try_element_at(F.filter(F.slice(items, F.lit(1), at), pizza), F.lit(-1))["ItemNo"]
-    return F.transform(items, lambda i, at: F.struct(
-        i.alias("item"), F.when(i["ItemCatagory"] == child, last(at)).alias("parent")))
+    """Each item with the number of the last pizza before it if it is a topping, else null.
+
+    Pizzas cut the array into stretches; each stretch repeats the number of the pizza
+    it begins with. Every array is walked once, so the work grows with the items.
+    """
+    pizza = lambda i: F.coalesce((i["ItemCatagory"] == parent) & i["ItemNo"].isNotNull(), F.lit(False))
+    marks = F.array_join(F.transform(items, lambda i: F.when(pizza(i), "P").otherwise("-")), "")
+    numbers = F.transform(F.filter(items, pizza), lambda i: i["ItemNo"])
+    before = F.array(F.lit(None).cast("string"))
+    last = F.flatten(F.zip_with(F.split(marks, "P"), F.concat(before, numbers), lambda stretch, number: F.array_repeat(
+        number, F.length(stretch) + F.when(number.isNull(), 0).otherwise(1))))
+    return F.zip_with(items, last, lambda i, number: F.struct(
+        i.alias("item"), F.when(i["ItemCatagory"] == child, number).alias("parent")))
 
 
 def gift_card_amount(payments: Column, mode: str = GIFT_CARD_MODE) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from orderflow.operators.dedupe import dedupe_by, dedupe_rows
 from orderflow.operators.quality import REASON
 from orderflow.operators.shape import rename_old
-from orderflow.operators.skew import small_join
+from orderflow.operators.skew import plain_join
 
 NULL_TOKEN = "Unknown"
 CHANNEL_VALUES = ["Channel_Id", "Source", "Channel", "Fulfilment_Mode"]
@@ -48,7 +48,7 @@ def _looked_up(df: DataFrame, lookup: DataFrame, dimension: DataFrame, case_sens
                             _TYPE: match_text(kind, case_sensitive, null_token),
                             "Enriched_Sales_Channel": shown_text(channel, null_token),
                             "Enriched_Order_Type": shown_text(kind, null_token)})
-    return small_join(keyed, table, [_CHANNEL, _TYPE], spread="Header_Id").drop(_CHANNEL, _TYPE)
+    return plain_join(keyed, table, [_CHANNEL, _TYPE]).drop(_CHANNEL, _TYPE)
 
 
 def map_channels(df: DataFrame, lookup: DataFrame, dimension: DataFrame, case_sensitive: bool = True,
@@ -95,10 +95,6 @@ def missing_combinations(df: DataFrame) -> DataFrame:
     return df.filter(is_unmapped()).select("OrderSource", "OrderType", "Channel_Id").distinct()
 
 
-def with_channel_id(df: DataFrame) -> DataFrame:
-    return df.filter(F.col("Channel_Id").isNotNull())
-
-
 def combination_channels(df: DataFrame, order_combinations: DataFrame, channel_combinations: DataFrame,
                          ) -> tuple[DataFrame, DataFrame]:
     """Older lookup by combination id: the channels per order, and what has no combination.
@@ -113,7 +109,7 @@ def combination_channels(df: DataFrame, order_combinations: DataFrame, channel_c
     table = combos.join(names, "Combination_Id", "left")
     orders = df.select("Header_Id", "OrderSource", "OrderType", F.lower("OrderSource").alias(_CHANNEL),
                        F.lower("OrderType").alias(_TYPE))
-    found = dedupe_by(small_join(orders, table, [_CHANNEL, _TYPE], spread="Header_Id").drop(_CHANNEL, _TYPE), ["Header_Id"])
+    found = dedupe_by(plain_join(orders, table, [_CHANNEL, _TYPE]).drop(_CHANNEL, _TYPE), ["Header_Id"])
     missing = dedupe_rows(found.filter(F.col("Combination_Id").isNull())
                           .select("OrderSource", "OrderType", "Combination_Id"))
     return found.select("Header_Id", "Enriched_Order_Type", "Enriched_Channel", "Fulfilment_Mode",
@@ -122,5 +118,5 @@ def combination_channels(df: DataFrame, order_combinations: DataFrame, channel_c
 
 def join_stores(df: DataFrame, stores: DataFrame, key: str = "updated_code") -> DataFrame:
     """Adds the store dimension by store code; ``stores`` is unique on ``key``."""
-    return small_join(df.withColumn("_store_key", F.col("StoreCode")),
-                      stores.withColumn("_store_key", F.col(key)), ["_store_key"], spread="Header_Id").drop("_store_key")
+    return plain_join(df.withColumn("_store_key", F.col("StoreCode")),
+                      stores.withColumn("_store_key", F.col(key)), ["_store_key"]).drop("_store_key")

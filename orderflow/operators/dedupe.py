@@ -3,27 +3,66 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from orderflow.operators.shape import column
 from orderflow.operators.skew import lookup_join
 
-_RANK, _FOUND = "_rank", "_found"
+_RANK, _FOUND, _DIGEST = "_rank", "_found", ["_digest_a", "_digest_b"]
+
+
+def row_digest(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """128 bits that tell rows apart by ``columns``, as two numbers.
+
+    Nulls count by their place: hashing alone would pass over them, so that (null, a) and (a, null) were one.
+    Nested columns count by their JSON text, nulls included.
+    """
+    parts = []
+    for field in (df.schema[c] for c in columns):
+        value = column(field.name)
+        if isinstance(field.dataType, (T.ArrayType, T.StructType, T.MapType)):
+            value = F.to_json(F.struct(value), {"ignoreNullFields": "false"})
+        parts += [value, column(field.name).isNull()]
+    return [F.xxhash64(F.lit(seed), *parts) for seed in (0, 1)]
 
 
 def dedupe_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
-    """One row per key: the first by ``order``, ties broken by all other columns.
+    """One row per key: the first by ``order``, ties broken by a digest of all other columns.
 
-    The survivor does not depend on partitioning. Because only rank one is kept,
-    Spark cuts every group down to one row per map task before the shuffle, so a
-    key that holds a large share of the rows does not gather in one task.
+    The survivor does not depend on partitioning, and sorting never compares
+    nested columns. Because only rank one is kept, Spark cuts every group down to
+    one row per map task before the shuffle, so a key that holds a large share of
+    the rows does not gather in one task. ``key_ledger`` tells which keys had ties
+    of different rows.
     """
-    rest = [column(c).asc_nulls_last() for c in df.columns if c not in keys]
-    if not order and not rest:
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
         return df.dropDuplicates(list(keys))
-    window = Window.partitionBy(*[column(k) for k in keys]).orderBy(*order, *rest)
-    return df.withColumn(_RANK, F.row_number().over(window)).filter(F.col(_RANK) == 1).drop(_RANK)
+    window = Window.partitionBy(*[column(k) for k in keys]).orderBy(*order, *_DIGEST)
+    ranked = df.withColumns(dict(zip(_DIGEST, row_digest(df, rest), strict=True))).withColumn(_RANK, F.row_number().over(window))
+    return ranked.filter(F.col(_RANK) == 1).drop(_RANK, *_DIGEST)
+
+
+def key_ledger(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per key: ``row_count``, and ``conflicting`` if its rows differ (else they are copies).
+
+    The smallest and the largest digest of a key differ if its rows do. One hash
+    aggregate of numbers, summed up before the shuffle: the rows themselves, however
+    wide, stay where they are. Null keys are keys of their own.
+    """
+    digests = row_digest(df, [c for c in df.columns if c not in keys]) if set(df.columns) - set(keys) else [F.lit(0), F.lit(0)]
+    rows = df.select(*[column(k) for k in keys], *[d.alias(n) for n, d in zip(_DIGEST, digests, strict=True)])
+    spans = [f(n).alias(f"{n}_{f.__name__}") for n in _DIGEST for f in (F.min, F.max)]
+    folded = rows.groupBy(*[column(k) for k in keys]).agg(F.count(F.lit(1)).alias("row_count"), *spans)
+    differ = reduce(Column.__or__, [F.col(f"{n}_min") != F.col(f"{n}_max") for n in _DIGEST])
+    return folded.select(*[column(k) for k in keys], "row_count", differ.alias("conflicting"))
+
+
+def key_conflicts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys under which different rows came, with how many rows each has."""
+    return key_ledger(df, keys).filter("conflicting").drop("conflicting")
 
 
 def dedupe_rows(df: DataFrame) -> DataFrame:

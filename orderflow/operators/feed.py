@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from orderflow.contract import FEED_DATE, FEED_EMAIL, FEED_WINDOW_DAYS
 from orderflow.functions.codes import web_order_number
-from orderflow.functions.dates import FLOW_FORMAT, any_date, flow_date, slashed
+from orderflow.functions.dates import FLOW_FORMAT, SLASHED, any_date, flow_date, slashed
 from orderflow.operators.dedupe import dedupe_by
 from orderflow.operators.shape import column
 from orderflow.operators.skew import lookup_join
@@ -17,7 +18,7 @@ from orderflow.operators.skew import lookup_join
 MATCH = "match_class"
 SAME_DAY, OTHER_DAY = "same_day", "other_day"
 
-_SERVED, _STORE, _NUMBER, _DAY = "_served", "_store", "_number", "_order_day"
+_SERVED, _STORE, _NUMBER, _DAY, _LOOKED = "_served", "_store", "_number", "_order_day", "_looked"
 
 
 def window_days(day: Column, days: int = FEED_WINDOW_DAYS, trailing: bool = True) -> Column:
@@ -30,6 +31,25 @@ def served_days(feed_day: Column, days: int = FEED_WINDOW_DAYS, trailing: bool =
     return F.sequence(feed_day if trailing else F.date_sub(feed_day, days), F.date_add(feed_day, days))
 
 
+def invoice_day_list(orders: DataFrame) -> DataFrame:
+    """Distinct invoice days of orders as dates, one row per calendar day.
+
+    Taking readable dates by a filter also tells Spark that the list is selective,
+    on which it decides whether a scan is worth pruning by it.
+    """
+    text = F.col("InvoiceDate")
+    return orders.filter(text.rlike(SLASHED)).select(flow_date(text).alias(_SERVED)).distinct()
+
+
+def feed_days(orders: DataFrame, days: int = FEED_WINDOW_DAYS, trailing: bool = True) -> list[date]:
+    """The feed days that orders look at, in order: what to read of a feed kept in folders by day.
+
+    At most one row per calendar day comes to the driver.
+    """
+    looked = F.explode(window_days(F.col(_SERVED), days, trailing)).alias(_LOOKED)
+    return sorted(r[0] for r in invoice_day_list(orders).select(looked).distinct().collect() if r[0] is not None)
+
+
 def with_web_order_number(orders: DataFrame) -> DataFrame:
     return orders.withColumn("Enriched_WebOrder_No", web_order_number(F.col("WeborderNo")))
 
@@ -42,13 +62,19 @@ def best_feed_rows(orders: DataFrame, feed: DataFrame, days: int = FEED_WINDOW_D
     earlier time. Order dates are read in any known spelling and carried on as
     ``yyyy/MM/dd``; a row whose date cannot be read still matches, as another day
     and after all others, with the date as it came. Rows without a date, a store or
-    a number match nothing. Feed rows are repeated for the invoice days they serve and kept
-    only where orders of such a day exist. Those days are one row per calendar
-    day, which bounds the broadcast.
+    a number match nothing.
+
+    Only feed days that some order looks at are read: where the feed is a table
+    partitioned by ``feed_date``, Spark prunes its scan at run time by the days of the
+    orders. Feed rows are repeated for the invoice days they serve and kept only
+    where orders of such a day exist. Both lists are one row per calendar day,
+    which bounds the broadcasts.
     """
-    wanted = orders.select(flow_date(F.col("InvoiceDate")).alias(_SERVED)).distinct()
+    wanted = invoice_day_list(orders)
+    looked = wanted.select(F.explode(window_days(F.col(_SERVED), days, trailing)).alias(_LOOKED)).distinct()
+    feed = feed.join(F.broadcast(looked), F.col(FEED_DATE) == F.col(_LOOKED), "left_semi")
     given = F.col("Order_Date").cast("string")
-    day = F.coalesce(flow_date(slashed(given)), any_date(F.split(F.trim(given), "[ T]")[0]))
+    day = F.coalesce(flow_date(slashed(given)), any_date(F.split(F.trim(given), "[ T]")[0]), any_date(given))
     feed = feed.withColumn(_DAY, day).withColumn("Order_Date", F.coalesce(F.date_format(_DAY, FLOW_FORMAT), slashed(given)))
     if "Email" in feed.columns:
         feed = feed.withColumnRenamed("Email", FEED_EMAIL)
@@ -67,14 +93,17 @@ def match_feed(orders: DataFrame, feed: DataFrame, days: int = FEED_WINDOW_DAYS,
     """All orders, with the columns of their best feed row and how it matched.
 
     Orders without a web order number or without a feed row keep nulls, so no
-    order is lost when the feed of a day is missing. Each order meets at most one
-    feed row per key, chosen before the join, so no pairs are multiplied.
+    order is lost when the feed of a day is missing. Orders without a number take
+    no part in the join. Each other order meets at most one feed row per key, chosen
+    before the join, so no pairs are multiplied. ``orders`` is read more than once, so
+    give it a written table.
     """
     best = best_feed_rows(orders, feed, days, trailing)
     keyed = best.withColumns({_STORE: column("Store Code"), _NUMBER: F.col("OrderNo")})
-    left = orders.withColumns({_STORE: F.col("StoreCode"), _NUMBER: F.col("Enriched_WebOrder_No"),
-                               _SERVED: flow_date(F.col("InvoiceDate"))})
-    return lookup_join(left, keyed, [_STORE, _NUMBER, _SERVED], spread="Header_Id").drop(_STORE, _NUMBER, _SERVED)
+    number = F.col("Enriched_WebOrder_No")
+    left = orders.filter(number.isNotNull()).withColumns({_STORE: F.col("StoreCode"), _NUMBER: number, _SERVED: flow_date(F.col("InvoiceDate"))})
+    web = lookup_join(left, keyed, [_STORE, _NUMBER, _SERVED], spread="Header_Id").drop(_STORE, _NUMBER, _SERVED)
+    return web.unionByName(orders.filter(number.isNull()), allowMissingColumns=True)
 
 
 def split_match(matched: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from orderflow.contract import MISSING_PHONE
 from orderflow.functions.phones import clean_phone, phone_is_valid, phone_number
 from orderflow.operators.shape import column
-from orderflow.operators.skew import is_small, key_counts, lookup_join
+from orderflow.operators.skew import key_counts, lookup_join
 
 RAW_PHONE, DAILY, CLEAN, VALID = "CombinedNumber", "transactions_today", "CleanedPhoneNumber", "Valid"
 _BLOCKED = "_blocked"
@@ -24,7 +24,7 @@ def with_daily_count(df: DataFrame, counted: DataFrame | None = None, spread: st
     """
     keys = [RAW_PHONE, "InvoiceDate"]
     counts = key_counts(df if counted is None else counted, keys, DAILY)
-    return lookup_join(df, counts, keys, null_safe=True, counts=counts, count_name=DAILY, spread=spread)
+    return lookup_join(df, counts, keys, null_safe=True, spread=spread)
 
 
 def validate_phones(df: DataFrame, blocklist: DataFrame | None = None, strict: bool = False,
@@ -44,10 +44,7 @@ def validate_phones(df: DataFrame, blocklist: DataFrame | None = None, strict: b
     if blocklist is not None:
         blocked = blocklist.select(column(blocklist.columns[0]).alias(CLEAN)).dropna().distinct() \
             .withColumn(_BLOCKED, F.lit(True))
-        if is_small(blocked):
-            checked = checked.join(F.broadcast(blocked), CLEAN, "left")
-        else:
-            checked = lookup_join(checked, blocked, [CLEAN], spread="Header_Id")
+        checked = lookup_join(checked, blocked, [CLEAN], spread="Header_Id")
         free = F.col(_BLOCKED).isNull()
         checked = checked.withColumns({VALID: F.col(VALID) & free, CLEAN: F.when(free, F.col(CLEAN))}).drop(_BLOCKED)
     return checked.withColumn(CLEAN, F.coalesce(CLEAN, F.lit(MISSING_PHONE)))

@@ -9,17 +9,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from orderflow.operators.shape import column
 
-BROADCAST_ROWS = 200_000   # a lookup up to this many rows is sent to every task
-HOT_ROWS = 100_000         # a key with at least this many rows is cut into pieces of about this many
-HOT_KEYS = 10_000          # at most this many keys, the largest ones, are cut
-NULL_PIECES = 4096
+HOT_ROWS = 100_000   # a key with at least about this many rows is cut into pieces of about this many
+# Keys are dealt to this many sketches, each of which tracks that many of them. A key with more than about one in
+# 100,000 of all rows is tracked for certain; the list of hot keys has at most one entry per tracked key (4 MB).
+SKETCHES, TRACKED = 256, 1024
 
-_RIGHT, _PIECES, _PIECE, _ROWS = "_r_", "_pieces", "_piece", "_rows"
-
-
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; reads no more than one row beyond that."""
-    return df.limit(max_rows + 1).count() <= max_rows
+_RIGHT, _PIECES, _PIECE, _HASH, _SKETCH = "_r_", "_pieces", "_piece", "_key_hash", "_sketch"
 
 
 def _right_keys(lookup: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -31,16 +26,12 @@ def _same_keys(keys: Sequence[str], null_safe: bool) -> Column:
     return reduce(Column.__and__, [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs])
 
 
-def small_join(df: DataFrame, lookup: DataFrame, keys: Sequence[str], null_safe: bool = False,
-               spread: str | None = None, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Left join to a lookup that is unique on ``keys``.
+def plain_join(df: DataFrame, lookup: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
+    """Left join to a lookup that is unique on ``keys``; Spark broadcasts it if it is small by its size rule.
 
-    The lookup is counted first: within ``max_rows`` it is broadcast, beyond that
-    the join shuffles, with hot keys spread.
+    Beyond that the join shuffles, and adaptive execution splits the tasks of hot keys.
     """
-    if not is_small(lookup, max_rows):
-        return lookup_join(df, lookup, keys, null_safe, spread=spread)
-    joined = df.join(F.broadcast(_right_keys(lookup, keys)), _same_keys(keys, null_safe), "left")
+    joined = df.join(_right_keys(lookup, keys), _same_keys(keys, null_safe), "left")
     return joined.drop(*[_RIGHT + k for k in keys])
 
 
@@ -49,42 +40,45 @@ def key_counts(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     return df.groupBy(*[column(k) for k in keys]).agg(F.count(F.lit(1)).alias(name))
 
 
-def hot_pieces(counts: DataFrame, keys: Sequence[str], count_name: str, hot_rows: int, hot_keys: int) -> DataFrame:
-    """The most frequent keys and into how many pieces each is cut; at most ``hot_keys`` rows."""
-    count = F.col(count_name)
-    return (counts.filter(count >= hot_rows).orderBy(count.desc(), *[column(k) for k in keys]).limit(hot_keys)
-            .select(*[column(k).alias(_RIGHT + k) for k in keys], F.ceil(count / hot_rows).alias(_PIECES)))
+def _key_hash(keys: Sequence[str], prefix: str = "") -> Column:
+    return F.xxhash64(*[column(prefix + k) for k in keys])
+
+
+def heavy_hitters(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Hashes of keys with about ``hot_rows`` rows or more, and into how many pieces each is to be cut.
+
+    One pass of frequent-item sketches over the keys' hashes: no key is counted, and what is shuffled is a
+    bounded sketch per task, not a row per key. The counts are estimates, which is enough for cutting: any
+    cut gives the same join.
+    """
+    hashed = df.select(_key_hash(keys).alias(_HASH)).withColumn(_SKETCH, F.pmod(F.col(_HASH), F.lit(SKETCHES)))
+    found = hashed.groupBy(_SKETCH).agg(F.expr(f"approx_top_k({_HASH}, {TRACKED}, {TRACKED})").alias("top"))
+    return (found.select(F.explode("top").alias("top")).filter(F.col("top.count") >= hot_rows)
+            .select(F.col("top.item").alias(_HASH), F.ceil(F.col("top.count") / hot_rows).alias(_PIECES)))
 
 
 def lookup_join(df: DataFrame, lookup: DataFrame, keys: Sequence[str], null_safe: bool = False,
-                counts: DataFrame | None = None, count_name: str = _ROWS, spread: str | None = None,
-                hot_rows: int = HOT_ROWS, hot_keys: int = HOT_KEYS) -> DataFrame:
+                spread: str | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Left join of large ``df`` to large ``lookup``, which is unique on ``keys``.
 
-    The ``hot_keys`` most frequent keys of ``df`` with ``hot_rows`` rows or more are
-    cut into pieces of about ``hot_rows`` rows; each piece meets a copy of the lookup
-    row. The hot keys are broadcast, at most ``hot_keys`` rows; the copies are at
-    most one per ``hot_rows`` rows of ``df`` and one per hot key. Rows with a null
-    key match nothing and are spread as well.
+    Keys of ``df`` with about ``hot_rows`` rows or more (``heavy_hitters``) are cut into
+    pieces of about ``hot_rows`` rows; each piece meets a copy of the lookup row. The
+    list of hot keys is broadcast, at most one entry per tracked key; the copies
+    are at most one per ``hot_rows`` rows of ``df`` and one per hot key. Rows with a null
+    key match nothing; each is a piece of its own, so they spread over all tasks.
 
     A row's piece is a hash of ``spread``, a column that differs from row to row
-    (default: of the whole row), so a task that is run again repeats it. ``counts``
-    may pass rows per key when they are known already.
+    (default: of the whole row), so a task that is run again repeats it.
     """
-    if counts is None:
-        counts = key_counts(df if null_safe else df.dropna(subset=list(keys)), keys, count_name)
-    hot = F.broadcast(hot_pieces(counts, keys, count_name, hot_rows, hot_keys))
-    same = _same_keys(keys, null_safe)
-    names = [_RIGHT + k for k in keys]
-
+    hot = F.broadcast(heavy_hitters(df if null_safe else df.dropna(subset=list(keys)), keys, hot_rows))
     mixed = F.xxhash64(*[column(c) for c in ([spread] if spread else df.columns)])
     piece = F.when(F.col(_PIECES).isNotNull(), F.pmod(mixed, F.col(_PIECES)))
     if not null_safe:
-        nulls = reduce(Column.__or__, [column(k).isNull() for k in keys])
-        piece = piece.when(nulls, F.pmod(mixed, F.lit(NULL_PIECES)))
-    left = df.join(hot, same, "left").withColumn(_PIECE, piece.otherwise(F.lit(0))).drop(_PIECES, *names)
-
+        piece = piece.when(reduce(Column.__or__, [column(k).isNull() for k in keys]), mixed)
+    cut = lambda side: side.withColumn(_HASH, _key_hash(keys)).join(hot, _HASH, "left").drop(_HASH)
+    left = cut(df).withColumn(_PIECE, piece.otherwise(F.lit(0))).drop(_PIECES)
     pieces = F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col(_PIECES), F.lit(1)) - 1)
-    right = lookup.join(hot, same, "left").withColumn(_PIECE, F.explode(pieces)).drop(_PIECES, *names)
+    right = cut(lookup).withColumn(_PIECE, F.explode(pieces)).drop(_PIECES)
+    names = [_RIGHT + k for k in [*keys, _PIECE]]
     joined = left.join(_right_keys(right, [*keys, _PIECE]), _same_keys([*keys, _PIECE], null_safe), "left")
-    return joined.drop(_PIECE, _RIGHT + _PIECE, *names)
+    return joined.drop(_PIECE, *names)

@@ -21,6 +21,12 @@ def new_orders(orders: DataFrame, processed: DataFrame, key: str = "Header_Id")
     return without_keys(orders, processed, [key])
 
 
+def flagged_orders(orders: DataFrame, processed: DataFrame, flag: str, key: str = "Header_Id") -> DataFrame:
+    """Orders, one row per key, with whether an earlier run has stored their key."""
+    stored = processed.select(key).distinct().withColumn(flag, F.lit(True))
+    return orders.join(stored, key, "left").withColumn(flag, F.col(flag).isNotNull())
+
+
 def seen_orders(orders: DataFrame, processed: DataFrame, key: str = "Header_Id") -> DataFrame:
     """Orders, one row per key, whose key an earlier run has stored."""
     return with_keys(orders, processed, [key])

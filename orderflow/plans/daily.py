@@ -6,8 +6,7 @@ outputs and registers the order keys last, so a run that fails can be repeated.
 
 from __future__ import annotations
 
-import re
-from collections.abc import Callable, Mapping
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date
 
@@ -16,9 +15,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from orderflow import contract as C
 from orderflow.functions import amounts, codes, dates, nested, times
 from orderflow.operators import channels, feed as feeds, lines, phones, privacy, quality, shape, state, timefill
-from orderflow.operators.dedupe import dedupe_by, dedupe_rows
+from orderflow.operators.dedupe import dedupe_by, dedupe_rows, key_conflicts
 from orderflow.sources import readers, writers
-from orderflow.sources.scratch import staged
+from orderflow.sources.keyed import PARTS, KeyedTable, KeyRegister
+from orderflow.sources.scratch import released, staged
 
 Stage = Callable[[DataFrame, str], DataFrame]
 
@@ -44,14 +44,11 @@ class Orders:
     arrays: DataFrame
     rejects: dict[str, DataFrame] = field(default_factory=dict)
     missing_combinations: DataFrame | None = None
+    conflicts: DataFrame | None = None
 
 
-def keyed_orders(raw: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """Complete orders with a readable date and their keys, one row per key, and the rejects.
-
-    Whole-row copies have equal keys, so the reduction to one row per key removes
-    them as well and the nested rows are shuffled once.
-    """
+def dated_orders(raw: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Complete orders with a readable date and their keys, copies included, and the rejects."""
     complete, incomplete = quality.split_mandatory(raw, C.MANDATORY_ORDER_COLUMNS)
     dated = complete.withColumn("_day", dates.any_date_text(F.col("InvoiceDate")))
     unreadable = dated.filter(F.col("_day").isNull()).drop("_day") \
@@ -62,9 +59,26 @@ def keyed_orders(raw: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
         "Orderwise_Id": codes.orderwise_id(F.col("TransactionNo"), F.col("PosTerminalNo"), F.col("StoreCode"),
                                            F.col("InvoiceDate"))})
     rejects = {"mandatory_missing": dedupe_rows(incomplete), "bad_date": dedupe_rows(unreadable)}
+    return good, rejects
+
+
+def keyed_orders(raw: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """The orders of ``dated_orders``, one row per key, and the rejects.
+
+    Whole-row copies have equal keys, so the reduction to one row per key removes
+    them as well and the nested rows are shuffled once. Where different rows came
+    under a key, one of them is taken; ``Orders.conflicts`` lists such keys.
+    """
+    good, rejects = dated_orders(raw)
     return dedupe_by(good, ["Header_Id"]), rejects
 
 
+def raw_counts(raw: DataFrame, counts: quality.RunCounts) -> DataFrame:
+    """Raw orders, counted as they are staged: all, those that lack a field, and those without a readable date."""
+    missing = quality.any_missing(C.MANDATORY_ORDER_COLUMNS)
+    return counts.watch(raw, input=None, mandatory_missing=missing, bad_date=~missing & dates.any_date(F.col("InvoiceDate")).isNull())
+
+
 def matched_orders(orders: DataFrame, feed: DataFrame, days: int = C.FEED_WINDOW_DAYS,
                    trailing: bool = True) -> DataFrame:
     """Orders with their feed row and the channel and order type to be mapped."""
@@ -132,22 +146,34 @@ def final_header(mapped: DataFrame, lookups: Lookups, run_date: date) -> DataFra
     return lines.with_line_starts(channels.join_stores(phoned, lookups.stores))
 
 
+_STORED = "_stored"
+
+
 def build_orders(raw: DataFrame, feed: DataFrame, processed: DataFrame, lookups: Lookups, run_date: date,
-                 days: int = C.FEED_WINDOW_DAYS, trailing: bool = True, stage: Stage = keep) -> Orders:
+                 days: int = C.FEED_WINDOW_DAYS, trailing: bool = True, stage: Stage = keep,
+                 counts: quality.RunCounts | None = None) -> Orders:
     """From raw orders to the final header.
 
     ``stage`` decides whether the points that several readers share are written
-    (``staged``) or left as one plan (``keep``).
+    (``staged``) or left as one plan (``keep``). ``counts`` takes the rows of each step
+    as they are written, so it needs a stage that writes.
     """
-    clean, rejects = keyed_orders(raw)
-    fresh = stage(state.new_orders(clean, processed), "fresh-orders")
-    matched = matched_orders(flat_orders(fresh), feed, days, trailing)
-    mapped = stage(channelled_orders(matched, lookups), "mapped-orders")
+    watch = counts.watch if counts else lambda df, **_: df
+    good, rejects = dated_orders(raw)
+    flagged = state.flagged_orders(dedupe_by(good, ["Header_Id"]), processed, _STORED)
+    flagged = watch(flagged, keys=None, already_stored=F.col(_STORED))
+    fresh = stage(flagged.filter(~F.col(_STORED)).drop(_STORED), "fresh-orders")
+    flat = stage(flat_orders(fresh), "flat-orders")
+    web, match = F.col("Enriched_WebOrder_No").isNotNull(), F.col(feeds.MATCH)
+    mapped = watch(channelled_orders(matched_orders(flat, feed, days, trailing), lookups),
+                   same_day=match == feeds.SAME_DAY, other_day=match == feeds.OTHER_DAY, unmatched=web & match.isNull(),
+                   no_web_number=~web, unmapped=channels.is_unmapped())
+    mapped = stage(mapped, "mapped-orders")
     kept, unmapped = channels.split_unmapped(mapped)
     rejects["unmapped_channel"] = unmapped
     header = stage(final_header(kept, lookups, run_date), "final-header")
     arrays = fresh.select("Header_Id", "ItemDetails", "PaymentsDetails")
-    return Orders(header, arrays, rejects, channels.missing_combinations(mapped))
+    return Orders(header, arrays, rejects, channels.missing_combinations(mapped), key_conflicts(good, ["Header_Id"]))
 
 
 def _dated(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -207,61 +233,81 @@ def mapping_rows(header: DataFrame, key: str, iv: str) -> DataFrame:
     return state.mapping_rows(rows, key, iv)
 
 
-def _is_of_day_or_later(path: str, state_root: str, run_date: date) -> bool:
-    """Whether ``path`` lies in a day's folder under ``state_root`` that is not before ``run_date``."""
-    root = state_root.rstrip("/") + "/"
-    found = re.match(r"(\d{4})/(\d{2})/(\d{2})(/|$)", path[len(root):]) if path.startswith(root) else None
-    return found is not None and date(*map(int, found.groups()[:3])) >= run_date
+HEADER_IDS = T.StructType([T.StructField("Header_Id", T.StringType())])
+
+#: What a run counts of its input. All but the first and the last add up to the first.
+INPUT_STAGES = ["input", "mandatory_missing", "bad_date", "copies", "already_stored", "same_day", "other_day", "unmatched", "no_web_number", "unmapped"]
 
 
-HEADER_IDS = T.StructType([T.StructField("Header_Id", T.StringType())])
+def step_counts(counts: quality.RunCounts) -> None:
+    """Adds what follows from the counts of the steps: rows that repeat the key of another."""
+    found = counts.rows()
+    counts.put(copies=found["input"] - found["mandatory_missing"] - found["bad_date"] - found["keys"])
+
+
+def state_tables(spark: SparkSession, state_root: str, pii: T.StructType, parts: int = PARTS) -> dict[str, KeyedTable]:
+    """The state tables under ``state_root``, in parts by key."""
+    root = state_root.rstrip("/")
+    return {"customers": KeyedTable(spark, f"{root}/customers", "Mobile_Number", C.CUSTOMER_STATE_SCHEMA, parts),
+            "order_pii": KeyedTable(spark, f"{root}/order_pii", "Header_Id", pii, parts),
+            "mapping": KeyedTable(spark, f"{root}/mapping", "Header_Id", C.MAPPING_STATE_SCHEMA, parts)}
+
+
+def processed_register(spark: SparkSession, state_root: str) -> KeyRegister:
+    """The order keys that runs have stored, by invoice day."""
+    return KeyRegister(spark, f"{state_root.rstrip('/')}/processed", "Header_Id", "invoice_day")
+
+
+def _invoice_day(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("invoice_day", dates.output_date_text(dates.any_date_text(F.col("InvoiceDate"))))
 
 
-def run_day(spark: SparkSession, raw: DataFrame, feed: DataFrame, lookups: Lookups, run_date: date, output: str,
-            state_root: str, states: Mapping[str, str], key: str, iv: str, trailing: bool = True) -> DataFrame:
-    """One daily run. Returns the row counts of its outputs.
+def run_day(spark: SparkSession, raw: DataFrame, feed: DataFrame | str, lookups: Lookups, run_date: date, output: str,
+            state_root: str, key: str, iv: str, trailing: bool = True, parts: int = PARTS) -> DataFrame:
+    """One daily run. Returns its row counts: the steps of ``INPUT_STAGES`` and each output.
 
-    Facts go to a folder of the run, which a repeated run replaces. ``states`` holds
-    the folder of the last snapshot per state table (``customers``, ``order_pii``,
-    ``mapping``, ``processed``); new snapshots go to a folder of the run under
-    ``state_root``, the order keys last. A run that fails leaves the earlier
-    snapshots as they were. ``states`` must be of an earlier day: with the day's own
-    snapshot all its orders would count as stored and its facts be replaced by none,
-    so such a call raises ``ValueError`` before anything is written.
+    ``feed`` is a table of feed rows, or the root of day folders, of which those that the
+    orders' days look at are read. Facts go to a folder of the run under ``output``, which
+    a repeated run replaces. State tables lie under ``state_root`` in parts by key; the
+    run reads the parts that its keys fall into as they were before ``run_date`` and
+    writes them to a folder of its own, so a run that fails or is repeated leaves the
+    state before it as it was, and its own snapshot never counts as the state before it.
+    Order keys are registered last. Days are to be run in order (``catch_up``). Working
+    tables are deleted at the end, also after a failure.
     """
-    run, snapshots = readers.day_folder(output, run_date), readers.day_folder(state_root, run_date)
-    late = sorted(name for name, path in states.items() if _is_of_day_or_later(path, state_root, run_date))
-    if late:
-        raise ValueError(f"snapshots of {run_date} or later cannot be the state before it: {late}")
-    processed = readers.read_or_empty(spark, states["processed"], HEADER_IDS)
-    orders = build_orders(staged(raw, "raw-orders"), feed, processed, lookups, run_date, trailing=trailing,
-                          stage=staged)
-    header = orders.header
-    written = {}
-    for reason, rows in orders.rejects.items():
-        written[f"rejects_{reason}"] = (rows, f"{run}/REJECTS/{reason}")
-        writers.write_rejects(*written[f"rejects_{reason}"])
-    writers.write_keys(orders.missing_combinations, f"{run}/REJECTS/missing_combinations")
-    facts = {"baseline": (baseline_facts(orders), "Enriched_Order_Date"),
-             "line": (line_facts(orders), "Invoice_Open_Date"),
-             "payment": (payment_facts(orders), "Invoice_Open_Date")}
-    for name, (rows, day) in facts.items():
-        written[name] = (rows, f"{run}/{name.upper()}")
-        writers.write_facts(rows, f"{run}/{name.upper()}", day)
-
-    personal = staged(personal_rows(header, key, iv), "personal-rows")
-    pii = order_pii_rows(personal)
-    mapping = mapping_rows(header, key, iv)
-    old = {"customers": readers.read_or_empty(spark, states["customers"], C.CUSTOMER_STATE_SCHEMA),
-           "order_pii": readers.read_or_empty(spark, states["order_pii"], pii.schema),
-           "mapping": readers.read_or_empty(spark, states["mapping"], C.MAPPING_STATE_SCHEMA)}
-    merged = {"customers": state.merge_customers(old["customers"], customer_rows(personal), touched_only=False,
-                                                 tie_break=["Order_Time", "Header_Id"]),
-              "order_pii": state.merge_order_pii(old["order_pii"], pii),
-              "mapping": state.merge_mapping(old["mapping"], mapping),
-              "processed": state.register(processed, header)}
-    for name, rows in merged.items():
-        written[name] = (rows, f"{snapshots}/{name}")
-        writers.write_snapshot(*written[name])
-    return quality.run_report({name: readers.read_or_empty(spark, path, rows.schema)
-                               for name, (rows, path) in written.items()})
+    run, counts = readers.day_folder(output, run_date), quality.RunCounts()
+    with released(spark):
+        staged_raw = staged(raw_counts(raw, counts), "raw-orders")
+        if isinstance(feed, str):
+            read = staged_raw.select(dates.any_date_text(F.col("InvoiceDate")).alias("InvoiceDate"))
+            feed = readers.read_feed(spark, feed, feeds.feed_days(read, trailing=trailing))
+        register = processed_register(spark, state_root)
+        processed = register.read(_invoice_day(staged_raw).select("invoice_day"), run_date)
+        orders = build_orders(staged_raw, feed, processed, lookups, run_date, trailing=trailing, stage=staged, counts=counts)
+        header = orders.header
+        for reason, rows in orders.rejects.items():
+            writers.write_rejects(counts.watch(rows, **{f"rejects_{reason}": None}), f"{run}/REJECTS/{reason}")
+        writers.write_keys(orders.missing_combinations, f"{run}/REJECTS/missing_combinations")
+        writers.write_rejects(counts.watch(orders.conflicts, key_conflicts=None), f"{run}/REJECTS/key_conflicts", "different_rows")
+        facts = {"baseline": (baseline_facts(orders), "Enriched_Order_Date"),
+                 "line": (line_facts(orders), "Invoice_Open_Date"),
+                 "payment": (payment_facts(orders), "Invoice_Open_Date")}
+        for name, (rows, day) in facts.items():
+            writers.write_facts(rows, f"{run}/{name.upper()}", day, watch=lambda df, name=name: counts.watch(df, **{name: None}))
+
+        personal = staged(personal_rows(header, key, iv), "personal-rows")
+        pii = staged(order_pii_rows(personal), "order-pii")
+        mapping = staged(mapping_rows(header, key, iv), "mapping-rows")
+        customers = staged(customer_rows(personal), "customer-rows")
+        fold_customers = lambda old, new: state.merge_customers(old, new, touched_only=False, tie_break=["Order_Time", "Header_Id"])
+        merges = {"customers": (customers, fold_customers, privacy.ENCRYPTED_MOBILE), "order_pii": (pii, state.merge_order_pii, None),
+                  "mapping": (mapping, state.merge_mapping, None)}
+        tables = state_tables(spark, state_root, pii.schema, parts)
+        for name, (rows, fold, own) in merges.items():
+            touched = tables[name].merge(rows, fold, run_date, own, lambda df, name=name: counts.watch(df, **{name: None}))
+            counts.put(**{f"{name}_parts": len(touched)})
+        register.append(_invoice_day(header), run_date, lambda df: counts.watch(df, processed=None))
+        step_counts(counts)
+        found = counts.rows()
+    return spark.createDataFrame([(s, found[s]) for s in [*INPUT_STAGES, *[n for n in found if n not in (*INPUT_STAGES, "keys")]]],
+                                 "stage string, row_count long")

@@ -20,7 +20,7 @@ class MissingInput(FileNotFoundError):
     """An input folder that has to be there is not."""
 
 
-def _is_missing_path(error: AnalysisException) -> bool:
+def is_missing_path(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
 
@@ -31,7 +31,7 @@ def read_orders(spark: SparkSession, path: str, row_tag: str = ORDER_ROW_TAG,
         return (spark.read.format("xml").option("rowTag", row_tag).option("excludeAttribute", True)
                 .option("nullValue", "").option("ignoreSurroundingSpaces", False).schema(schema).load(path))
     except AnalysisException as error:
-        if _is_missing_path(error):
+        if is_missing_path(error):
             raise MissingInput(f"no orders at {path}") from error
         raise
 
@@ -45,7 +45,7 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
-        if _is_missing_path(error):
+        if is_missing_path(error):
             return spark.createDataFrame([], schema)
         raise
 
@@ -60,7 +60,7 @@ def read_feed(spark: SparkSession, root: str, days: Sequence[date], franchise: s
     try:
         rows = spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{{{folders}}}/*.parquet")
     except AnalysisException as error:
-        if _is_missing_path(error):
+        if is_missing_path(error):
             return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField(FEED_DATE, T.DateType())]))
         raise
     folder = F.regexp_extract(F.col("_metadata.file_path"), r"(\d{4}/\d{2}/\d{2})/[^/]*$", 1)

@@ -16,9 +16,15 @@ from orderflow.sources.readers import read_or_empty
 from orderflow.sources.scratch import staged
 
 PARTITION = "partition_date"
+#: Takes what is written and gives it back, to count it on the way.
+Watch = Callable[[DataFrame], DataFrame]
 
 
-def write_facts(df: DataFrame, path: str, date_column: str, mode: str = "overwrite") -> None:
+def as_it_is(df: DataFrame) -> DataFrame:
+    return df
+
+
+def write_facts(df: DataFrame, path: str, date_column: str, mode: str = "overwrite", watch: Watch = as_it_is) -> None:
     """Parquet partitioned by a copy of ``date_column``.
 
     Rows are rebalanced by day before the write: small days share a file, a day
@@ -26,7 +32,7 @@ def write_facts(df: DataFrame, path: str, date_column: str, mode: str = "overwri
     so the default replaces what an earlier attempt of that run left.
     """
     rows = copy_column(untyped_to_text(df), date_column, PARTITION)
-    rows.hint("rebalance", F.col(PARTITION)).write.partitionBy(PARTITION).mode(mode).parquet(path)
+    watch(rows.hint("rebalance", F.col(PARTITION))).write.partitionBy(PARTITION).mode(mode).parquet(path)
 
 
 def write_rejects(df: DataFrame, path: str, reason: str | None = None, mode: str = "overwrite") -> None:

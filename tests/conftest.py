@@ -16,7 +16,7 @@ def spark(tmp_path_factory):
                .config("spark.sql.shuffle.partitions", "8").config("spark.sql.session.timeZone", "UTC")
                .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
                .config("spark.driver.memory", "6g").config("spark.ui.enabled", "false")
-               .config("spark.log.level", "ERROR").getOrCreate())
+               .config("spark.sql.maxMetadataStringLength", "10000").config("spark.log.level", "ERROR").getOrCreate())
     yield session
     session.stop()
 

@@ -1,10 +1,13 @@
 """Every query with a checking SQL gives the same rows in both engines."""
 
+import re
+
 import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from orderflow.catalog import fixtures
+from orderflow.catalog import fixtures, runs
+from orderflow.plans import daily
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
 # The library's own queries; the training-data operators, if they are there, have tests of their own.
@@ -37,8 +40,21 @@ def test_same_rows(spark, other, data, name):
     assert got == want
 
 
-def test_only_encryption_lacks_a_check():
-    assert set(QUERIES) - set(CHECKS) == {"q_pii_protect"}
+def test_every_query_has_a_check():
+    assert set(QUERIES) == set(CHECKS)
+
+
+def test_no_nested_column_is_compared(spark, data):
+    x = fixtures.Inputs(spark, data)
+    for df in (daily.keyed_orders(x.orders)[0], QUERIES["q_items_flat"](spark, data)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        keys = re.findall(r"(?:Sort|WindowGroupLimit) \[(.*?)\]", plan)
+        assert keys and not any("Details" in k or "Items" in k for k in keys)
+
+
+def test_feed_scan_is_pruned_by_the_orders_days(spark, data):
+    plan = runs.pruned_match(fixtures.Inputs(spark, data))._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*dynamicpruningexpression", plan)
 
 
 def test_entry(spark):

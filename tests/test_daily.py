@@ -1,5 +1,6 @@
 """The daily run from XML to its outputs, and a second run on top of it."""
 
+import os
 from datetime import date
 
 import pytest
@@ -8,11 +9,12 @@ from pyspark.sql import functions as F
 
 from orderflow import contract as C
 from orderflow.plans import daily
+from orderflow.plans.catch_up import catch_up, stored_mark
 from orderflow.sources import readers
 from orderflow.sources.scratch import new_folder
 
 KEY, IV = "0123456789abcdef0123456789abcdef", "abcdefghijklmnop"
-STATES = ("customers", "order_pii", "mapping", "processed")
+STATES = ("customers", "order_pii", "mapping")
 
 
 def element(name, value):
@@ -59,25 +61,36 @@ def feed(spark):
     return rows.withColumn(C.FEED_DATE, F.lit("2024-03-04").cast("date"))
 
 
-def run(spark, lookups, feed, orders, day, states, root):
+def run(spark, lookups, feed, orders, day, root):
     path = new_folder(spark, "xml")
     spark.createDataFrame([("<Orders>" + "".join(orders) + "</Orders>",)], "value string").write.text(path)
     raw = readers.read_orders(spark, path)
-    report = daily.run_day(spark, raw, feed, lookups, day, f"{root}/out", f"{root}/state", states, KEY, IV)
+    report = daily.run_day(spark, raw, feed, lookups, day, f"{root}/out", f"{root}/state", KEY, IV, parts=4)
     return {r.stage: r.row_count for r in report.collect()}
 
 
+def tables(spark, root):
+    schema = spark.read.parquet(f"{root}/state/order_pii").drop("run_date", "key_part").schema
+    return daily.state_tables(spark, f"{root}/state", schema, parts=4)
+
+
 @pytest.fixture(scope="module")
 def first_run(spark, lookups, feed):
     root = new_folder(spark, "run")
-    counts = run(spark, lookups, feed, ORDERS, date(2024, 3, 6), {n: f"{root}/none/{n}" for n in STATES}, root)
-    return root, counts
+    return root, run(spark, lookups, feed, ORDERS, date(2024, 3, 6), root)
 
 
 def test_counts_add_up(first_run):
     _, counts = first_run
-    assert counts == {"baseline": 3, "line": 4, "payment": 3, "rejects_mandatory_missing": 1, "rejects_bad_date": 1,
-                      "rejects_unmapped_channel": 1, "customers": 3, "order_pii": 3, "mapping": 3, "processed": 3}
+    steps = {n: counts[n] for n in daily.INPUT_STAGES}
+    assert steps == {"input": 7, "mandatory_missing": 1, "bad_date": 1, "copies": 1, "already_stored": 0, "same_day": 0, "other_day": 1,
+                     "unmatched": 0, "no_web_number": 3, "unmapped": 1}
+    assert steps["input"] == sum(n for name, n in steps.items() if name not in ("input", "unmapped"))
+    parts = {n: counts.pop(f"{n}_parts") for n in STATES}
+    assert all(1 <= n <= 3 for n in parts.values())
+    assert {n: c for n, c in counts.items() if n not in steps} == {
+        "baseline": 3, "line": 4, "payment": 3, "rejects_mandatory_missing": 1, "rejects_bad_date": 1, "rejects_unmapped_channel": 1,
+        "key_conflicts": 0, "customers": 3, "order_pii": 3, "mapping": 3, "processed": 3}
 
 
 def test_baseline(spark, first_run):
@@ -121,16 +134,16 @@ def test_rejects_name_their_reason(spark, first_run):
 
 def test_states(spark, first_run):
     from orderflow.functions.privacy import decrypt
-    root = f"{first_run[0]}/state/2024/03/06"
-    customers = spark.read.parquet(f"{root}/customers")
+    found = tables(spark, first_run[0])
+    customers = found["customers"].read(date(2024, 3, 7))
     assert customers.schema.names == C.CUSTOMER_STATE_SCHEMA.fieldNames()
     shown = customers.select(decrypt(F.col("Mobile_Number"), KEY, IV), "First_Order_Date", "Last_Order_Date", "Valid")
     assert values(shown) == [("8000000001", "2024-03-04", "2024-03-04", True), ("9876543210", "2024-03-05", "2024-03-05", True),
                              ("xxxxxxxxxx", "2024-03-05", "2024-03-05", False)]
-    pii = spark.read.parquet(f"{root}/order_pii")
+    pii = found["order_pii"].read(date(2024, 3, 7))
     assert pii.columns == [C.PII_STATE_RENAMES.get(c, c) for c in C.PII_COLUMNS]
     assert pii.filter("Email = 'a@example.com' or Mobile_Number like '%9876543210%'").count() == 0
-    mapping = spark.read.parquet(f"{root}/mapping")
+    mapping = found["mapping"].read(date(2024, 3, 7))
     assert mapping.columns == C.MAPPING_STATE_SCHEMA.fieldNames()
     assert values(mapping, "Header_Id", "Aggregator_Id", "Online_ref_ID")[0] == ("1_20240305_S1", "  ", "W1")
     joined = mapping.join(customers, "Customer_Id").count()
@@ -139,19 +152,73 @@ def test_states(spark, first_run):
 
 def test_second_run_skips_stored_orders(spark, lookups, feed, first_run):
     root = first_run[0]
-    states = {n: f"{root}/state/2024/03/06/{n}" for n in STATES}
-    more = ORDERS + [order("7", items=ITEMS, day="03/06/24")]
-    counts = run(spark, lookups, feed, more, date(2024, 3, 7), states, root)
-    assert counts["baseline"] == 1 and counts["line"] == 2 and counts["processed"] == 4 and counts["customers"] == 3
-    again = run(spark, lookups, feed, more, date(2024, 3, 7), states, root)
-    assert again == counts
-    nothing = run(spark, lookups, feed, ORDERS, date(2024, 3, 8), states, root)
-    assert nothing["baseline"] == 0 and nothing["customers"] == 3
+    more = ORDERS + [order("7", items=ITEMS, day="March 6, 2024")]
+    counts = run(spark, lookups, feed, more, date(2024, 3, 7), root)
+    assert counts["baseline"] == 1 and counts["line"] == 2 and counts["already_stored"] == 3 and counts["processed"] == 1
+    assert counts["customers_parts"] == counts["mapping_parts"] == 1
+    found = tables(spark, root)
+    assert found["customers"].read().count() == 3 and found["mapping"].read().count() == 4
+    assert {r[0] for r in found["mapping"].read(places=True).select("run_date").distinct().collect()} <= {"2024-03-06", "2024-03-07"}
+    again = run(spark, lookups, feed, more, date(2024, 3, 7), root)
+    assert again == counts and found["mapping"].read().count() == 4
+    nothing = run(spark, lookups, feed, ORDERS, date(2024, 3, 8), root)
+    assert nothing["baseline"] == 0 and nothing["customers_parts"] == 0 and found["customers"].read().count() == 3
+
+
+def test_a_repeated_run_does_not_see_itself(spark, lookups, feed, first_run):
+    root, counts = first_run
+    again = run(spark, lookups, feed, ORDERS, date(2024, 3, 6), root)
+    assert again["baseline"] == 3 and again["already_stored"] == 0
+    assert tables(spark, root)["mapping"].read(date(2024, 3, 7)).count() == 3
+
+
+def test_working_tables_go(spark, lookups, feed, monkeypatch):
+    root = new_folder(spark, "released")
+    there = lambda: {p for p in os.listdir(os.path.dirname(root)) if not p.startswith(("xml", "released"))}
+    before = there()
+    assert run(spark, lookups, feed, ORDERS, date(2024, 3, 6), root)["baseline"] == 3 and there() == before
+    monkeypatch.setattr(daily, "payment_facts", lambda orders: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        run(spark, lookups, feed, ORDERS, date(2024, 3, 6), f"{root}/other")
+    assert there() == before
+
+
+def test_feed_folders_of_the_orders_days(spark, lookups, feed):
+    root = new_folder(spark, "folders")
+    feed.drop(C.FEED_DATE).write.parquet(f"{root}/feed/2024/03/04")
+    feed.drop(C.FEED_DATE).write.parquet(f"{root}/feed/2024/02/04")  # no order looks at it
+    counts = run(spark, lookups, f"{root}/feed", ORDERS, date(2024, 3, 6), root)
+    assert counts["other_day"] == 1 and counts["unmatched"] == 0
+    assert run(spark, lookups, f"{root}/no-feed", ORDERS, date(2024, 3, 6), f"{root}/b")["unmatched"] == 1
+
+
+def test_different_rows_under_a_key_are_listed(spark, lookups, feed):
+    root = new_folder(spark, "conflicts")
+    counts = run(spark, lookups, feed, ORDERS + [order("6", items=ITEMS, StoreCode="S2")], date(2024, 3, 6), root)
+    assert counts["key_conflicts"] == 1 and counts["copies"] == 2 and counts["baseline"] == 3
+    assert values(spark.read.parquet(f"{root}/out/2024/03/06/REJECTS/key_conflicts")) == [("6_20240305_S2", 2, "different_rows")]
+
+
+def test_catching_up_stops_at_a_failure(spark, lookups, feed):
+    root = new_folder(spark, "catch-up")
+    control, ran = f"{root}/control", []
+    orders = {date(2024, 3, 6): ORDERS, date(2024, 3, 7): [order("8", items=ITEMS)], date(2024, 3, 8): [order("9", items=ITEMS, day="7th of March 2024")]}
+
+    def one(day, broken=date(2024, 3, 7)):
+        ran.append(day)
+        if day == broken:
+            raise OSError("no orders yet")
+        path = new_folder(spark, "xml")
+        spark.createDataFrame([("<Orders>" + "".join(orders[day]) + "</Orders>",)], "value string").write.text(path)
+        return daily.run_day(spark, readers.read_orders(spark, path), feed, lookups, day, f"{root}/out", f"{root}/state", KEY, IV, parts=4)
 
-
-def test_a_days_own_snapshot_is_no_state_before_it(spark, lookups, feed, first_run):
-    root = first_run[0]
-    kept = spark.read.parquet(f"{root}/out/2024/03/06/BASELINE").count()
     with pytest.raises(ValueError):
-        run(spark, lookups, feed, ORDERS, date(2024, 3, 6), {n: f"{root}/state/2024/03/06/{n}" for n in STATES}, root)
-    assert spark.read.parquet(f"{root}/out/2024/03/06/BASELINE").count() == kept > 0
+        catch_up(spark, control, date(2024, 3, 8), one)
+    with pytest.raises(OSError):
+        catch_up(spark, control, date(2024, 3, 8), one, first=date(2024, 3, 6))
+    assert ran == [date(2024, 3, 6), date(2024, 3, 7)] and stored_mark(spark, control) == date(2024, 3, 6)
+    report = catch_up(spark, control, date(2024, 3, 8), lambda day: one(day, None))
+    assert ran[2:] == [date(2024, 3, 7), date(2024, 3, 8)] and stored_mark(spark, control) == date(2024, 3, 8)
+    assert values(report.filter("stage = 'baseline'"), "run_date", "row_count") == [(date(2024, 3, 7), 1), (date(2024, 3, 8), 1)]
+    assert tables(spark, root)["mapping"].read().count() == 5
+    assert catch_up(spark, control, date(2024, 3, 8), one).count() == 0 and len(ran) == 4

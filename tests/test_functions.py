@@ -46,6 +46,18 @@ def test_any_date(spark):
                   ("", None), (None, None), ("soon", None)], dates.any_date_text)
 
 
+def test_free_form_dates(spark):
+    same = ["5th of March 2024", "Tue, Mar 5 24 10:11 pm", "2024.03.05T10:11Z", "20240305", "March 5, 2024", "5 Mar 2024", "05-Mar-24",
+            "Mar-05-2024", "2024 March 5", "2024-03-05T10:11:12+05:30", "3.5.2024", "5mar2024", "20240305101112", "2024-03-05 10:11:12.123",
+            "2024/3/5 9:05 AM", "  3 / 5 / 2024 ", "Tuesday the 5th of March, 2024 at 5pm", "05 Mar 24 at 10 am", "03.05.2024 00:00:00"]
+    check(spark, [(t, "2024/03/05") for t in same], dates.any_date_text)
+    check(spark, [("31/12/2024", "2024/12/31"), ("13.5.24", "2024/05/13"), ("99 Feb 01", "1999/02/01"), ("Sept 9 1999", "1999/09/09"),
+                  ("Feb 29, 2024", "2024/02/29"), ("1 jan 69", "1969/01/01"), ("1 jan 68", "2068/01/01"), ("may 4 may", None),
+                  ("2024-13-45", None), ("99-99-99", None), ("5 Mar", None), ("24 Mar 5", None), ("Mar 2024", None), ("Monday", None), ("5 Mar 2024 junk", None),
+                  ("30 Feb 2024", None), ("Feb 29, 2023", None), ("1-2-3", None), ("123 4 5", None), ("1e5 2 3", None), ("10:11", None),
+                  ("5 Mar 2024 6", None), ("marchy 5 2024", None), ("2024", None), ("-5 -3 -2024-", "2024/05/03")], dates.any_date_text)
+
+
 def test_date_texts(spark):
     check(spark, [("03/05/24", "2024/03/05"), ("03/05/99", "2099/03/05"), ("3/5/24", None), ("x", None), (None, None)],
           dates.short_date_text)
@@ -175,6 +187,22 @@ def test_parents(spark):
              item("t2", "TOPPING"), item("p2", "PIZZA"), item("t3", "TOPPING"), item("t4", "topping")]
     got = outcome(spark, [(items, None)], lambda c: F.transform(nested.with_parents(c), lambda r: r["parent"]), ITEMS)
     assert got == [[None, None, "p1", None, None, "p1", None, "p2", None]]
+    got = outcome(spark, [([], None), (None, None), ([item("t", "TOPPING"), (None, None, None, None)], None)],
+                  lambda c: F.transform(nested.with_parents(c), lambda r: r["parent"]), ITEMS)
+    assert got == [[], None, [None, None]]
+
+
+def test_parents_of_a_very_large_order(spark):
+    import time
+
+    rows = spark.range(1).select(F.transform(F.sequence(F.lit(1), F.lit(10_000)), lambda i: F.struct(
+        i.cast("string").alias("ItemNo"), F.when(i % 50 == 1, "PIZZA").otherwise("TOPPING").alias("ItemCatagory"))).alias("v"))
+    work = rows.select(nested.with_parents(F.col("v")).alias("v"))
+    work.collect()
+    start = time.perf_counter()
+    (row,) = work.collect()
+    assert time.perf_counter() - start < 2
+    assert [r["parent"] for r in row.v] == [None if i % 50 == 1 else str(i - (i - 1) % 50) for i in range(1, 10_001)]
 
 
 PAYMENTS = "v array<struct<Amount:string,Mode:string>>"
