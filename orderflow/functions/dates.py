@@ -82,13 +82,19 @@ def free_date(text: Column) -> Column:
     no year, has anything else in it or is no day of the calendar is null.
 
     The grammar is one chain of replacements, each of which takes the text that the
-    one before it left, so it compiles with the rest of the stage and no part of it
-    is worked out twice.
+    one before it left. It stands in a lambda, which keeps it out of the code made
+    for the rest of the stage: compiled with it, it would make that code too large to
+    run fast, for the sake of few rows.
     """
-    plain = F.lower(F.trim(text))
-    for pattern, by in [*_NOISE, *_NAMES, *_ORDERS, *_YEARS]:
-        plain = F.regexp_replace(plain, pattern, by)
-    return F.try_to_timestamp(F.nullif(F.regexp_extract(plain, rf"^(\d{{4}}-\d{{1,2}}-\d{{1,2}}){_DONE}$", 1), F.lit("")), F.lit("yyyy-M-d")).cast("date")
+    def read(plain: Column) -> Column:
+        for pattern, by in [*_NOISE, *_NAMES, *_ORDERS, *_YEARS]:
+            plain = F.regexp_replace(plain, pattern, by)
+        day = F.regexp_extract(plain, rf"^(\d{{4}}-\d{{1,2}}-\d{{1,2}}){_DONE}$", 1)
+        return F.try_to_timestamp(F.nullif(day, F.lit("")), F.lit("yyyy-M-d")).cast("date")
+
+    # A day has three digits at least; texts without are not worth the chain.
+    worth = F.when(text.rlike(r"\d\D*\d\D*\d"), F.lower(F.trim(text)))
+    return F.get(F.transform(F.when(worth.isNotNull(), F.array(worth)), read), F.lit(0))
 
 
 def any_date(text: Column, shapes: Mapping[str, str] = DATE_SHAPES) -> Column:
