@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import heapq
 import re
@@ -17,22 +18,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orderflow.llm.base import extended, kept, mix, pieces, table
 
-#: Pre-tokens whose ids a worker remembers at most; beyond it the older half of them is forgotten.
-REMEMBERED = 1 << 18
+#: Pre-tokens whose ids a worker remembers, about (230 bytes each); beyond it the older half of them is forgotten.
+REMEMBERED = 3 << 17
 #: Bytes of text that a task holds at once, or one document.
 PIECE_BYTES = 2 << 20
 
 
-_LOW = (1 << 64) - 1
-
-
-def _mix(x: int) -> int:
-    """``base.mix`` of one number."""
-    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & _LOW
-    x = (x ^ x >> 27) * 0x94D049BB133111EB & _LOW
-    return x ^ x >> 31
-
-
 class PerfectHash:
     """A minimal perfect hash of byte strings to their numbers (hash, displace, compare).
 
@@ -47,7 +38,7 @@ class PerfectHash:
         for key in numbers:
             value = xxhash.xxh3_64_intdigest(key)
             groups.setdefault(value % self.buckets, []).append((value, key))
-        self.moves = [0] * self.buckets
+        self.moves = np.zeros(self.buckets, dtype=np.int64)
         self.keys: list[bytes | None] = [None] * self.size
         free = np.ones(self.size, dtype=bool)
         tries = np.arange(512, dtype=np.uint64)[:, None]
@@ -75,14 +66,19 @@ class PerfectHash:
                 self.keys[slot], self.moves[bucket] = members[0][1], -slot - 1
         self.numbers = [numbers[k] if k is not None else -1 for k in self.keys]
 
+    def get_all(self, keys: list[bytes]) -> list[int]:
+        """The number of each key, or -1 if it is not in the set."""
+        if not self.size or not keys:
+            return [-1] * len(keys)
+        values = np.array([xxhash.xxh3_64_intdigest(k) for k in keys], dtype=np.uint64)
+        moves = self.moves[(values % np.uint64(self.buckets)).astype(np.int64)]
+        moved = mix(values ^ moves.astype(np.uint64)) % np.uint64(self.size)
+        slots = np.where(moves < 0, -moves - 1, moved.astype(np.int64)).tolist()
+        own, numbers = self.keys, self.numbers
+        return [numbers[s] if own[s] == k else -1 for s, k in zip(slots, keys, strict=True)]
+
     def get(self, key: bytes) -> int:
-        """The key's number, or -1 if it is not in the set."""
-        if not self.size:
-            return -1
-        value = xxhash.xxh3_64_intdigest(key)
-        move = self.moves[value % self.buckets]
-        slot = -move - 1 if move < 0 else _mix(value ^ move) % self.size
-        return self.numbers[slot] if self.keys[slot] == key else -1
+        return self.get_all([key])[0]
 
 
 def ranks_of(path: str) -> dict[bytes, int]:
@@ -123,9 +119,17 @@ class Codec:
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.text_of = {rank: str(rank) for rank in self.bytes_of}
         self.single = [ranks[bytes([b])] for b in range(256)]
-        #: Rank of each pair of tokens that can merge, by both ids in one number.
-        self.pairs = {ranks[t[:i]] << 32 | ranks[t[i:]]: rank for t, rank in ranks.items() for i in range(1, len(t))
-                      if t[:i] in ranks and t[i:] in ranks}
+        #: One number object per id, which all remembered ids share.
+        self.number = {rank: rank for rank in self.bytes_of}
+        #: Rank of each pair of tokens that can merge: by the left id, then by the right one.
+        self.after: dict[int, dict[int, int]] = {rank: {} for rank in self.bytes_of}
+        for token, rank in ranks.items():
+            for i in range(1, len(token)):
+                if token[:i] in ranks and token[i:] in ranks:
+                    self.after[ranks[token[:i]]][ranks[token[i:]]] = rank
+        #: The same for pairs of bytes.
+        self.byte_after = [{b: self.after[self.single[a]][self.single[b]] for b in range(256) if self.single[b] in self.after[self.single[a]]}
+                           for a in range(256)]
         self.new: dict[str, tuple[int, ...]] = {}
         self.old: dict[str, tuple[int, ...]] = {}
 
@@ -136,49 +140,62 @@ class Codec:
         leftmost first. An entry whose neighbours have another rank by now is passed over. n bytes take
         O(n log n).
         """
+        heap, end, left = [], len(word), word[0]
+        for i in range(1, end):
+            right = word[i]
+            if (rank := self.byte_after[left].get(right)) is not None:
+                heap.append(rank << 32 | i - 1)
+            left = right
         ids = [self.single[b] for b in word]
-        end, rank_of = len(ids), self.pairs.get
-        heap = [rank << 32 | i for i, a, b in zip(range(end), ids, ids[1:]) if (rank := rank_of(a << 32 | b)) is not None]
         heapq.heapify(heap)
-        after, before = list(range(1, end + 1)), list(range(-1, end - 1))
-        pop, push = heapq.heappop, heapq.heappush
+        after, before, rank_of = list(range(1, end + 1)), list(range(-1, end)), self.after
+        pop, push, replace = heapq.heappop, heapq.heappush, heapq.heapreplace
         while heap:
-            entry = pop(heap)
+            entry = heap[0]
             rank, i = entry >> 32, entry & 0xFFFFFFFF
             j = after[i]
-            if j >= end or ids[i] < 0 or rank_of(ids[i] << 32 | ids[j]) != rank:
+            if j >= end or ids[i] < 0 or rank_of[ids[i]].get(ids[j]) != rank:
+                pop(heap)
                 continue
             ids[i], ids[j] = rank, -1
             k = after[i] = after[j]
+            taken = False  # the entry's place in the heap goes to the first new one
             if k < end:
                 before[k] = i
-                if (more := rank_of(rank << 32 | ids[k])) is not None:
-                    push(heap, more << 32 | i)
+                if (more := rank_of[rank].get(ids[k])) is not None:
+                    replace(heap, more << 32 | i)
+                    taken = True
             h = before[i]
-            if h >= 0 and (more := rank_of(ids[h] << 32 | rank)) is not None:
-                push(heap, more << 32 | h)
-        return tuple([x for x in ids if x >= 0])
-
-    def piece(self, piece: str) -> tuple[int, ...]:
-        """Ids of one pre-token."""
-        ids = self.old.get(piece)
-        if ids is None:
-            word = piece.encode()
-            rank = self.whole.get(word)
-            ids = (rank,) if rank >= 0 else self.merge(word)
-        if len(piece) <= 64:
-            if len(self.new) >= REMEMBERED // 2:
-                self.new, self.old = {}, self.new
-            self.new[piece] = ids
-        return ids
+            if h >= 0 and (more := rank_of[ids[h]].get(rank)) is not None:
+                (push if taken else replace)(heap, more << 32 | h)
+                taken = True
+            if not taken:
+                pop(heap)
+        number = self.number
+        return tuple([number[x] for x in ids if x >= 0])
+
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        """Ids of texts; each distinct pre-token is looked up or merged once, those met lately are remembered."""
+        found = [self.find(text) for text in texts]
+        known, old = self.new, self.old
+        fresh = []
+        for p in set(chain.from_iterable(found)).difference(known):
+            if (ids := old.get(p)) is None:
+                fresh.append(p)
+            else:
+                known[p] = ids
+        words = [p.encode() for p in fresh]
+        for p, word, rank in zip(fresh, words, self.whole.get_all(words), strict=True):
+            known[p] = (self.number[rank],) if rank >= 0 else self.merge(word)
+        get = known.__getitem__
+        result = [list(chain.from_iterable(map(get, f))) for f in found]
+        if len(known) >= REMEMBERED // 2:
+            # Long pre-tokens are few and large, so they are not kept.
+            self.new, self.old = {}, {p: ids for p, ids in known.items() if len(p) <= 64}
+        return result
 
     def encode(self, text: str) -> list[int]:
-        get, piece = self.new.get, self.piece
-        found = self.find(text)
-        known = list(map(get, found))
-        if None in known:
-            known = [piece(p) if ids is None else ids for p, ids in zip(found, known, strict=True)]
-        return list(chain.from_iterable(known))
+        return self.encode_all([text])[0]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -201,8 +218,9 @@ def encoded(docs: DataFrame, path: str, pattern: str, column: str = "text", dige
 
     def rows(batches):
         own = kept(f"codec {path} {pattern}", lambda: Codec(ranks.value, pattern))
+        gc.disable()  # what is remembered holds no cycles, and walking it again and again takes a tenth of the time
         for batch in pieces(batches, PIECE_BYTES, column):
-            ids = [own.encode(t or "") for t in batch.column(column).to_pylist()]
+            ids = own.encode_all([t or "" for t in batch.column(column).to_pylist()])
             decoded = [own.decode(x) for x in ids]
             if digests:
                 sums = [hashlib.sha256(",".join(map(own.text_of.__getitem__, x)).encode()).hexdigest() for x in ids]
