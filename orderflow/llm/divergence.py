@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orderflow.llm.base import LOWER, UPPER, buckets_for, packed, pieces, slice_hashes, staged, table
+from orderflow.llm.base import LOWER, UPPER, buckets_for, give_back, packed, pieces, slice_hashes, staged, table, unpacked
 
 #: Fixed value: a term.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
@@ -30,16 +30,16 @@ UNIT = 1_000_000_000
 #: Bytes to bytes of terms: letters folded, all other ASCII a space.
 _TERM_BYTES = np.array([c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c > 127 else 32 for c in range(256)], dtype=np.uint8)
 #: Distinct chunks that a task gathers before it sends them on.
-_HELD = 1 << 19
+_HELD = 1 << 18
 _PIECE_BYTES = 4 << 20
 #: Bytes of text whose chunks a bucket gets, on average.
-_BUCKET_BYTES = 12 << 20
+_BUCKET_BYTES = 8 << 20
 #: Rows of (source, term) that one task compares, on average.
 _BLOCK_ROWS = 1 << 18
 
-_FOLDED = "lang string, source string, bucket int, lengths binary, parts binary, n binary, documents binary, low binary, gap binary"
-_FOLDED_ARROW = pa.schema([("lang", pa.string()), ("source", pa.string()), ("bucket", pa.int32()),
-                           *[(c, pa.binary()) for c in ("lengths", "parts", "n", "documents", "low", "gap")]])
+_PACKED = ("groups", "lengths", "parts", "n", "documents", "low", "gap")
+_FOLDED = "bucket int, langs array<string>, sources array<string>, " + ", ".join(f"{c} binary" for c in _PACKED)
+_FOLDED_ARROW = pa.schema([("bucket", pa.int32()), ("langs", pa.list_(pa.string())), ("sources", pa.list_(pa.string())), *[(c, pa.binary()) for c in _PACKED]])
 _KEPT = "lang string, source string, term string, count long, lang_count long, lead boolean"
 
 
@@ -89,34 +89,38 @@ class Counts:
         return self.groups, self.group, self.parts.take(pa.array(self.part)), self.n, self.documents, self.low, self.high
 
     def packed(self, buckets: int) -> pa.RecordBatch:
-        """A row per group and bucket of parts, with the counts packed."""
+        """A row per bucket of parts, with its counts packed and the groups that they are of."""
         bucket = _buckets_of(self.parts, buckets)[self.part] if len(self.key) else np.zeros(0, np.int64)
-        order = np.lexsort((bucket, self.group))
-        owner = (self.group * buckets + bucket)[order]
+        order = np.lexsort((self.group, bucket))
+        owner, group = bucket[order], self.group[order]
         first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else np.zeros(0, np.int64)
         last = np.append(first[1:], len(owner))[:len(first)]
         data, bounds = _bytes_of(self.parts.take(pa.array(self.part[order])))
         lengths, text = np.diff(bounds).astype(np.uint32), data.tobytes()
         n, documents, low, gap = self.n[order], self.documents[order], self.low[order], (self.high - self.low)[order]
         cut = lambda values: pa.array([packed(values[a:b]) for a, b in zip(first, last, strict=True)], pa.binary())
+        langs, sources, codes = [], [], np.zeros(len(owner), np.uint32)
+        for a, b in zip(first, last, strict=True):
+            own, codes[a:b] = np.unique(group[a:b], return_inverse=True)
+            langs.append([self.groups[g][0] for g in own.tolist()])
+            sources.append([self.groups[g][1] for g in own.tolist()])
         places = list(zip(bounds[first].tolist(), bounds[last].tolist(), strict=True))
-        names = [self.groups[g] for g in (owner[first] // buckets).tolist()]
         return pa.RecordBatch.from_arrays(
-            [pa.array([g[0] for g in names], pa.string()), pa.array([g[1] for g in names], pa.string()), pa.array(owner[first] % buckets, pa.int32()),
+            [pa.array(owner[first], pa.int32()), pa.array(langs, pa.list_(pa.string())), pa.array(sources, pa.list_(pa.string())), cut(codes),
              cut(lengths), pa.array([text[a:b] for a, b in places], pa.binary()), cut(n), cut(documents), cut(low), cut(gap)], schema=_FOLDED_ARROW)
 
     @classmethod
     def unpacked(cls, t: pa.Table) -> Counts:
         """The counts of packed rows, added up."""
         numbers: dict[tuple[str, str], int] = {}
-        group = np.array([numbers.setdefault(g, len(numbers)) for g in zip(t.column("lang").to_pylist(), t.column("source").to_pylist(), strict=True)], dtype=np.int64)
+        owners = [np.array([numbers.setdefault(g, len(numbers)) for g in zip(langs, sources, strict=True)], dtype=np.int64)[unpacked(codes, np.uint32)]
+                  for langs, sources, codes in zip(t.column("langs").to_pylist(), t.column("sources").to_pylist(), t.column("groups"), strict=True)]
         flat = lambda c, kind: np.frombuffer(b"".join(t.column(c).to_pylist()), dtype=kind)
         lengths = flat("lengths", np.uint32)
         bounds = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
         texts = pa.Array.from_buffers(pa.large_string(), len(lengths), [None, pa.py_buffer(bounds), pa.py_buffer(flat("parts", np.uint8))])
-        owner = np.repeat(group, np.array(pc.binary_length(t.column("lengths")), dtype=np.int64) // 4)
         low = flat("low", np.int64)
-        return cls.joined([(list(numbers), owner, texts, flat("n", np.int64), flat("documents", np.uint8), low, low + flat("gap", np.int64))])
+        return cls.joined([(list(numbers), np.concatenate(owners), texts, flat("n", np.int64), flat("documents", np.uint8), low, low + flat("gap", np.int64))])
 
 
 def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -198,7 +202,9 @@ def _chunk_bucket(buckets: int):
         at = np.arange(len(rows)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + starts[part[rows]]
         joined = Counts(found.groups, coded.dictionary, found.group[rows] * size + pair[at] % size, found.n[rows] * times[at],
                         found.documents[rows], found.low[rows], found.high[rows])
-        return pa.Table.from_batches([joined.packed(buckets)])
+        rows = pa.Table.from_batches([joined.packed(buckets)])
+        give_back()
+        return rows
 
     return terms
 
