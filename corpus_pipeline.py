@@ -6,6 +6,8 @@ writes as Parquet and reads again as the next one's ``docs``. All but the last r
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,36 +21,60 @@ LEAST_SCORE = 0.2
 ORACLE_SQL = None
 
 
+#: The columns that stages work on. Any others ride along as one struct, whatever their names.
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+_OTHERS = "_other_columns"
+
+
+def aside(docs: DataFrame, work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What ``work`` makes of ``docs``, with columns other than ``COLUMNS`` out of its sight and back in their place after it."""
+    others = [c for c in docs.columns if c not in COLUMNS]
+    plain = [F.col(c) for c in docs.columns if c in COLUMNS]
+    quoted = lambda c: "`" + c.replace("`", "``") + "`"
+    if not others:
+        return work(docs).select(docs.columns)
+    made = work(docs.select(*plain, F.struct(*[F.col(quoted(c)) for c in others]).alias(_OTHERS)))
+    return made.select([F.col(_OTHERS)[c].alias(c) if c in others else F.col(c) for c in docs.columns])
+
+
 def identify(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Rejects documents without a language: null text, no letter, or a score under ``LEAST_SCORE``.
 
     The classifiers learn from the labelled documents of this stage's input. The label stays as it was.
     """
     model = language.fit(docs, order=F.col("doc_id"))
-    told = language.predict(docs, model)
-    return told.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(docs.columns)
+    known = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
+    return aside(docs, lambda rows: language.predict(rows, model).where(known))
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Keeps, of each group of near duplicates, the document with the smallest id, null last (the first row, if ids repeat)."""
-    rows = ngram_join.numbered(docs)
-    found = ngram_join.groups(rows)
-    first = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
-    return rows.join(first.select("first.row"), "row", "left_semi").select(docs.columns)
+    def firsts(given: DataFrame) -> DataFrame:
+        rows = staged(ngram_join.numbered(given), "numbered")  # stored, so that a row keeps its number in every scan
+        found = ngram_join.groups(rows.select("row", "doc_id", "text"))
+        first = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
+        return rows.join(first.select("first.row"), "row", "left_semi")
+
+    return aside(docs, firsts)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Cuts passages that a document with a smaller id holds too; every document stays."""
-    cut = substrings.without_repeats(docs)
-    columns = [F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text")).alias("text") if c == "text"
-               else F.when(F.col("n_removed") > 0, F.length("kept_text")).otherwise(F.col(c)).cast(dict(docs.dtypes)[c]).alias(c) if c == "n_chars"
-               else F.col(c) for c in docs.columns]
-    return cut.select(columns)
+    kinds, removed = dict(docs.dtypes), F.col("n_removed") > 0
+
+    def without(rows: DataFrame) -> DataFrame:
+        cut = substrings.without_repeats(rows)
+        new = {"text": F.when(removed, F.col("kept_text")).otherwise(F.col("text"))}
+        if "n_chars" in kinds:
+            new["n_chars"] = F.when(removed, F.length("kept_text")).otherwise(F.col("n_chars")).cast(kinds["n_chars"])
+        return cut.select([new[c].alias(c) if c in new else F.col(c) for c in rows.columns])
+
+    return aside(docs, without)
 
 
 def mix(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Repeats or leaves out documents so that sources come near their target weights."""
-    return mixing.mixed(docs, F.col("doc_id"))
+    return aside(docs, lambda rows: mixing.mixed(rows, F.col("doc_id")))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
