@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from itertools import combinations
 
 import numpy as np
@@ -112,8 +113,9 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", order: Column |
     """A model from the labelled rows of ``docs``, or None if there are none.
 
     At most ``SAMPLE`` documents are used, an equal number of each language, those with the lowest hash of ``order``
-    (by default the text). Features of whole texts are made on the executors; only they reach the driver, at most
-    ``SAMPLE`` * ``FEATURES`` * 4 bytes. Rows with a null or letterless text or a null label are not used.
+    (by default the text). Features of whole texts are made where the texts are; one task fits all lines to them, at
+    most ``SAMPLE`` * ``FEATURES`` * 4 bytes, and only the lines reach the driver. Rows with a null or letterless text
+    or a null label are not used.
     """
     rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang"),
                        F.xxhash64(order if order is not None else text).alias("order"))
@@ -131,17 +133,18 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", order: Column |
             x = features(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array([r.tobytes() for r in x], pa.binary())], names=["lang", "x"])
 
-    found = chosen.where(F.col("n") <= each).select("text", "lang").mapInArrow(made, "lang string, x binary").collect()
-    found = sorted((r["lang"], r["x"]) for r in found if any(r["x"]))
-    if not found:
-        return None
-    x = np.frombuffer(b"".join(x for _, x in found), dtype=np.float32).reshape(-1, FEATURES)
-    labels = np.array([lang for lang, _ in found], dtype=object)
-    del found
-    model = Model(x, labels)
-    del x
-    give_back()
-    return model
+    def fitted(t: pa.Table) -> pa.Table:
+        found = sorted((r["lang"], r["x"]) for r in t.to_pylist() if any(r["x"]))
+        model = None
+        if found:
+            x = np.frombuffer(b"".join(x for _, x in found), dtype=np.float32).reshape(-1, FEATURES)
+            model = pickle.dumps(vars(Model(x, np.array([lang for lang, _ in found], dtype=object))))
+        give_back()
+        return pa.table({"model": pa.array([model], pa.binary())})
+
+    sample = chosen.where(F.col("n") <= each).select("text", "lang").mapInArrow(made, "lang string, x binary")
+    lines = sample.groupBy(F.lit(0).alias("one")).applyInArrow(fitted, "model binary").collect()
+    return Model.of(pickle.loads(lines[0]["model"])) if lines and lines[0]["model"] else None
 
 
 def predict(docs: DataFrame, model: Model | None, column: str = "text") -> DataFrame:

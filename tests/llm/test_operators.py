@@ -293,3 +293,36 @@ def test_pipeline(spark, data):
     groups = ngram_join.groups(ngram_join.numbered(told))
     assert {r.doc_id for r in kept.select("doc_id").collect()} == {r.component_id for r in groups.collect()}
     assert corpus_pipeline.run(spark, data).where("not round_trip").count() == 0
+
+
+def test_pipeline_carries_columns_of_any_name(spark, data):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    odd = ["row", "bucket", "score", "lang_pred", "mix_size", "mix_copies", "ids", "n_removed", "kept_text", "set", "a.b", "_other_columns"]
+    more = docs.select("doc_id", *[F.col("doc_id").alias(c) for c in odd], *docs.columns[1:])
+    stages = corpus_pipeline.STAGES[:-1]
+    for name, stage in stages:
+        plain = stage(spark, docs, data)
+        own = stage(spark, more, data)
+        assert own.columns == more.columns, name
+        quoted = [f"`{c}`" for c in odd]
+        assert own.where(" or ".join(f"{c} <> doc_id" for c in quoted)).count() == 0, name
+        assert Counter(map(tuple, own.select(docs.columns).collect())) == Counter(map(tuple, plain.collect())), name
+
+
+def test_a_fit_is_made_of_the_sample_alone(spark, docs):
+    model = language.fit(docs)
+    rows = [r for r in docs.collect() if r.text is not None and r.lang is not None]
+    x, labels = language.features([r.text for r in rows]), np.array([r.lang for r in rows], dtype=object)
+    used = sorted((lang, v.tobytes()) for lang, v in zip(labels, x) if v.any())
+    other = language.Model(np.frombuffer(b"".join(v for _, v in used), dtype=np.float32).reshape(-1, language.FEATURES),
+                           np.array([lang for lang, _ in used], dtype=object))
+    assert model.languages == other.languages and np.allclose(model.by_family, other.by_family)
+    told = language.predict(docs, model).collect()
+    want, scores = other.predict(language.features([r.text for r in told]))
+    for r, lang, score in zip(told, want, scores, strict=True):
+        if r.text and any(map(str.isalpha, r.text)):
+            assert (r.lang_pred, r.score) == (lang, pytest.approx(score))
+        else:
+            assert (r.lang_pred, r.score) == ("und", 0.0)
