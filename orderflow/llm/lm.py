@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm.base import (Words, bucketed, buckets_for, extended, mix, packed, pieces, segments_of, split_sorted,
+from orderflow.llm.base import (Words, bucketed, buckets_for, extended, give_back, mix, packed, pieces, segments_of, split_sorted,
                                 staged, table, unpacked)
 from orderflow.llm.exchange import found_at
 from orderflow.llm.language import remainder
@@ -25,9 +25,9 @@ MOST_WORDS = 1 << 24
 #: Weight of the longest order in the interpolation; each shorter one takes the same share of the rest.
 WEIGHT = 0.6
 #: Training text per segment of the counting shuffle, and scored text per bucket that sends its n-grams to segments.
-SEGMENT_BYTES, BUCKET_BYTES = 16 << 20, 8 << 20
-#: N-grams that a segment looks up at a time.
-PROBED = 1 << 20
+SEGMENT_BYTES, BUCKET_BYTES = 16 << 20, 4 << 20
+#: N-grams that a segment looks up at a time, and buckets whose requests it unpacks at a time.
+PROBED, ASKING = 1 << 20, 16
 #: Fixed fingerprint of the end of a text.
 END = np.uint64(0x5851F42D4C957F2D)
 
@@ -295,6 +295,7 @@ class Model:
         def asked(t: pa.Table) -> pa.Table:
             words, grams = (dict(split_sorted(k, segments)) | {-1: k} for k in keys_of(Words(t.column("text"), fold=True)))
             at, none = sorted((words.keys() | grams.keys()) - {-1}), slice(0, 0)
+            give_back()
             return pa.table({"segment": pa.array(at, pa.int32()), "bucket": pa.array([t.column("bucket")[0].as_py()] * len(at), pa.int32()),
                              "words": pa.array([squeezed(words[-1][words.get(s, none)]) for s in at], pa.binary()),
                              "grams": pa.array([squeezed(grams[-1][grams.get(s, none)]) for s in at], pa.binary())})
@@ -304,12 +305,17 @@ class Model:
             own = Filter(bits, segments)
             own.segments, own.data = 1, unpacked(held["bits"], np.uint8) if held["bits"] else np.zeros(own.part // 8, dtype=np.uint8)
             known_words, counts = unpacked(held["words"], np.uint64), unpacked(held["counts"], np.int64)
-            asked_words = [spread(v) for v in left.column("words")]
-            levels, longer = _probed(own, asked_words), _probed(own, [spread(v) for v in left.column("grams")])
-            exact = [_told(keys, known_words, counts) for keys in asked_words]
-            return pa.table({"bucket": left.column("bucket"), "part": left.column("segment"), "levels": pa.array([packed(v) for v in levels], pa.binary()),
-                             "longer": pa.array([packed(v) for v in longer], pa.binary()),
-                             "exact": pa.array([packed(v.astype(np.int64)) for v in exact], pa.binary())})
+            levels, longer, exact = [], [], []
+            for start in range(0, left.num_rows, ASKING):  # only some buckets' n-grams are unpacked at a time
+                part = left.slice(start, ASKING)
+                words = [spread(v) for v in part.column("words")]
+                levels += [packed(v) for v in _probed(own, words)]
+                exact += [packed(_told(keys, known_words, counts).astype(np.int64)) for keys in words]
+                longer += [packed(v) for v in _probed(own, [spread(v) for v in part.column("grams")])]
+            rows = pa.table({"bucket": left.column("bucket"), "part": left.column("segment"), "levels": pa.array(levels, pa.binary()),
+                             "longer": pa.array(longer, pa.binary()), "exact": pa.array(exact, pa.binary())})
+            give_back()
+            return rows
 
         def scored(left: pa.Table, right: pa.Table) -> pa.Table:
             right = right.sort_by("part")
