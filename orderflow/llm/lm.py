@@ -9,8 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm.base import (Words, bucketed, buckets_for, extended, give_back, mix, packed, pieces, segments_of, split_sorted,
-                                staged, table, unpacked)
+from orderflow.llm.base import (Words, bucketed, buckets_for, extended, give_back, mix, packed, pieces, segments_of, shuffles_dropped,
+                                split_sorted, staged, table, unpacked)
 from orderflow.llm.exchange import found_at
 from orderflow.llm.language import remainder
 
@@ -25,9 +25,11 @@ MOST_WORDS = 1 << 24
 #: Weight of the longest order in the interpolation; each shorter one takes the same share of the rest.
 WEIGHT = 0.6
 #: Training text per segment of the counting shuffle, and scored text per bucket that sends its n-grams to segments.
-SEGMENT_BYTES, BUCKET_BYTES = 16 << 20, 4 << 20
+SEGMENT_BYTES, BUCKET_BYTES = 8 << 20, 4 << 20
 #: N-grams that a segment looks up at a time, and buckets whose requests it unpacks at a time.
 PROBED, ASKING = 1 << 20, 16
+#: Bytes of the fingerprint of an n-gram of two tokens or more. Two that agree only add to the filter's false hits.
+LONG = 6
 #: Fixed fingerprint of the end of a text.
 END = np.uint64(0x5851F42D4C957F2D)
 
@@ -35,7 +37,7 @@ END = np.uint64(0x5851F42D4C957F2D)
 def ngrams(words: Words, order: int) -> list[np.ndarray]:
     """Fingerprints of the runs of 1 to ``order`` tokens that end at each token, a text's words and one end each.
 
-    At a text's start, where a run would begin before it, the entry is 0.
+    At a text's start, where a run would begin before it, the entry is 0. Of runs of two or more, the upper ``LONG`` bytes are used.
     """
     n = np.diff(words.begin)
     ends = np.cumsum(n + 1) - 1
@@ -49,7 +51,7 @@ def ngrams(words: Words, order: int) -> list[np.ndarray]:
         run = mix(np.roll(result[-1], 1) * np.uint64(0x9E3779B97F4A7C15) + tokens)
         run[place < k] = 0
         result.append(run)
-    return result
+    return [tokens, *[run & ~np.uint64((1 << 64 - 8 * LONG) - 1) for run in result[1:]]]
 
 
 def level_of(counts: np.ndarray) -> np.ndarray:
@@ -96,13 +98,18 @@ class Filter:
         return result
 
 
-def squeezed(keys: np.ndarray) -> bytes:
-    """Keys as differences, byte by byte: where they ascend, the upper bytes are zeros that a shuffle's codec takes out."""
-    return np.ascontiguousarray(np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T).tobytes()
+def squeezed(keys: np.ndarray, width: int = 8) -> bytes:
+    """The upper ``width`` bytes of ascending keys as differences, byte by byte: their uppermost bytes are zeros that a shuffle's codec takes out."""
+    steps = np.diff(keys, prepend=np.uint64(0)) >> np.uint64(64 - 8 * width)
+    return np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
 
 
-def spread(value) -> np.ndarray:
-    return np.cumsum(np.ascontiguousarray(unpacked(value, np.uint8).reshape(8, -1).T).view(np.uint64).reshape(-1), dtype=np.uint64)
+def spread(value, width: int = 8) -> np.ndarray:
+    """The keys that ``squeezed`` packed."""
+    stored = unpacked(value, np.uint8).reshape(width, -1)
+    steps = np.zeros((stored.shape[1], 8), dtype=np.uint8)
+    steps[:, :width] = stored.T
+    return np.cumsum(steps.view(np.uint64).reshape(-1), dtype=np.uint64) << np.uint64(64 - 8 * width)
 
 
 _SCORED = "n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -126,7 +133,7 @@ def _counts(texts: DataFrame, order: int, segments: int) -> DataFrame:
                 long = tuple(np.concatenate([m[i] for m in more]) if more else none[i] for i in (0, 1))
                 yield pa.RecordBatch.from_pydict({
                     "segment": pa.array([segment], pa.int32()), "words": [packed(one[0])],
-                    "n": [packed(one[1].astype(np.uint32))], "grams": [squeezed(long[0])],
+                    "n": [packed(one[1].astype(np.uint32))], "grams": [squeezed(long[0], LONG)],
                     "m": [packed(np.minimum(long[1], 255).astype(np.uint8))],
                     "over": [packed(np.concatenate([np.flatnonzero(long[1] > 255), long[1][long[1] > 255]]).astype(np.int64))]})
 
@@ -149,7 +156,7 @@ def _merged(bits: int, segments: int):
         for row in t.to_pylist():
             words.append(unpacked(row["words"], np.uint64))
             n.append(unpacked(row["n"], np.uint32))
-            grams.append(spread(row["grams"]))
+            grams.append(spread(row["grams"], LONG))
             count = unpacked(row["m"], np.uint8).astype(np.int64)
             over = unpacked(row["over"], np.int64).reshape(2, -1)
             count[over[0]] = over[1]
@@ -164,6 +171,7 @@ def _merged(bits: int, segments: int):
                     np.bitwise_or.at(own.data, place >> 3, np.uint8(1) << (place & 7).astype(np.uint8))
                 level += 1
                 keys, levels = keys[levels >= level], levels[levels >= level]
+        give_back()
         return pa.table({"segment": t.column("segment").slice(0, 1), "tokens": pa.array([int(n.sum())]), "known": pa.array([len(words)]),
                          "words": pa.array([packed(words)]), "counts": pa.array([packed(n)]), "bits": pa.array([packed(own.data)])})
 
@@ -187,23 +195,26 @@ def _probed(own: Filter, keys: list[np.ndarray]) -> list[np.ndarray]:
     return result
 
 
-def _scores(words: Words, order: int, total: int, known: int, levels, counts) -> list[pa.Array]:
-    """The columns of _SCORED; ``levels`` tells those of distinct n-grams, ``counts`` the exact counts of distinct words."""
+def _distinct(runs: list[np.ndarray]) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    """Distinct words, ascending, and the place of each token among them; likewise the distinct n-grams of all longer orders."""
+    return (np.unique(runs[0], return_inverse=True),
+            np.unique(np.concatenate([np.zeros(0, np.uint64), *runs[1:]]), return_inverse=True))
+
+
+def _scores(words: Words, order: int, total: int, known: int, levels, longer_levels, counts) -> list[pa.Array]:
+    """The columns of _SCORED; ``levels`` and ``counts`` tell quantised and exact counts of distinct words, ``longer_levels`` those of distinct n-grams."""
     base = math.log10(total + 0.5 * (known + 1))
     runs = ngrams(words, order)
     tokens = runs[0]
     first = np.concatenate([[0], np.cumsum(np.diff(words.begin) + 1)[:-1]]).astype(np.int64)
     sums = lambda values: np.add.reduceat(values, first) if len(words) else values
-    distinct, inverse = np.unique(tokens, return_inverse=True)
+    (distinct, inverse), (grams, back) = _distinct(runs)
     c = counts(distinct)
     single = count_of(levels(distinct))[inverse]
     low = (single + 0.5) / (total + 0.5 * (known + 1))
     mixed = np.zeros(len(tokens))
     rest = np.ones(len(tokens))
-    found = [single]
-    for k in range(1, order):
-        grams, back = np.unique(runs[k], return_inverse=True)
-        found.append(count_of(levels(grams))[back])
+    found = [single, *count_of(longer_levels(grams))[back].reshape(order - 1, len(tokens))]
     for k in range(order - 1, 0, -1):
         under = np.roll(found[k - 1], 1)
         usable = (runs[k] != 0) & (under > 0)
@@ -225,8 +236,9 @@ class Model:
         held = int(size["s"] or 0) + int(size["n"])
         self.segments = buckets_for(held, SEGMENT_BYTES, 16)
         self.bits = max(1 << 16, held // 6 * BITS_PER_TOKEN * max(1, order - 1))
-        self.table = staged(_counts(texts, order, self.segments).groupBy("segment")
-                            .applyInArrow(_merged(self.bits, self.segments), _COUNTED), "ngrams")
+        with shuffles_dropped(self.spark):
+            self.table = staged(_counts(texts, order, self.segments).groupBy("segment")
+                                .applyInArrow(_merged(self.bits, self.segments), _COUNTED), "ngrams")
         total = self.table.agg(F.sum("tokens").alias("t"), F.sum("known").alias("k")).first()
         self.tokens, self.known = int(total["t"] or 0), int(total["k"] or 0)
         self.small = self.bits <= most_bits and self.known <= most_words
@@ -271,7 +283,7 @@ class Model:
             own = Filter(bits, segments, filtered.value)
             words, counts = exact.value
             for batch in pieces(batches, 2 << 20, column):
-                made = _scores(Words(batch.column(column), fold=True), order, total, known, own.levels,
+                made = _scores(Words(batch.column(column), fold=True), order, total, known, own.levels, own.levels,
                                lambda keys: _told(keys, words, counts))
                 yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in carried], *made], names=names)
 
@@ -285,7 +297,8 @@ class Model:
         buckets = buckets_for(int(size["s"] or 0) + int(size["n"]), BUCKET_BYTES)
         columns = [f"c{i}" for i in range(len(carried))]
         given = docs.select(F.col(column).alias("text"), *[F.col(c).alias(n) for c, n in zip(carried, columns, strict=True)])
-        texts, drop = bucketed(given, buckets, "scored")
+        with shuffles_dropped(self.spark):
+            texts, drop = bucketed(given, buckets, "scored")
 
         def keys_of(words: Words) -> tuple[np.ndarray, np.ndarray]:
             runs = ngrams(words, order)
@@ -298,7 +311,7 @@ class Model:
             give_back()
             return pa.table({"segment": pa.array(at, pa.int32()), "bucket": pa.array([t.column("bucket")[0].as_py()] * len(at), pa.int32()),
                              "words": pa.array([squeezed(words[-1][words.get(s, none)]) for s in at], pa.binary()),
-                             "grams": pa.array([squeezed(grams[-1][grams.get(s, none)]) for s in at], pa.binary())})
+                             "grams": pa.array([squeezed(grams[-1][grams.get(s, none)], LONG) for s in at], pa.binary())})
 
         def told(left: pa.Table, right: pa.Table) -> pa.Table:
             held = right.to_pylist()[0] if right.num_rows else {"words": b"", "counts": b"", "bits": b""}
@@ -311,7 +324,7 @@ class Model:
                 words = [spread(v) for v in part.column("words")]
                 levels += [packed(v) for v in _probed(own, words)]
                 exact += [packed(_told(keys, known_words, counts).astype(np.int64)) for keys in words]
-                longer += [packed(v) for v in _probed(own, [spread(v) for v in part.column("grams")])]
+                longer += [packed(v) for v in _probed(own, [spread(v, LONG) for v in part.column("grams")])]
             rows = pa.table({"bucket": left.column("bucket"), "part": left.column("segment"), "levels": pa.array(levels, pa.binary()),
                              "longer": pa.array(longer, pa.binary()), "exact": pa.array(exact, pa.binary())})
             give_back()
@@ -321,22 +334,22 @@ class Model:
             right = right.sort_by("part")
             answer = {n: np.concatenate([np.zeros(0, k), *[unpacked(v, k) for v in right.column(n)]])
                       for n, k in (("levels", np.uint8), ("longer", np.uint8), ("exact", np.int64))}
-            single, longer = keys_of(Words(left.column("text"), fold=True))
-            every, place = np.unique(np.concatenate([single, longer]), return_index=True)
-            level = np.concatenate([answer["levels"], answer["longer"]])[place].astype(np.int64)
-            made = []
-            for batch in pieces(left.to_batches(), 2 << 20):
-                values = _scores(Words(batch.column("text"), fold=True), order, total, known, lambda keys: _told(keys, every, level),
-                                 lambda keys: _told(keys, single, answer["exact"]))
-                made.append(pa.RecordBatch.from_arrays([*[batch.column(n) for n in columns], *values], names=names))
-            return pa.Table.from_batches(made)
+            given = left.combine_chunks()
+            # answers come in the order of the keys; only n-grams before a text's start, the key 0, were not asked for
+            values = _scores(Words(given.column("text"), fold=True), order, total, known, lambda keys: answer["levels"].astype(np.int64),
+                             lambda keys: np.concatenate([np.zeros(len(keys) - len(answer["longer"]), np.int64), answer["longer"]]),
+                             lambda keys: answer["exact"])
+            rows = pa.Table.from_arrays([*[given.column(n) for n in columns], *values], names=names)
+            give_back()
+            return rows
 
         names = [*columns, *[f.split()[0] for f in _SCORED.split(", ")]]
         requests = texts.select("bucket", "text").groupBy("bucket").applyInArrow(asked, "segment int, bucket int, words binary, grams binary")
-        answers = staged(requests.groupBy("segment").cogroup(self.table.select("segment", "words", "counts", "bits").groupBy("segment"))
-                         .applyInArrow(told, "bucket int, part int, levels binary, longer binary, exact binary"), "levels")
-        found = staged(texts.groupBy("bucket").cogroup(answers.groupBy("bucket"))
-                       .applyInArrow(scored, extended(texts.select(columns).schema, _SCORED)), "scores")
+        with shuffles_dropped(self.spark):
+            answers = staged(requests.groupBy("segment").cogroup(self.table.select("segment", "words", "counts", "bits").groupBy("segment"))
+                             .applyInArrow(told, "bucket int, part int, levels binary, longer binary, exact binary"), "levels")
+            found = staged(texts.groupBy("bucket").cogroup(answers.groupBy("bucket"))
+                           .applyInArrow(scored, extended(texts.select(columns).schema, _SCORED)), "scores")
         drop()
         return found.toDF(*carried, *[f.split()[0] for f in _SCORED.split(", ")])
 
