@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,8 @@ WEIGHT = 0.6
 SEGMENT_BYTES, BUCKET_BYTES = 8 << 20, 4 << 20
 #: N-grams that a segment looks up at a time, and buckets whose requests it unpacks at a time.
 PROBED, ASKING = 1 << 20, 16
+#: Parts of the buckets that ask one after another, so that the requests of one part only are on disk.
+WAVES = 2
 #: Bytes of the fingerprint of an n-gram of two tokens or more. Two that agree only add to the filter's false hits.
 LONG = 6
 #: Fixed fingerprint of the end of a text.
@@ -344,10 +347,16 @@ class Model:
             return rows
 
         names = [*columns, *[f.split()[0] for f in _SCORED.split(", ")]]
-        requests = texts.select("bucket", "text").groupBy("bucket").applyInArrow(asked, "segment int, bucket int, words binary, grams binary")
+        held = self.table.select("segment", "words", "counts", "bits").groupBy("segment")
+
+        def wave(k: int) -> DataFrame:
+            own = (F.col("bucket") >= buckets * k // WAVES) & (F.col("bucket") < buckets * (k + 1) // WAVES)
+            requests = texts.select("bucket", "text").where(own).groupBy("bucket").applyInArrow(asked, "segment int, bucket int, words binary, grams binary")
+            return staged(requests.groupBy("segment").cogroup(held)
+                          .applyInArrow(told, "bucket int, part int, levels binary, longer binary, exact binary"), "levels")
+
         with shuffles_dropped(self.spark):
-            answers = staged(requests.groupBy("segment").cogroup(self.table.select("segment", "words", "counts", "bits").groupBy("segment"))
-                             .applyInArrow(told, "bucket int, part int, levels binary, longer binary, exact binary"), "levels")
+            answers = reduce(DataFrame.unionAll, [wave(k) for k in range(WAVES)])
             found = staged(texts.groupBy("bucket").cogroup(answers.groupBy("bucket"))
                            .applyInArrow(scored, extended(texts.select(columns).schema, _SCORED)), "scores")
         drop()

@@ -193,6 +193,8 @@ def test_words_in_every_text_go_through_the_segments(spark, data, monkeypatch):
     assert rows.count() == docs.count() and rows.where("n_known < 1 or score >= 0").count() == 0  # the end is known in all
     keys = np.unique(np.random.default_rng(3).integers(0, 1 << 63, 1000).astype(np.uint64))
     assert (lm.spread(lm.squeezed(keys)) == keys).all() and not len(lm.spread(lm.squeezed(keys[:0])))
+    short = np.unique(keys & ~np.uint64(0xFFFF))
+    assert (lm.spread(lm.squeezed(short, lm.LONG), lm.LONG) == short).all() and len(lm.squeezed(short, lm.LONG)) == lm.LONG * len(short)
 
 
 def test_filter_keeps_quantised_counts():
