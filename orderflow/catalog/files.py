@@ -22,7 +22,8 @@ select h.OrderId, h.StoreCode, h.TotalOrderValue, h.PosTerminalNo, h.OrderSource
 from raw_orders h left join all_items a using (o_orderkey)""")
 def xml_roundtrip(x: Inputs) -> DataFrame:
     path = new_folder(x.spark, "orders-xml")
-    x.orders.write.format("xml").option("rowTag", C.ORDER_ROW_TAG).option("rootTag", "Orders").save(path)
+    (x.orders.write.format("xml").option("rowTag", C.ORDER_ROW_TAG).option("rootTag", "Orders")
+     .option("compression", "gzip").option("maxRecordsPerFile", 100_000).save(path))
     rows = readers.read_orders(x.spark, path)
     flat = rows.select("OrderId", "StoreCode", "TotalOrderValue", "PosTerminalNo", "OrderSource",
                        F.posexplode_outer("ItemDetails.Items").alias("at", "item"))
