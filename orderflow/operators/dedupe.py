@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from orderflow.operators.shape import column
-from orderflow.operators.skew import lookup_join
+from orderflow.operators.skew import RARE, by_repeats, lookup_join
 
 _RANK, _FOUND, _DIGEST = "_rank", "_found", ["_digest_a", "_digest_b"]
 
@@ -46,6 +46,15 @@ def dedupe_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ())
     return ranked.filter(F.col(_RANK) == 1).drop(_RANK, *_DIGEST)
 
 
+def dedupe_rare(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = (), rare: int = RARE,
+                repeated: DataFrame | None = None) -> DataFrame:
+    """``dedupe_by`` for wide rows whose keys seldom repeat: only rows of repeated keys are hashed, sorted and shuffled.
+
+    ``repeated`` may give the ``repeated_keys`` of ``df``, where they are known.
+    """
+    return by_repeats(df, keys, lambda rows: rows, lambda rows: dedupe_by(rows, keys, order), rare, repeated)
+
+
 def key_ledger(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per key: ``row_count``, and ``conflicting`` if its rows differ (else they are copies).
 

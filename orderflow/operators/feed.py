@@ -6,12 +6,12 @@ from collections.abc import Sequence
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from orderflow.contract import FEED_DATE, FEED_EMAIL, FEED_WINDOW_DAYS
 from orderflow.functions.codes import web_order_number
 from orderflow.functions.dates import FLOW_FORMAT, SLASHED, any_date, flow_date, slashed
-from orderflow.operators.dedupe import dedupe_by
+from orderflow.operators.dedupe import dedupe_rare, row_digest
 from orderflow.operators.shape import column
 from orderflow.operators.skew import lookup_join
 
@@ -19,6 +19,10 @@ MATCH = "match_class"
 SAME_DAY, OTHER_DAY = "same_day", "other_day"
 
 _SERVED, _STORE, _NUMBER, _DAY, _LOOKED = "_served", "_store", "_number", "_order_day", "_looked"
+_ASKED_STORE, _ASKED_NUMBER, _ASKED_BLOCK = "_asked_store", "_asked_number", "_asked_block"
+_FIRST, _LAST, _BLOCK, _RANK = "_first_day", "_last_day", "_block", "_rank"
+_DIGESTS = {m: (f"_{m}_a", f"_{m}_b") for m in (SAME_DAY, OTHER_DAY)}
+_SPAN = 64  # days that one piece of the join by store and number holds
 
 
 def window_days(day: Column, days: int = FEED_WINDOW_DAYS, trailing: bool = True) -> Column:
@@ -54,9 +58,20 @@ def with_web_order_number(orders: DataFrame) -> DataFrame:
     return orders.withColumn("Enriched_WebOrder_No", web_order_number(F.col("WeborderNo")))
 
 
+def _span(day: Column) -> Column:
+    return F.floor(F.unix_date(day) / _SPAN)
+
+
+def asked_keys(orders: DataFrame) -> DataFrame:
+    """The distinct store, number and invoice day of orders with a web order number, with the span of days."""
+    keys = orders.select(F.col("StoreCode").alias(_ASKED_STORE), F.col("Enriched_WebOrder_No").alias(_ASKED_NUMBER),
+                         flow_date(F.col("InvoiceDate")).alias(_SERVED))
+    return keys.dropna().distinct().withColumn(_ASKED_BLOCK, _span(F.col(_SERVED)))
+
+
 def best_feed_rows(orders: DataFrame, feed: DataFrame, days: int = FEED_WINDOW_DAYS,
                    trailing: bool = True) -> DataFrame:
-    """The preferred feed row per (store, order number, invoice day).
+    """The preferred feed row per (store, order number, invoice day) that some order has.
 
     A row of the same day wins, then the nearest order day, the later one, the
     earlier time. Order dates are read in any known spelling and carried on as
@@ -66,9 +81,9 @@ def best_feed_rows(orders: DataFrame, feed: DataFrame, days: int = FEED_WINDOW_D
 
     Only feed days that some order looks at are read: where the feed is a table
     partitioned by ``feed_date``, Spark prunes its scan at run time by the days of the
-    orders. Feed rows are repeated for the invoice days they serve and kept only
-    where orders of such a day exist. Both lists are one row per calendar day,
-    which bounds the broadcasts.
+    orders; that list is one row per calendar day. The rows read meet the distinct keys of
+    the orders once, by store, number and span of ``_SPAN`` days, and are repeated for
+    invoice days only there.
     """
     wanted = invoice_day_list(orders)
     looked = wanted.select(F.explode(window_days(F.col(_SERVED), days, trailing)).alias(_LOOKED)).distinct()
@@ -78,14 +93,26 @@ def best_feed_rows(orders: DataFrame, feed: DataFrame, days: int = FEED_WINDOW_D
     feed = feed.withColumn(_DAY, day).withColumn("Order_Date", F.coalesce(F.date_format(_DAY, FLOW_FORMAT), slashed(given)))
     if "Email" in feed.columns:
         feed = feed.withColumnRenamed("Email", FEED_EMAIL)
-    rows = (feed.filter(F.col("Order_Date").isNotNull() & column("Store Code").isNotNull() & F.col("OrderNo").isNotNull())
-            .withColumn(_SERVED, F.explode(served_days(F.col(FEED_DATE), days, trailing)))
-            .join(F.broadcast(wanted), _SERVED, "left_semi")
+    feed = feed.filter(F.col("Order_Date").isNotNull() & column("Store Code").isNotNull() & F.col("OrderNo").isNotNull())
+    rest = [c for c in feed.columns if c not in ("Store Code", "OrderNo")] + [MATCH]
+    for name in (SAME_DAY, OTHER_DAY):  # taken before the join, so that columns nobody reads need not meet it
+        named = feed.withColumn(MATCH, F.lit(name))
+        feed = named.withColumns(dict(zip(_DIGESTS[name], row_digest(named, rest), strict=True))).drop(MATCH)
+    served = served_days(F.col(FEED_DATE), days, trailing)
+    near = feed.withColumns({_FIRST: F.element_at(served, 1), _LAST: F.element_at(served, -1)}).withColumn(
+        _BLOCK, F.explode(F.sequence(_span(F.col(_FIRST)), _span(F.col(_LAST)))))
+    same = [F.col(_ASKED_STORE) == column("Store Code"), F.col(_ASKED_NUMBER) == F.col("OrderNo"), F.col(_ASKED_BLOCK) == F.col(_BLOCK),
+            F.col(_SERVED).between(F.col(_FIRST), F.col(_LAST))]
+    rows = (near.join(asked_keys(orders), same).drop(_ASKED_STORE, _ASKED_NUMBER, _ASKED_BLOCK, _FIRST, _LAST)
             .withColumn(MATCH, F.when(F.col(_DAY) == F.col(_SERVED), SAME_DAY).otherwise(OTHER_DAY)))
     time = [column("Order Time").asc_nulls_last()] if "Order Time" in feed.columns else []
+    digest = [F.when(F.col(MATCH) == SAME_DAY, F.col(a)).otherwise(F.col(b)) for a, b in zip(*_DIGESTS.values(), strict=True)]
     preference = [(F.col(MATCH) == SAME_DAY).desc(), F.abs(F.datediff(F.col(_DAY), F.col(_SERVED))).asc_nulls_last(),
-                  F.col(_DAY).desc_nulls_last(), *time]
-    return dedupe_by(rows, ["Store Code", "OrderNo", _SERVED], preference).drop(_DAY)
+                  F.col(_DAY).desc_nulls_last(), *time, *digest]
+    # the span follows from the day; named as a key, the rows stay where the join has put them
+    key = Window.partitionBy(column("Store Code"), "OrderNo", _BLOCK, _SERVED).orderBy(*preference)
+    best = rows.withColumn(_RANK, F.row_number().over(key)).filter(F.col(_RANK) == 1)
+    return best.drop(_DAY, _BLOCK, _RANK, *[d for pair in _DIGESTS.values() for d in pair])
 
 
 def match_feed(orders: DataFrame, feed: DataFrame, days: int = FEED_WINDOW_DAYS,
@@ -116,7 +143,7 @@ def split_match(matched: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 def recombine(parts: Sequence[DataFrame], key: str = "Header_Id") -> DataFrame:
     """Union of order sets, missing columns null, one row per key."""
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return dedupe_by(union, [key])
+    return dedupe_rare(union, [key])
 
 
 def invoice_days(orders: DataFrame) -> DataFrame:

@@ -11,11 +11,13 @@ from orderflow.functions.codes import item_base
 from orderflow.functions.dates import short_date_text
 from orderflow.functions.nested import gift_card_amount, has_gift_card, payment_modes, with_parents
 from orderflow.operators.shape import conform
+from orderflow.operators.skew import by_repeats
 
 ITEMS, PAYMENTS = "ItemDetails.Items", "PaymentsDetails.Payments"
 ITEM_COUNT, PAYMENT_COUNT = "Item_Count", "Payment_Count"
 ITEM_START, PAYMENT_START = "Item_Start", "Payment_Start"
 _AT, _ROW = "_at", "_row"
+_PAID = ["Amount", "Date", "Mode", "TenderType"]
 
 
 def with_sizes(orders: DataFrame) -> DataFrame:
@@ -28,13 +30,18 @@ def with_line_starts(orders: DataFrame) -> DataFrame:
     """How many items and payments come before each order under the same receipt.
 
     Lines are numbered per (receipt, store) over all its days. The counts of whole
-    orders are summed, so the sort is over order rows that need not carry their
-    arrays. With one row per order key a receipt has at most one row per day here.
+    orders are summed, and only orders that share a receipt are sorted. With one row
+    per order key a receipt has at most one row per day here.
     """
+    sized = orders if ITEM_COUNT in orders.columns else with_sizes(orders)
+    first = lambda rows: rows.withColumns({s: F.lit(0).cast("bigint") for s in (ITEM_START, PAYMENT_START)})
+    return by_repeats(sized, ["OrderId", "StoreCode"], first, _summed_starts)
+
+
+def _summed_starts(sized: DataFrame) -> DataFrame:
     before = (Window.partitionBy("OrderId", "StoreCode").orderBy("Enriched_Order_Date", "Header_Id")
               .rowsBetween(Window.unboundedPreceding, -1))
     start = lambda count: F.coalesce(F.sum(count).over(before), F.lit(0))
-    sized = orders if ITEM_COUNT in orders.columns else with_sizes(orders)
     return sized.withColumns({ITEM_START: start(ITEM_COUNT), PAYMENT_START: start(PAYMENT_COUNT)})
 
 
@@ -46,43 +53,70 @@ def _ensure(orders: DataFrame, start: str) -> DataFrame:
     return orders if start in orders.columns else with_line_starts(orders)
 
 
+def unfold_items(orders: DataFrame, keep: list[str], outer: bool = False) -> DataFrame:
+    """One row per item, with its place and the pizza it belongs to; fields nobody reads are not carried on."""
+    unfold = F.posexplode_outer if outer else F.posexplode
+    rows = orders.select(*keep, unfold(with_parents(F.col(ITEMS))).alias(_AT, _ROW))
+    fields = [F.col(f"{_ROW}.item.{f.name}").alias(f.name) for f in ITEM_FIELDS.fields]
+    return rows.select(*keep, _AT, *fields, F.col(f"{_ROW}.parent").alias("Parent_ID"))
+
+
+def _numbered(rows: DataFrame, keep: list[str], fields: list[str], start: str, name: str) -> DataFrame:
+    return (rows.withColumn("Line_No", _line_number(start))
+            .select(*keep, *fields, "Line_No", F.concat_ws("_", "Header_Id", "Line_No").alias(name)))
+
+
+def number_items(rows: DataFrame, keep: list[str]) -> DataFrame:
+    """Rows of ``unfold_items`` that have the start of their order, with their number and their key."""
+    return _numbered(rows, keep, [*ITEM_FIELDS.fieldNames(), "Parent_ID"], ITEM_START, "Line_Id")
+
+
 def flatten_items(orders: DataFrame, keep: list[str], outer: bool = False) -> DataFrame:
     """One row per item with its number, its key and the pizza it belongs to.
 
     Orders without items give no row unless ``outer``. The parent is found inside
     the order's array, so flattening needs no shuffle.
     """
-    unfold = F.posexplode_outer if outer else F.posexplode
-    rows = _ensure(orders, ITEM_START).select(*keep, ITEM_START, unfold(with_parents(F.col(ITEMS))).alias(_AT, _ROW))
-    fields = [F.col(f"{_ROW}.item.{f.name}").alias(f.name) for f in ITEM_FIELDS.fields]
-    return (rows.withColumn("Line_No", _line_number(ITEM_START))
-            .select(*keep, *fields, F.col(f"{_ROW}.parent").alias("Parent_ID"), "Line_No",
-                    F.concat_ws("_", "Header_Id", "Line_No").alias("Line_Id")))
+    return number_items(unfold_items(_ensure(orders, ITEM_START), [*keep, ITEM_START], outer), keep)
 
 
 def line_facts(orders: DataFrame, outer: bool = False) -> DataFrame:
     """The line output: amounts as numbers, base, parent, tax, contract names."""
-    rows = flatten_items(orders, LINE_HEADER_COLUMNS, outer)
+    return conform_lines(flatten_items(orders, LINE_HEADER_COLUMNS, outer))
+
+
+def conform_lines(rows: DataFrame) -> DataFrame:
+    """The line output of numbered items."""
     numbers = {c: amount(F.col(c)) for c in LINE_AMOUNT_COLUMNS}
     rows = rows.withColumns({**numbers, "Quantity": quantity(F.col("Quantity")),
                              "Base": item_base(F.col("ItemCatagory"), F.col("ProductGroup"))})
     return conform(rows.withColumn("Tax_Amount", tax(F.col("SGST"), F.col("CGST"))), LINE_RENAMES, LINE_COLUMNS)
 
 
+def unfold_payments(orders: DataFrame, keep: list[str], outer: bool = False) -> DataFrame:
+    """One row per payment, with its place."""
+    unfold = F.posexplode_outer if outer else F.posexplode
+    rows = orders.select(*keep, unfold(F.col(PAYMENTS)).alias(_AT, _ROW))
+    return rows.select(*keep, _AT, *[F.col(f"{_ROW}.{f}").alias(f"Payment_{f}") for f in _PAID])
+
+
+def number_payments(rows: DataFrame, keep: list[str]) -> DataFrame:
+    """Rows of ``unfold_payments`` that have the start of their order, with their number and their key."""
+    return _numbered(rows, keep, [f"Payment_{f}" for f in _PAID], PAYMENT_START, "Payment_Id")
+
+
 def flatten_payments(orders: DataFrame, keep: list[str], outer: bool = False) -> DataFrame:
     """One row per payment with its number and key; orders without payments give none unless ``outer``."""
-    unfold = F.posexplode_outer if outer else F.posexplode
-    rows = _ensure(orders, PAYMENT_START).select(*keep, PAYMENT_START, unfold(F.col(PAYMENTS)).alias(_AT, _ROW))
-    return (rows.withColumn("Line_No", _line_number(PAYMENT_START))
-            .select(*keep, F.col(f"{_ROW}.Amount").alias("Payment_Amount"),
-                    F.col(f"{_ROW}.Date").alias("Payment_Date"), F.col(f"{_ROW}.Mode").alias("Payment_Mode"),
-                    F.col(f"{_ROW}.TenderType").alias("Payment_TenderType"), "Line_No",
-                    F.concat_ws("_", "Header_Id", "Line_No").alias("Payment_Id")))
+    return number_payments(unfold_payments(_ensure(orders, PAYMENT_START), [*keep, PAYMENT_START], outer), keep)
 
 
 def payment_facts(orders: DataFrame, outer: bool = False) -> DataFrame:
     """The payment output. Payment amounts keep their sign."""
-    rows = flatten_payments(orders, PAYMENT_HEADER_COLUMNS, outer)
+    return conform_payments(flatten_payments(orders, PAYMENT_HEADER_COLUMNS, outer))
+
+
+def conform_payments(rows: DataFrame) -> DataFrame:
+    """The payment output of numbered payments."""
     rows = rows.withColumns({"Payment_Date": short_date_text(F.col("Payment_Date")),
                              "Payment_Amount": amount(F.col("Payment_Amount"), negate=False)})
     return conform(rows, PAYMENT_RENAMES, PAYMENT_COLUMNS)

@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 from orderflow.contract import MISSING_PHONE
 from orderflow.functions.phones import clean_phone, phone_is_valid, phone_number
 from orderflow.operators.shape import column
-from orderflow.operators.skew import key_counts, lookup_join
+from orderflow.operators.skew import RARE, key_counts, lookup_join, plain_join
+from orderflow.sources.scratch import staged
 
 RAW_PHONE, DAILY, CLEAN, VALID = "CombinedNumber", "transactions_today", "CleanedPhoneNumber", "Valid"
 _BLOCKED = "_blocked"
@@ -17,14 +18,18 @@ def _raw(df: DataFrame) -> DataFrame:
     return df.withColumn(RAW_PHONE, F.coalesce(F.col("MobileNo"), F.col("PhoneNo")))
 
 
-def with_daily_count(df: DataFrame, counted: DataFrame | None = None, spread: str = "Header_Id") -> DataFrame:
+def with_daily_count(df: DataFrame, counted: DataFrame | None = None, spread: str = "Header_Id", rare: int = RARE) -> DataFrame:
     """Orders per raw number and day, null numbers counted together.
 
-    ``counted`` may name the rows to count, where they can be read more cheaply.
+    ``counted`` may name the rows to count, where they can be read more cheaply. Only
+    counts above one are looked up; up to ``rare`` of them go to all tasks, and the orders stay where they are.
     """
     keys = [RAW_PHONE, "InvoiceDate"]
     counts = key_counts(df if counted is None else counted, keys, DAILY)
-    return lookup_join(df, counts, keys, null_safe=True, spread=spread)
+    repeated = staged(counts.filter(F.col(DAILY) > 1), "repeated-numbers")
+    few = repeated.count() <= rare
+    joined = plain_join(df, F.broadcast(repeated), keys, null_safe=True) if few else lookup_join(df, repeated, keys, null_safe=True, spread=spread)
+    return joined.withColumn(DAILY, F.coalesce(DAILY, F.lit(1).cast("bigint")))
 
 
 def validate_phones(df: DataFrame, blocklist: DataFrame | None = None, strict: bool = False,

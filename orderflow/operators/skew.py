@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from orderflow.operators.shape import column
+from orderflow.sources.scratch import staged
 
 HOT_ROWS = 100_000   # a key with at least about this many rows is cut into pieces of about this many
 # Keys are dealt to this many sketches, each of which tracks that many of them. A key with more than about one in
 # 100,000 of all rows is tracked for certain; the list of hot keys has at most one entry per tracked key (4 MB).
 SKETCHES, TRACKED = 256, 1024
 
+RARE = 400_000  # as many repeated keys at most are sent to all tasks; with more, all rows shuffle
+
 _RIGHT, _PIECES, _PIECE, _HASH, _SKETCH = "_r_", "_pieces", "_piece", "_key_hash", "_sketch"
 
 
@@ -57,6 +60,29 @@ def heavy_hitters(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS)
             .select(F.col("top.item").alias(_HASH), F.ceil(F.col("top.count") / hot_rows).alias(_PIECES)))
 
 
+def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Hashes of the keys that more than one row has, found at once in one aggregate of numbers."""
+    hashed = df.select(_key_hash(keys).alias(_HASH)).groupBy(_HASH).agg(F.count(F.lit(1)).alias(_PIECES))
+    return staged(hashed.filter(F.col(_PIECES) > 1).select(_HASH), "repeated-keys")
+
+
+def by_repeats(df: DataFrame, keys: Sequence[str], alone: Callable[[DataFrame], DataFrame],
+               together: Callable[[DataFrame], DataFrame], rare: int = RARE, repeated: DataFrame | None = None) -> DataFrame:
+    """``together`` of the rows whose key other rows have too, and ``alone`` of all other rows, which need not shuffle.
+
+    ``alone`` is to give what ``together`` gives for a key with one row. Only the list of ``repeated_keys``, of at most
+    ``rare`` numbers, goes to all tasks; if more keys repeat, all rows go ``together``. Two keys with one hash are only
+    taken for repeated ones. ``df`` is read up to three times, the first time for its keys unless they are given.
+    """
+    repeated = repeated_keys(df, keys) if repeated is None else repeated
+    found = repeated.count()
+    if found == 0 or found > rare:
+        return together(df) if found else alone(df)
+    marked = df.withColumn(_HASH, _key_hash(keys))
+    part = lambda how: marked.join(F.broadcast(repeated), _HASH, how).drop(_HASH)
+    return alone(part("left_anti")).unionByName(together(part("left_semi")))
+
+
 def lookup_join(df: DataFrame, lookup: DataFrame, keys: Sequence[str], null_safe: bool = False,
                 spread: str | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Left join of large ``df`` to large ``lookup``, which is unique on ``keys``.

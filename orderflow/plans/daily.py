@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from orderflow import contract as C
 from orderflow.functions import amounts, codes, dates, nested, times
 from orderflow.operators import channels, feed as feeds, lines, phones, privacy, quality, shape, state, timefill
-from orderflow.operators.dedupe import dedupe_by, dedupe_rows, key_conflicts
+from orderflow.operators.dedupe import dedupe_rare, dedupe_rows, key_conflicts, row_digest
+from orderflow.operators.skew import repeated_keys
 from orderflow.sources import readers, writers
 from orderflow.sources.keyed import PARTS, KeyedTable, KeyRegister
 from orderflow.sources.scratch import released, staged
@@ -39,7 +40,7 @@ class Lookups:
 
 @dataclass
 class Orders:
-    """Orders of a run: one flat row each, their arrays by order key, and those set aside."""
+    """Orders of a run: one flat row each, the arrays of all complete orders by order key, and those set aside."""
     header: DataFrame
     arrays: DataFrame
     rejects: dict[str, DataFrame] = field(default_factory=dict)
@@ -66,11 +67,11 @@ def keyed_orders(raw: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
     """The orders of ``dated_orders``, one row per key, and the rejects.
 
     Whole-row copies have equal keys, so the reduction to one row per key removes
-    them as well and the nested rows are shuffled once. Where different rows came
+    them as well and only rows of repeated keys are shuffled. Where different rows came
     under a key, one of them is taken; ``Orders.conflicts`` lists such keys.
     """
     good, rejects = dated_orders(raw)
-    return dedupe_by(good, ["Header_Id"]), rejects
+    return dedupe_rare(good, ["Header_Id"]), rejects
 
 
 def raw_counts(raw: DataFrame, counts: quality.RunCounts) -> DataFrame:
@@ -129,6 +130,16 @@ def flat_orders(orders: DataFrame) -> DataFrame:
     return lines.with_sizes(lines.with_payment_summary(flagged)).drop("ItemDetails", "PaymentsDetails")
 
 
+def single_flat_orders(good: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Flat rows of ``dated_orders``, one per key: the row that ``keyed_orders`` takes, told by a digest of all of it.
+
+    So that also where many keys repeat, what is sorted and shuffled has no arrays.
+    """
+    digests = dict(zip(("_first", "_second"), row_digest(good, [c for c in good.columns if c != "Header_Id"]), strict=True))
+    flat = flat_orders(good.withColumns(digests))
+    return dedupe_rare(flat, ["Header_Id"], [F.col(d) for d in digests], repeated=repeated).drop(*digests)
+
+
 def with_flags(df: DataFrame) -> DataFrame:
     hour = times.hour(F.col("Enriched_Order_Time"))
     return df.withColumns({
@@ -160,10 +171,10 @@ def build_orders(raw: DataFrame, feed: DataFrame, processed: DataFrame, lookups:
     """
     watch = counts.watch if counts else lambda df, **_: df
     good, rejects = dated_orders(raw)
-    flagged = state.flagged_orders(dedupe_by(good, ["Header_Id"]), processed, _STORED)
+    repeated = repeated_keys(good, ["Header_Id"])
+    flagged = state.flagged_orders(single_flat_orders(good, repeated), processed, _STORED)
     flagged = watch(flagged, keys=None, already_stored=F.col(_STORED))
-    fresh = stage(flagged.filter(~F.col(_STORED)).drop(_STORED), "fresh-orders")
-    flat = stage(flat_orders(fresh), "flat-orders")
+    flat = stage(flagged.filter(~F.col(_STORED)).drop(_STORED), "flat-orders")
     web, match = F.col("Enriched_WebOrder_No").isNotNull(), F.col(feeds.MATCH)
     mapped = watch(channelled_orders(matched_orders(flat, feed, days, trailing), lookups),
                    same_day=match == feeds.SAME_DAY, other_day=match == feeds.OTHER_DAY, unmatched=web & match.isNull(),
@@ -172,7 +183,7 @@ def build_orders(raw: DataFrame, feed: DataFrame, processed: DataFrame, lookups:
     kept, unmapped = channels.split_unmapped(mapped)
     rejects["unmapped_channel"] = unmapped
     header = stage(final_header(kept, lookups, run_date), "final-header")
-    arrays = fresh.select("Header_Id", "ItemDetails", "PaymentsDetails")
+    arrays = dedupe_rare(good, ["Header_Id"], repeated=repeated).select("Header_Id", "ItemDetails", "PaymentsDetails")
     return Orders(header, arrays, rejects, channels.missing_combinations(mapped), key_conflicts(good, ["Header_Id"]))
 
 
@@ -188,17 +199,19 @@ def baseline_facts(orders: Orders) -> DataFrame:
 
 
 def line_facts(orders: Orders) -> DataFrame:
-    """The line output. Arrays and header rows both have one row per key, so the join is even."""
+    """The line output. Arrays are unfolded where they lie, so that only fields that are read meet the header."""
     header = shape.copy_column(orders.header, "Franchise", "Store_Franchise")
     header = header.select(*C.LINE_HEADER_COLUMNS, lines.ITEM_START)
-    rows = lines.line_facts(orders.arrays.select("Header_Id", "ItemDetails").join(header, "Header_Id"))
+    items = lines.unfold_items(orders.arrays, ["Header_Id"]).join(header, "Header_Id")
+    rows = lines.conform_lines(lines.number_items(items, C.LINE_HEADER_COLUMNS))
     return _dated(shape.add_placeholders(rows, C.LINE_PLACEHOLDERS), C.LINE_DATE_COLUMNS)
 
 
 def payment_facts(orders: Orders) -> DataFrame:
     """The payment output, joined like the lines."""
     header = orders.header.select(*C.PAYMENT_HEADER_COLUMNS, lines.PAYMENT_START)
-    rows = lines.payment_facts(orders.arrays.select("Header_Id", "PaymentsDetails").join(header, "Header_Id"))
+    payments = lines.unfold_payments(orders.arrays, ["Header_Id"]).join(header, "Header_Id")
+    rows = lines.conform_payments(lines.number_payments(payments, C.PAYMENT_HEADER_COLUMNS))
     return _dated(shape.add_placeholders(rows, C.PAYMENT_PLACEHOLDERS), C.PAYMENT_DATE_COLUMNS)
 
 
@@ -215,7 +228,7 @@ def personal_rows(header: DataFrame, key: str, iv: str) -> DataFrame:
 def order_pii_rows(personal: DataFrame) -> DataFrame:
     """Order-PII rows under their state names."""
     rows = personal.withColumnRenamed(privacy.ENCRYPTED_MOBILE, "Mobile_Number").select(*C.PII_COLUMNS)
-    return shape.fill_text(shape.rename(dedupe_by(rows, ["Header_Id"]), C.PII_STATE_RENAMES))
+    return shape.fill_text(shape.rename(dedupe_rare(rows, ["Header_Id"]), C.PII_STATE_RENAMES))
 
 
 def customer_rows(personal: DataFrame, with_missing_phone: bool = True, missing: str = "") -> DataFrame:
