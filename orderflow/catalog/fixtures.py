@@ -202,6 +202,8 @@ select event_id, concat(cast(year(ts) as string), '/', {two('month(ts)')}, '/',
  cast(event_id as string) Header_Id
 from {{events}}"""
 
+#: Orders that one task builds.
+TASK_ROWS = 200_000
 KEY, VECTOR = "0123456789abcdef0123456789abcdef", "abcdefghijklmnop"
 
 
@@ -225,9 +227,13 @@ class Inputs:
 
     @cached_property
     def order_table(self) -> DataFrame:
-        """The orders table; spread over the cores where its scan has fewer tasks, as in the small scales."""
+        """The orders table, spread where its scan has fewer tasks than cores or than one for ``TASK_ROWS`` orders.
+
+        A nested order is some thirty times as large as the row it is built from, so tasks are cut by rows, not by size.
+        """
         orders, cores = self.table("orders"), self.spark.sparkContext.defaultParallelism
-        return orders.repartition(cores, "o_orderkey") if orders.rdd.getNumPartitions() < cores else orders
+        tasks = max(cores, -(-orders.count() // TASK_ROWS))
+        return orders.repartition(tasks, "o_orderkey") if orders.rdd.getNumPartitions() < tasks else orders
 
     @cached_property
     def headers(self) -> DataFrame:
