@@ -19,7 +19,7 @@ from orderflow.sources.writers import write_keys
 
 
 def match(x: Inputs, trailing: bool = True) -> DataFrame:
-    orders = feed.with_web_order_number(fresh_orders(x, nested_rows=False))
+    orders = feed.with_web_order_number(fresh_orders(x))
     return feed.match_feed(orders, x.own_feed, trailing=trailing)
 
 
@@ -216,7 +216,7 @@ def store_join(x: Inputs) -> DataFrame:
 select Header_Id, match_class, sales_channel, order_type, Channel_Id, Source, Channel, Fulfilment_Mode from mapped_orders""")
 def effective_channel(x: Inputs) -> DataFrame:
     lookups = daily.Lookups(x.lookup, x.exceptions, x.dimension, x.raw_stores)
-    matched = daily.matched_orders(fresh_orders(x, nested_rows=False), x.own_feed)
+    matched = daily.matched_orders(fresh_orders(x, "OrderSource", "OrderType"), x.own_feed)
     rows = daily.channelled_orders(matched, lookups)
     return rows.select("Header_Id", feed.MATCH, F.col("Enriched_Sales_Channel").alias("sales_channel"),
                        F.col("Enriched_Order_Type").alias("order_type"), *_OUT)

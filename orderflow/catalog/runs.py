@@ -42,7 +42,7 @@ def pruned_match(x: Inputs) -> DataFrame:
     weekly = x.feed.withColumn("feed_date", F.date_trunc("week", "feed_date").cast("date"))
     weekly.hint("rebalance", F.col("feed_date")).write.partitionBy("feed_date").parquet(path)
     rows = read_feed_table(x.spark, path, date(1900, 1, 1), date(2100, 1, 1))
-    return feed.match_feed(feed.with_web_order_number(fresh_orders(x, nested_rows=False)), rows)
+    return feed.match_feed(feed.with_web_order_number(fresh_orders(x)), rows)
 
 
 @query("q_feed_pruned_match", MATCH_SQL.format(source="weekly_matches", condition="true"))

@@ -190,7 +190,7 @@ def key_difference(x: Inputs) -> DataFrame:
 select h.Header_Id, h.WeborderNo, m.Order_Time feed_time, m.match_class from fresh_orders h
 left join trailing_matches m on m.hkey = h.o_orderkey""")
 def recombine(x: Inputs) -> DataFrame:
-    matched = staged(daily.matched_orders(fresh_orders(x, nested_rows=False), x.own_feed), "matched-orders")
+    matched = staged(daily.matched_orders(fresh_orders(x, "OrderSource", "OrderType"), x.own_feed), "matched-orders")
     hit, miss, till = feed.split_match(matched)
     parts = [hit, miss.drop("Order Time", feed.MATCH), till.drop("Order Time", feed.MATCH)]
     return feed.recombine(parts).select("Header_Id", "WeborderNo", shape.column("Order Time").alias("feed_time"),
@@ -207,7 +207,17 @@ def stored_orders(complete: DataFrame) -> DataFrame:
     return complete.filter(F.col("OrderId").cast("bigint") % 10 == 0).select("Header_Id")
 
 
-def fresh_orders(x: Inputs, nested_rows: bool = True) -> DataFrame:
-    """Complete orders that are not stored yet, written once because matching reads them more than once."""
-    complete = complete_orders(x, nested_rows)
+#: What matching reads of an order; every stored order is told by its ``OrderId``.
+MATCH_COLUMNS = ["Header_Id", "OrderId", "StoreCode", "WeborderNo", "InvoiceDate"]
+
+
+def fresh_orders(x: Inputs, *more: str) -> DataFrame:
+    """Complete orders that are not stored yet, with ``MATCH_COLUMNS`` and ``more``.
+
+    Orders are built once and written with the columns that the query reads, so that only these are shuffled against the
+    stored keys. The result is written as well because matching reads it more than once.
+    """
+    good = daily.dated_orders(x.headers)[0]
+    kept = staged(good.select(*MATCH_COLUMNS, *more), "dated-orders")
+    complete = dedupe.dedupe_rare(good, ["Header_Id"], kept=kept)
     return staged(state.new_orders(complete, stored_orders(complete)), "fresh-orders")

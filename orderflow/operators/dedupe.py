@@ -20,13 +20,19 @@ def row_digest(df: DataFrame, columns: Sequence[str], exact: bool = False) -> li
     Nested columns count by their value and their text, in which a null reads like the text ``null``; with ``exact``
     by their JSON, which takes longer and leaves no doubt.
     """
+    parts = row_values(df, columns, exact)
+    return [F.xxhash64(F.lit(seed), *parts) for seed in (0, 1)]
+
+
+def row_values(df: DataFrame, columns: Sequence[str], exact: bool = False) -> list[Column]:
+    """What ``row_digest`` hashes of ``columns``. A struct of it hashes like its parts, and is built once for several hashes."""
     parts = []
     for field in (df.schema[c] for c in columns):
         value = [column(field.name)]
         if isinstance(field.dataType, (T.ArrayType, T.StructType, T.MapType)):
             value = [F.to_json(F.struct(*value), {"ignoreNullFields": "false"})] if exact else [*value, value[0].cast("string")]
         parts += [*value, column(field.name).isNull()]
-    return [F.xxhash64(F.lit(seed), *parts) for seed in (0, 1)]
+    return parts
 
 
 def dedupe_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
@@ -47,12 +53,13 @@ def dedupe_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ())
 
 
 def dedupe_rare(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = (), rare: int = RARE,
-                repeated: DataFrame | None = None) -> DataFrame:
+                repeated: DataFrame | None = None, kept: DataFrame | None = None) -> DataFrame:
     """``dedupe_by`` for wide rows whose keys seldom repeat: only rows of repeated keys are hashed, sorted and shuffled.
 
-    ``repeated`` may give the ``repeated_keys`` of ``df``, where they are known.
+    ``repeated`` may give the ``repeated_keys`` of ``df``, where they are known, and ``kept`` a written table of the columns
+    of ``df`` that are wanted; which row of a key is taken is told by all columns of ``df`` in either case.
     """
-    return by_repeats(df, keys, lambda rows: rows, lambda rows: dedupe_by(rows, keys, order), rare, repeated)
+    return by_repeats(df, keys, lambda rows: rows, lambda rows: dedupe_by(rows, keys, order), rare, repeated, kept)
 
 
 def key_ledger(df: DataFrame, keys: Sequence[str]) -> DataFrame:

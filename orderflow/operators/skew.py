@@ -67,20 +67,27 @@ def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def by_repeats(df: DataFrame, keys: Sequence[str], alone: Callable[[DataFrame], DataFrame],
-               together: Callable[[DataFrame], DataFrame], rare: int = RARE, repeated: DataFrame | None = None) -> DataFrame:
+               together: Callable[[DataFrame], DataFrame], rare: int = RARE, repeated: DataFrame | None = None,
+           kept: DataFrame | None = None) -> DataFrame:
     """``together`` of the rows whose key other rows have too, and ``alone`` of all other rows, which need not shuffle.
 
     ``alone`` is to give what ``together`` gives for a key with one row. Only the list of ``repeated_keys``, of at most
     ``rare`` numbers, goes to all tasks; if more keys repeat, all rows go ``together``. Two keys with one hash are only
     taken for repeated ones. ``df`` is read up to three times, the first time for its keys unless they are given.
+
+    ``kept`` may be a written table of some columns of all rows of ``df``, the keys among them: the result then has these
+    columns. Keys and rows that stand alone are read there, and ``df`` only for rows of repeated keys.
     """
-    repeated = repeated_keys(df, keys) if repeated is None else repeated
+    narrow = df if kept is None else kept
+    repeated = repeated_keys(narrow, keys) if repeated is None else repeated
     found = repeated.count()
-    if found == 0 or found > rare:
-        return together(df) if found else alone(df)
-    marked = df.withColumn(_HASH, _key_hash(keys))
-    part = lambda how: marked.join(F.broadcast(repeated), _HASH, how).drop(_HASH)
-    return alone(part("left_anti")).unionByName(together(part("left_semi")))
+    if found == 0:
+        return alone(narrow)
+    cut = lambda rows: rows if kept is None else rows.select(*[column(c) for c in kept.columns])
+    if found > rare:
+        return cut(together(df))
+    part = lambda rows, how: rows.withColumn(_HASH, _key_hash(keys)).join(F.broadcast(repeated), _HASH, how).drop(_HASH)
+    return alone(part(narrow, "left_anti")).unionByName(cut(together(part(df, "left_semi"))))
 
 
 def lookup_join(df: DataFrame, lookup: DataFrame, keys: Sequence[str], null_safe: bool = False,

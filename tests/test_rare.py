@@ -2,7 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from orderflow.catalog import shapes
+from orderflow.catalog.fixtures import Inputs
 from orderflow.operators import dedupe, feed, lines, phones
+from orderflow.sources.scratch import staged
 
 
 def plan(df):
@@ -71,3 +74,21 @@ def test_feed_spans_meet_over_their_edges(spark):
                              F.date_add(F.to_date("InvoiceDate", "yyyy/MM/dd"), move).alias("feed_date")).withColumn("Order_Date", F.col("feed_date").cast("string"))
         assert feed.best_feed_rows(orders, sent, trailing=False).count() == orders.count()
         assert feed.best_feed_rows(orders, sent).count() == (0 if move > 0 else orders.count())
+
+
+def test_wanted_columns_are_kept_of_the_same_rows(spark):
+    df = rows(spark, 30).withColumn("more", F.to_json("rest"))
+    want = values(dedupe.dedupe_by(df, ["a", "b"]).select("a", "b", "more"))
+    for rare in (0, 29, 30, 1000):
+        assert values(dedupe.dedupe_rare(df, ["a", "b"], rare=rare, kept=staged(df.select("a", "b", "more"), "kept"))) == want
+    once = rows(spark, 0)
+    assert "Range" not in plan(dedupe.dedupe_rare(once, ["a", "b"], kept=staged(once.select("a", "b"), "kept")))
+
+
+def test_orders_meet_stored_keys_with_the_columns_that_matching_reads(spark, data):
+    x = Inputs(spark, data)
+    got = shapes.fresh_orders(x)
+    assert got.columns == shapes.MATCH_COLUMNS
+    assert shapes.fresh_orders(x, "OrderSource").columns == [*shapes.MATCH_COLUMNS, "OrderSource"]
+    complete = shapes.complete_orders(x, nested_rows=False).filter("cast(OrderId as bigint) % 10 <> 0")
+    assert values(got) == values(complete.select(*shapes.MATCH_COLUMNS))
