@@ -108,8 +108,11 @@ def any_date_text(text: Column) -> Column:
 
 
 def flow_date(text: Column) -> Column:
-    """Date from ``yyyy/MM/dd`` text, null for anything else."""
-    return F.when(text.rlike(SLASHED), F.try_to_timestamp(text, F.lit(FLOW_FORMAT)).cast("date"))
+    """Date from ``yyyy/MM/dd`` text, null for anything else.
+
+    A cast reads the one form that is left by the shape and the length much faster than a pattern would.
+    """
+    return F.when(text.rlike(SLASHED) & (F.length(text) == 10), F.replace(text, F.lit("/"), F.lit("-")).try_cast("date"))
 
 
 def short_date_text(text: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from orderflow.contract import FEED_DATE, FEED_EMAIL, FEED_WINDOW_DAYS
 from orderflow.functions.codes import web_order_number
 from orderflow.functions.dates import FLOW_FORMAT, SLASHED, any_date, flow_date, slashed
-from orderflow.operators.dedupe import dedupe_rare, row_digest
+from orderflow.operators.dedupe import dedupe_rare, row_values
 from orderflow.operators.shape import column
 from orderflow.operators.skew import lookup_join
 
@@ -21,7 +21,8 @@ SAME_DAY, OTHER_DAY = "same_day", "other_day"
 _SERVED, _STORE, _NUMBER, _DAY, _LOOKED = "_served", "_store", "_number", "_order_day", "_looked"
 _ASKED_STORE, _ASKED_NUMBER, _ASKED_BLOCK = "_asked_store", "_asked_number", "_asked_block"
 _FIRST, _LAST, _BLOCK, _RANK = "_first_day", "_last_day", "_block", "_rank"
-_DIGESTS = {m: (f"_{m}_a", f"_{m}_b") for m in (SAME_DAY, OTHER_DAY)}
+_DIGESTS = {m: f"_{m}_digest" for m in (SAME_DAY, OTHER_DAY)}
+_ROW = "_row"
 _SPAN = 64  # days that one piece of the join by store and number holds
 
 
@@ -42,7 +43,7 @@ def invoice_day_list(orders: DataFrame) -> DataFrame:
     on which it decides whether a scan is worth pruning by it.
     """
     text = F.col("InvoiceDate")
-    return orders.filter(text.rlike(SLASHED)).select(flow_date(text).alias(_SERVED)).distinct()
+    return orders.filter(text.rlike(SLASHED)).select(text).distinct().select(flow_date(text).alias(_SERVED)).distinct()
 
 
 def feed_days(orders: DataFrame, days: int = FEED_WINDOW_DAYS, trailing: bool = True) -> list[date]:
@@ -74,7 +75,7 @@ def best_feed_rows(orders: DataFrame, feed: DataFrame, days: int = FEED_WINDOW_D
     """The preferred feed row per (store, order number, invoice day) that some order has.
 
     A row of the same day wins, then the nearest order day, the later one, the
-    earlier time. Order dates are read in any known spelling and carried on as
+    earlier time; what is left goes by 64 bits of a digest of the row, which only such rows are told apart by. Order dates are read in any known spelling and carried on as
     ``yyyy/MM/dd``; a row whose date cannot be read still matches, as another day
     and after all others, with the date as it came. Rows without a date, a store or
     a number match nothing.
@@ -89,15 +90,17 @@ def best_feed_rows(orders: DataFrame, feed: DataFrame, days: int = FEED_WINDOW_D
     looked = wanted.select(F.explode(window_days(F.col(_SERVED), days, trailing)).alias(_LOOKED)).distinct()
     feed = feed.join(F.broadcast(looked), F.col(FEED_DATE) == F.col(_LOOKED), "left_semi")
     given = F.col("Order_Date").cast("string")
-    day = F.coalesce(flow_date(slashed(given)), any_date(F.split(F.trim(given), "[ T]")[0]), any_date(given))
-    feed = feed.withColumn(_DAY, day).withColumn("Order_Date", F.coalesce(F.date_format(_DAY, FLOW_FORMAT), slashed(given)))
+    # asked before dates are read: a row has a date, read or as it came, exactly if one was given
+    feed = feed.filter(given.isNotNull() & column("Store Code").isNotNull() & F.col("OrderNo").isNotNull())
+    plain = flow_date(slashed(given))
+    day = F.coalesce(plain, any_date(F.split(F.trim(given), "[ T]")[0]), any_date(given))
+    text = F.coalesce(F.when(plain.isNotNull(), slashed(given)), F.date_format(_DAY, FLOW_FORMAT), slashed(given))
+    feed = feed.withColumn(_DAY, day).withColumn("Order_Date", text)
     if "Email" in feed.columns:
         feed = feed.withColumnRenamed("Email", FEED_EMAIL)
-    feed = feed.filter(F.col("Order_Date").isNotNull() & column("Store Code").isNotNull() & F.col("OrderNo").isNotNull())
-    rest = [c for c in feed.columns if c not in ("Store Code", "OrderNo")] + [MATCH]
-    for name in (SAME_DAY, OTHER_DAY):  # taken before the join, so that columns nobody reads need not meet it
-        named = feed.withColumn(MATCH, F.lit(name))
-        feed = named.withColumns(dict(zip(_DIGESTS[name], row_digest(named, rest), strict=True))).drop(MATCH)
+    # taken before the join, so that columns nobody reads need not meet it
+    feed = feed.withColumn(_ROW, F.struct(*row_values(feed, [c for c in feed.columns if c not in ("Store Code", "OrderNo")])))
+    feed = feed.withColumns({d: F.xxhash64(F.lit(0), _ROW, F.lit(m), F.lit(False)) for m, d in _DIGESTS.items()}).drop(_ROW)
     served = served_days(F.col(FEED_DATE), days, trailing)
     near = feed.withColumns({_FIRST: F.element_at(served, 1), _LAST: F.element_at(served, -1)}).withColumn(
         _BLOCK, F.explode(F.sequence(_span(F.col(_FIRST)), _span(F.col(_LAST)))))
@@ -106,13 +109,13 @@ def best_feed_rows(orders: DataFrame, feed: DataFrame, days: int = FEED_WINDOW_D
     rows = (near.join(asked_keys(orders), same).drop(_ASKED_STORE, _ASKED_NUMBER, _ASKED_BLOCK, _FIRST, _LAST)
             .withColumn(MATCH, F.when(F.col(_DAY) == F.col(_SERVED), SAME_DAY).otherwise(OTHER_DAY)))
     time = [column("Order Time").asc_nulls_last()] if "Order Time" in feed.columns else []
-    digest = [F.when(F.col(MATCH) == SAME_DAY, F.col(a)).otherwise(F.col(b)) for a, b in zip(*_DIGESTS.values(), strict=True)]
+    digest = F.when(F.col(MATCH) == SAME_DAY, F.col(_DIGESTS[SAME_DAY])).otherwise(F.col(_DIGESTS[OTHER_DAY]))
     preference = [(F.col(MATCH) == SAME_DAY).desc(), F.abs(F.datediff(F.col(_DAY), F.col(_SERVED))).asc_nulls_last(),
-                  F.col(_DAY).desc_nulls_last(), *time, *digest]
+                  F.col(_DAY).desc_nulls_last(), *time, digest]
     # the span follows from the day; named as a key, the rows stay where the join has put them
     key = Window.partitionBy(column("Store Code"), "OrderNo", _BLOCK, _SERVED).orderBy(*preference)
     best = rows.withColumn(_RANK, F.row_number().over(key)).filter(F.col(_RANK) == 1)
-    return best.drop(_DAY, _BLOCK, _RANK, *[d for pair in _DIGESTS.values() for d in pair])
+    return best.drop(_DAY, _BLOCK, _RANK, *_DIGESTS.values())
 
 
 def match_feed(orders: DataFrame, feed: DataFrame, days: int = FEED_WINDOW_DAYS,

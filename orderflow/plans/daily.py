@@ -51,10 +51,10 @@ class Orders:
 def dated_orders(raw: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Complete orders with a readable date and their keys, copies included, and the rejects."""
     complete, incomplete = quality.split_mandatory(raw, C.MANDATORY_ORDER_COLUMNS)
-    dated = complete.withColumn("_day", dates.any_date_text(F.col("InvoiceDate")))
+    dated = complete.withColumn("_day", dates.any_date(F.col("InvoiceDate")))
     unreadable = dated.filter(F.col("_day").isNull()).drop("_day") \
         .withColumn(quality.REASON, F.lit("bad_date:InvoiceDate"))
-    good = dated.filter(F.col("_day").isNotNull()).withColumn("InvoiceDate", F.col("_day")).drop("_day")
+    good = dated.filter(F.col("_day").isNotNull()).withColumn("InvoiceDate", F.date_format("_day", dates.FLOW_FORMAT)).drop("_day")
     good = good.withColumns({
         "Header_Id": codes.header_id(F.col("OrderId"), F.col("InvoiceDate"), F.col("StoreCode")),
         "Orderwise_Id": codes.orderwise_id(F.col("TransactionNo"), F.col("PosTerminalNo"), F.col("StoreCode"),

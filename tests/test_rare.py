@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from orderflow.catalog import shapes
 from orderflow.catalog.fixtures import Inputs
+from orderflow.functions.dates import FLOW_FORMAT, SLASHED, flow_date
 from orderflow.operators import dedupe, feed, lines, phones
 from orderflow.sources.scratch import staged
 
@@ -92,3 +93,39 @@ def test_orders_meet_stored_keys_with_the_columns_that_matching_reads(spark, dat
     assert shapes.fresh_orders(x, "OrderSource").columns == [*shapes.MATCH_COLUMNS, "OrderSource"]
     complete = shapes.complete_orders(x, nested_rows=False).filter("cast(OrderId as bigint) % 10 <> 0")
     assert values(got) == values(complete.select(*shapes.MATCH_COLUMNS))
+
+
+def ties(spark):
+    """Feed rows that differ in nothing that the preference names."""
+    orders = spark.createDataFrame([("S", str(n), f"2024/03/0{d}") for n in range(20) for d in (4, 5)], "StoreCode string, Enriched_WebOrder_No string, InvoiceDate string")
+    sent = spark.range(200).select(F.lit("S").alias("Store Code"), (F.col("id") % 20).cast("string").alias("OrderNo"), F.lit("2024-03-04").alias("Order_Date"),
+                                   F.when(F.col("id") % 3 != 0, F.col("id").cast("string")).alias("Reference No"), F.lit(1).alias("n"))
+    return orders, sent.withColumn("feed_date", F.to_date("Order_Date"))
+
+
+def test_feed_ties_go_by_the_digest_of_the_row(spark):
+    orders, sent = ties(spark)
+    told = sent.withColumns({"Order_Date": F.lit("2024/03/04"), "_order_day": F.col("feed_date")})
+    rest = ["Order_Date", "Reference No", "n", "feed_date", "_order_day"]
+    want = {}
+    for served, kind in (("04", feed.SAME_DAY), ("05", feed.OTHER_DAY)):
+        marked = told.withColumn(feed.MATCH, F.lit(kind))
+        for r in marked.withColumn("d", dedupe.row_digest(marked, [*rest, feed.MATCH])[0]).orderBy(F.col("d").desc()).collect():
+            want[served, r.OrderNo] = r["Reference No"]
+    for parts in (1, 7):
+        best = feed.best_feed_rows(orders, sent.repartition(parts)).collect()
+        assert {(f"{r._served:%d}", r.OrderNo): r["Reference No"] for r in best} == want
+
+
+def test_feed_rows_carry_one_number_for_each_kind_of_match(spark):
+    orders, sent = ties(spark)
+    assert plan(feed.best_feed_rows(orders, sent)).count("xxhash64") == 2
+
+
+def test_flow_dates_are_cast(spark):
+    texts = ["2024/02/29", "2023/02/29", "0000/01/01", "9999/12/31", "2024/13/01", "2024/1/01", "2024-01-01", "2024/01/01\n", " 2024/01/01", "2024/01/01 ", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain = F.when(F.col("t").rlike(SLASHED), F.try_to_timestamp("t", F.lit(FLOW_FORMAT)).cast("date"))
+    got = df.select(flow_date(F.col("t")).cast("string").alias("got"), plain.cast("string").alias("want"), "t")
+    assert all(r.got == r.want for r in got.collect()) and got.filter("got is not null").count() == 3
+    assert "gettimestamp" not in plan(got.drop("want")).lower()
