@@ -75,7 +75,8 @@ def best_feed_rows(orders: DataFrame, feed: DataFrame, days: int = FEED_WINDOW_D
     """The preferred feed row per (store, order number, invoice day) that some order has.
 
     A row of the same day wins, then the nearest order day, the later one, the
-    earlier time; what is left goes by 64 bits of a digest of the row, which only such rows are told apart by. Order dates are read in any known spelling and carried on as
+    earlier time; rows that agree in all of these go by a 64-bit digest of the whole row.
+    Order dates are read in any known spelling and carried on as
     ``yyyy/MM/dd``; a row whose date cannot be read still matches, as another day
     and after all others, with the date as it came. Rows without a date, a store or
     a number match nothing.
