@@ -328,3 +328,28 @@ def test_a_fit_is_made_of_the_sample_alone(spark, docs):
             assert (r.lang_pred, r.score) == (lang, pytest.approx(score))
         else:
             assert (r.lang_pred, r.score) == ("und", 0.0)
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_vectors_are_stored_once_and_compared_in_blocks(spark, monkeypatch, kind):
+    """Vectors that lie evenly visit most cells; what is stored holds each of them once or twice all the same."""
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(260, 6))
+    rows = [*base, *(base[:90] + 0.05 * rng.normal(size=(90, 6)))]
+    df = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(rows)], f"vec_id long, embedding array<{kind}>")
+    x = np.array([r.embedding for r in df.orderBy("vec_id").collect()])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    near = x @ x.T >= 0.95
+    np.fill_diagonal(near, False)
+    stored = []
+    keep = embeddings.staged
+    monkeypatch.setattr(embeddings, "staged", lambda df, name: stored.append(keep(df, name)) or stored[-1])
+    monkeypatch.setattr(embeddings, "BLOCK", 16)
+    got = {r.vec_id: r for r in embeddings.near_duplicates(df).collect()}
+    assert [got[i].n_links for i in range(len(rows))] == near.sum(axis=1).tolist()
+    low = np.arange(len(rows))
+    for _ in rows:
+        low = np.minimum(low, np.where(near, low[None], len(rows)).min(axis=1))
+    assert [got[i].component_id for i in range(len(rows))] == low.tolist()
+    held = [s.agg(F.sum(F.length(c))).first()[0] for s in stored for c in ("unit", "raw") if c in s.columns]
+    assert sum(held) <= 2 * len(rows) * 6 * (4 if kind == "float" else 8)
