@@ -22,10 +22,11 @@ RUN_DATE = date(2024, 1, 2)
 
 
 def orders(x: Inputs) -> daily.Orders:
-    raw = staged(x.orders, "raw-orders")
-    lookups = daily.Lookups(x.lookup, x.exceptions, x.dimension, conform_stores(x.raw_stores))
-    processed = stored_orders(daily.keyed_orders(raw)[0])
-    return daily.build_orders(raw, x.own_feed, processed, lookups, RUN_DATE, stage=staged)
+    """The orders of a run over all orders. Each query reads the header once, so it is not written."""
+    lookups = daily.Lookups(x.lookup, x.exceptions, x.dimension, staged(conform_stores(x.raw_stores), "stores"))
+    repeated = daily.repeated_orders(x.orders)
+    processed = stored_orders(daily.keyed_orders(x.orders, repeated)[0])
+    return daily.build_orders(x.orders, x.own_feed, processed, lookups, RUN_DATE, stage=staged, repeated=repeated, last=daily.keep)
 
 
 _HEADER_SQL = f"""

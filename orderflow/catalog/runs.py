@@ -126,8 +126,10 @@ def day_report(x: Inputs) -> DataFrame:
     counts = quality.RunCounts()
     again = x.orders.filter(F.col("SaleIsReturn") == "Yes")
     raw = staged(daily.raw_counts(x.orders.unionByName(again), counts), "raw-orders")
-    lookups = daily.Lookups(x.lookup, x.exceptions, x.dimension, conform_stores(x.raw_stores))
-    daily.build_orders(raw, x.own_feed, stored_orders(daily.keyed_orders(raw)[0]), lookups, date(2024, 1, 2), stage=staged, counts=counts)
+    lookups = daily.Lookups(x.lookup, x.exceptions, x.dimension, staged(conform_stores(x.raw_stores), "stores"))
+    repeated = daily.repeated_orders(raw)
+    processed = stored_orders(daily.keyed_orders(raw, repeated)[0])
+    daily.build_orders(raw, x.own_feed, processed, lookups, date(2024, 1, 2), stage=staged, counts=counts, repeated=repeated)
     daily.step_counts(counts)
     return counts.report(x.spark, daily.INPUT_STAGES)
 

@@ -6,7 +6,6 @@ import ctypes
 import sys
 import types
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from orderflow.sources import scratch
+from orderflow.sources.scratch import shuffles_dropped
 
 #: Fixed value: what separates words, as a regular expression.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -42,21 +42,6 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-#: Whether Spark deletes the shuffle files of a query when it ends, rather than when the driver collects its garbage.
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-@contextmanager
-def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
-    """Has the shuffle files of each query in the block deleted when the query ends; for tables that are written once."""
-    before = spark.conf.get(_CLEANUP)
-    spark.conf.set(_CLEANUP, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(_CLEANUP, before)
-
-
 def extended(schema: StructType, ddl: str) -> StructType:
     """``schema`` with the columns of ``ddl`` after its own."""
     return StructType([*schema.fields, *StructType.fromDDL(ddl).fields])

@@ -8,6 +8,7 @@ from orderflow.operators.dedupe import dedupe_by, dedupe_rows
 from orderflow.operators.quality import REASON
 from orderflow.operators.shape import rename_old
 from orderflow.operators.skew import plain_join
+from orderflow.sources.scratch import staged
 
 NULL_TOKEN = "Unknown"
 CHANNEL_VALUES = ["Channel_Id", "Source", "Channel", "Fulfilment_Mode"]
@@ -42,7 +43,8 @@ def channel_table(lookup: DataFrame, dimension: DataFrame, case_sensitive: bool
 
 def _looked_up(df: DataFrame, lookup: DataFrame, dimension: DataFrame, case_sensitive: bool,
                null_token: str) -> DataFrame:
-    table = channel_table(lookup, dimension, case_sensitive, null_token)
+    # written, so that Spark knows how small it is and sends it to the orders; else all of them would shuffle
+    table = staged(channel_table(lookup, dimension, case_sensitive, null_token), "channel-table")
     channel, kind = F.col("Enriched_Sales_Channel"), F.col("Enriched_Order_Type")
     keyed = df.withColumns({_CHANNEL: match_text(channel, case_sensitive, null_token),
                             _TYPE: match_text(kind, case_sensitive, null_token),

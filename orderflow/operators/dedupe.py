@@ -53,13 +53,13 @@ def dedupe_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ())
 
 
 def dedupe_rare(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = (), rare: int = RARE,
-                repeated: DataFrame | None = None, kept: DataFrame | None = None) -> DataFrame:
+                repeated: DataFrame | None = None, kept: DataFrame | None = None, always: bool = False) -> DataFrame:
     """``dedupe_by`` for wide rows whose keys seldom repeat: only rows of repeated keys are hashed, sorted and shuffled.
 
     ``repeated`` may give the ``repeated_keys`` of ``df``, where they are known, and ``kept`` a written table of the columns
-    of ``df`` that are wanted; which row of a key is taken is told by all columns of ``df`` in either case.
+    of ``df`` that are wanted; which row of a key is taken is told by all columns of ``df`` in either case. ``always`` is that of ``by_repeats``.
     """
-    return by_repeats(df, keys, lambda rows: rows, lambda rows: dedupe_by(rows, keys, order), rare, repeated, kept)
+    return by_repeats(df, keys, lambda rows: rows, lambda rows: dedupe_by(rows, keys, order), rare, repeated, kept, always)
 
 
 def key_ledger(df: DataFrame, keys: Sequence[str]) -> DataFrame:

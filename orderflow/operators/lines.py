@@ -16,6 +16,7 @@ from orderflow.operators.skew import by_repeats
 ITEMS, PAYMENTS = "ItemDetails.Items", "PaymentsDetails.Payments"
 ITEM_COUNT, PAYMENT_COUNT = "Item_Count", "Payment_Count"
 ITEM_START, PAYMENT_START = "Item_Start", "Payment_Start"
+RECEIPT = ["OrderId", "StoreCode"]
 _AT, _ROW = "_at", "_row"
 _PAID = ["Amount", "Date", "Mode", "TenderType"]
 
@@ -26,20 +27,21 @@ def with_sizes(orders: DataFrame) -> DataFrame:
     return orders.withColumns({ITEM_COUNT: size(ITEMS), PAYMENT_COUNT: size(PAYMENTS)})
 
 
-def with_line_starts(orders: DataFrame) -> DataFrame:
+def with_line_starts(orders: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
     """How many items and payments come before each order under the same receipt.
 
     Lines are numbered per (receipt, store) over all its days. The counts of whole
     orders are summed, and only orders that share a receipt are sorted. With one row
-    per order key a receipt has at most one row per day here.
+    per order key a receipt has at most one row per day here. ``repeated`` may give the
+    ``repeated_keys`` of the receipts, where they can be read more cheaply.
     """
     sized = orders if ITEM_COUNT in orders.columns else with_sizes(orders)
     first = lambda rows: rows.withColumns({s: F.lit(0).cast("bigint") for s in (ITEM_START, PAYMENT_START)})
-    return by_repeats(sized, ["OrderId", "StoreCode"], first, _summed_starts)
+    return by_repeats(sized, RECEIPT, first, _summed_starts, repeated=repeated)
 
 
 def _summed_starts(sized: DataFrame) -> DataFrame:
-    before = (Window.partitionBy("OrderId", "StoreCode").orderBy("Enriched_Order_Date", "Header_Id")
+    before = (Window.partitionBy(*RECEIPT).orderBy("Enriched_Order_Date", "Header_Id")
               .rowsBetween(Window.unboundedPreceding, -1))
     start = lambda count: F.coalesce(F.sum(count).over(before), F.lit(0))
     return sized.withColumns({ITEM_START: start(ITEM_COUNT), PAYMENT_START: start(PAYMENT_COUNT)})

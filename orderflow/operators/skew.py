@@ -68,7 +68,7 @@ def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def by_repeats(df: DataFrame, keys: Sequence[str], alone: Callable[[DataFrame], DataFrame],
                together: Callable[[DataFrame], DataFrame], rare: int = RARE, repeated: DataFrame | None = None,
-           kept: DataFrame | None = None) -> DataFrame:
+           kept: DataFrame | None = None, always: bool = False) -> DataFrame:
     """``together`` of the rows whose key other rows have too, and ``alone`` of all other rows, which need not shuffle.
 
     ``alone`` is to give what ``together`` gives for a key with one row. Only the list of ``repeated_keys``, of at most
@@ -77,11 +77,14 @@ def by_repeats(df: DataFrame, keys: Sequence[str], alone: Callable[[DataFrame],
 
     ``kept`` may be a written table of some columns of all rows of ``df``, the keys among them: the result then has these
     columns. Keys and rows that stand alone are read there, and ``df`` only for rows of repeated keys.
+
+    Without a repeated key only ``alone`` is planned. With ``always`` the plan has both parts also then, so that it shows how
+    rows of a key would be told apart; adaptive execution leaves the empty part out.
     """
     narrow = df if kept is None else kept
     repeated = repeated_keys(narrow, keys) if repeated is None else repeated
     found = repeated.count()
-    if found == 0:
+    if found == 0 and not always:
         return alone(narrow)
     cut = lambda rows: rows if kept is None else rows.select(*[column(c) for c in kept.columns])
     if found > rare:

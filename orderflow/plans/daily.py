@@ -19,7 +19,7 @@ from orderflow.operators.dedupe import dedupe_rare, dedupe_rows, key_conflicts,
 from orderflow.operators.skew import repeated_keys
 from orderflow.sources import readers, writers
 from orderflow.sources.keyed import PARTS, KeyedTable, KeyRegister
-from orderflow.sources.scratch import released, staged
+from orderflow.sources.scratch import released, shuffles_dropped, staged
 
 Stage = Callable[[DataFrame, str], DataFrame]
 
@@ -63,15 +63,20 @@ def dated_orders(raw: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
     return good, rejects
 
 
-def keyed_orders(raw: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """The orders of ``dated_orders``, one row per key, and the rejects.
+def repeated_orders(raw: DataFrame) -> DataFrame:
+    """The ``repeated_keys`` of ``dated_orders``, for several that need them."""
+    return repeated_keys(dated_orders(raw)[0], ["Header_Id"])
+
+
+def keyed_orders(raw: DataFrame, repeated: DataFrame | None = None) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """The orders of ``dated_orders``, one row per key, and the rejects; ``repeated`` may give ``repeated_orders``.
 
     Whole-row copies have equal keys, so the reduction to one row per key removes
     them as well and only rows of repeated keys are shuffled. Where different rows came
     under a key, one of them is taken; ``Orders.conflicts`` lists such keys.
     """
     good, rejects = dated_orders(raw)
-    return dedupe_rare(good, ["Header_Id"]), rejects
+    return dedupe_rare(good, ["Header_Id"], repeated=repeated, always=True), rejects
 
 
 def raw_counts(raw: DataFrame, counts: quality.RunCounts) -> DataFrame:
@@ -100,11 +105,14 @@ def with_amounts(df: DataFrame) -> DataFrame:
     return df.withColumns(cleaned).withColumn("Tax_Amount", amounts.tax(F.col("SGST"), F.col("CGST")))
 
 
+def with_order_date(df: DataFrame) -> DataFrame:
+    return df.withColumn("Enriched_Order_Date", dates.slashed(F.coalesce("Order_Date", "InvoiceDate")))
+
+
 def with_dates(df: DataFrame, run_date: date) -> DataFrame:
-    first = df.withColumns({
+    first = with_order_date(df).withColumns({
         "Business_Date": F.col("InvoiceDate"),
         "BillCloseddate": dates.short_date_text(F.col("BillCloseddate")),
-        "Enriched_Order_Date": dates.slashed(F.coalesce("Order_Date", "InvoiceDate")),
         "System_Processed_Date": F.lit(f"{run_date:%Y/%m/%d}")})
     day = dates.flow_date(F.col("Enriched_Order_Date"))
     return first.withColumns({"Month": F.month(day), "Year": F.year(day), "Week_Day": dates.week_day(day),
@@ -112,10 +120,13 @@ def with_dates(df: DataFrame, run_date: date) -> DataFrame:
 
 
 def with_times(df: DataFrame) -> DataFrame:
-    """Clock times as one format; the feed's order time comes before the till's."""
-    clocks = {c: times.clock(F.col(c)) for c in ("BillClosetime", "InvoiceTime")}
-    feed_time = times.clock(shape.column("Order Time"))
-    return df.withColumns(clocks | {"Enriched_Order_Time": F.coalesce(feed_time, times.clock(F.col("InvoiceTime")))})
+    """The order's clock time as one format; the feed's order time comes before the till's."""
+    till, feed_time = times.clock(F.col("InvoiceTime")), times.clock(shape.column("Order Time"))
+    return df.withColumns({"InvoiceTime": till, "Enriched_Order_Time": F.coalesce(feed_time, till)})
+
+
+def with_closing_time(df: DataFrame) -> DataFrame:
+    return df.withColumn("BillClosetime", times.clock(F.col("BillClosetime")))
 
 
 def flat_orders(orders: DataFrame) -> DataFrame:
@@ -149,12 +160,30 @@ def with_flags(df: DataFrame) -> DataFrame:
         "Enriched_Email_Id": F.coalesce(C.FEED_EMAIL, "Email")})
 
 
-def final_header(mapped: DataFrame, lookups: Lookups, run_date: date) -> DataFrame:
-    """Mapped orders with numbers, dates, times, flags, phones, stores and line starts."""
-    plain = with_times(with_dates(with_amounts(mapped), run_date))
-    timed = with_flags(timefill.fill_times(plain))
+def timed_header(mapped: DataFrame, lookups: Lookups) -> DataFrame:
+    """Mapped orders with what follows from other orders too: times, phones and line starts. Reads ``SHARED_COLUMNS`` and the feed's."""
+    timed = timefill.fill_times(with_times(with_order_date(mapped)))
     phoned = phones.validate_phones(timed, lookups.blocklist, counted=mapped)
-    return lines.with_line_starts(channels.join_stores(phoned, lookups.stores))
+    return lines.with_line_starts(phoned, repeated_keys(mapped, lines.RECEIPT))
+
+
+def final_header(timed: DataFrame, flat: DataFrame, lookups: Lookups, run_date: date) -> DataFrame:
+    """Orders of ``timed_header`` with all their columns, numbers, dates, flags and stores."""
+    plain = with_closing_time(with_dates(with_amounts(with_all_columns(timed, flat)), run_date))
+    return channels.join_stores(with_flags(plain), lookups.stores)
+
+
+#: What is read of an order where orders meet others: stored keys, the feed, store days, numbers, receipts.
+SHARED_COLUMNS = ["Header_Id", "OrderId", "StoreCode", "WeborderNo", "InvoiceDate", "InvoiceTime", "OrderSource", "OrderType", "PhoneNo",
+                  lines.ITEM_COUNT, lines.PAYMENT_COUNT]
+
+
+def with_all_columns(orders: DataFrame, flat: DataFrame) -> DataFrame:
+    """Orders that went on with ``SHARED_COLUMNS``, with the other columns of ``flat``: one join by a key that is unique on both sides.
+
+    Of the other columns, only those that are read in the end are shuffled.
+    """
+    return orders.join(flat.drop(*[c for c in SHARED_COLUMNS if c != "Header_Id"]), "Header_Id")
 
 
 _STORED = "_stored"
@@ -162,29 +191,34 @@ _STORED = "_stored"
 
 def build_orders(raw: DataFrame, feed: DataFrame, processed: DataFrame, lookups: Lookups, run_date: date,
                  days: int = C.FEED_WINDOW_DAYS, trailing: bool = True, stage: Stage = keep,
-                 counts: quality.RunCounts | None = None) -> Orders:
+                 counts: quality.RunCounts | None = None, repeated: DataFrame | None = None, last: Stage | None = None) -> Orders:
     """From raw orders to the final header.
 
     ``stage`` decides whether the points that several readers share are written
-    (``staged``) or left as one plan (``keep``). ``counts`` takes the rows of each step
-    as they are written, so it needs a stage that writes.
+    (``staged``) or left as one plan (``keep``), and ``last`` the same for the final header, where it differs: left as a plan, a single
+    reader moves only the columns that it reads. ``counts`` takes the rows of each step
+    as they are written, so it needs a stage that writes. ``repeated`` may give the ``repeated_orders`` of ``raw``.
+
+    Flat orders are written once, where they are built. Only ``SHARED_COLUMNS`` of them go through the steps in which orders
+    meet others; the final header takes the rest from the written table.
     """
     watch = counts.watch if counts else lambda df, **_: df
     good, rejects = dated_orders(raw)
-    repeated = repeated_keys(good, ["Header_Id"])
-    flagged = state.flagged_orders(single_flat_orders(good, repeated), processed, _STORED)
-    flagged = watch(flagged, keys=None, already_stored=F.col(_STORED))
-    flat = stage(flagged.filter(~F.col(_STORED)).drop(_STORED), "flat-orders")
+    repeated = repeated_keys(good, ["Header_Id"]) if repeated is None else repeated
+    flat = stage(watch(single_flat_orders(good, repeated), keys=None), "flat-orders")
+    flagged = watch(state.flagged_orders(flat.select(*SHARED_COLUMNS), processed, _STORED), already_stored=F.col(_STORED))
+    fresh = stage(flagged.filter(~F.col(_STORED)).drop(_STORED), "new-orders")
     web, match = F.col("Enriched_WebOrder_No").isNotNull(), F.col(feeds.MATCH)
-    mapped = watch(channelled_orders(matched_orders(flat, feed, days, trailing), lookups),
+    mapped = watch(channelled_orders(matched_orders(fresh, feed, days, trailing), lookups),
                    same_day=match == feeds.SAME_DAY, other_day=match == feeds.OTHER_DAY, unmatched=web & match.isNull(),
                    no_web_number=~web, unmapped=channels.is_unmapped())
     mapped = stage(mapped, "mapped-orders")
     kept, unmapped = channels.split_unmapped(mapped)
-    rejects["unmapped_channel"] = unmapped
-    header = stage(final_header(kept, lookups, run_date), "final-header")
+    rejects["unmapped_channel"] = with_all_columns(unmapped, flat)
+    header = final_header(stage(timed_header(kept, lookups), "timed-orders"), flat, lookups, run_date)
     arrays = dedupe_rare(good, ["Header_Id"], repeated=repeated).select("Header_Id", "ItemDetails", "PaymentsDetails")
-    return Orders(header, arrays, rejects, channels.missing_combinations(mapped), key_conflicts(good, ["Header_Id"]))
+    return Orders((last or stage)(header, "final-header"), arrays, rejects, channels.missing_combinations(mapped),
+                  key_conflicts(good, ["Header_Id"]))
 
 
 def _dated(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -289,7 +323,7 @@ def run_day(spark: SparkSession, raw: DataFrame, feed: DataFrame | str, lookups:
     tables are deleted at the end, also after a failure.
     """
     run, counts = readers.day_folder(output, run_date), quality.RunCounts()
-    with released(spark):
+    with released(spark), shuffles_dropped(spark):
         staged_raw = staged(raw_counts(raw, counts), "raw-orders")
         if isinstance(feed, str):
             read = staged_raw.select(dates.any_date_text(F.col("InvoiceDate")).alias("InvoiceDate"))

@@ -58,12 +58,27 @@ def released(spark: SparkSession) -> Iterator[None]:
             drop_folder(spark, path)
 
 
+#: Whether Spark deletes the shuffle files of a query when it ends, rather than when the driver collects its garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Has the shuffle files of each query in the block deleted when the query ends; for tables that are written once."""
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as a table in the shared folder and read back.
 
     Cuts the lineage, survives the loss of executors, and lets each reader of the
-    table scan only the columns it needs. The table goes at the end of the ``released``
-    block it is made in, or else when the session's process ends.
+    table scan only the columns it needs. Shuffle files of the write go when it ends. The table goes at the end of the
+    ``released`` block it is made in, or else when the session's process ends.
     """
     spark = df.sparkSession
     path = new_folder(spark, name)
@@ -72,5 +87,6 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     else:
         place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
-    df.write.option("compression", "zstd").parquet(path)
+    with shuffles_dropped(spark):
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
